@@ -1,0 +1,20 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
+
+    The check is a bounded job (``limit(max_rows + 1).count()``), meant for
+    dimension and lookup tables.  Beyond the bound the frame is returned as is
+    and Spark plans a shuffle join (AQE may still switch strategy at runtime
+    from measured sizes, and splits skewed partitions).
+    """
+    if max_rows <= 0:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
