@@ -195,3 +195,150 @@ FROM enriched"""
 
 def where(sql: str, cond: str) -> str:
     return f"SELECT * FROM ({sql}) q WHERE {cond}"
+
+
+BANDS = """
+bands(b_lo, b_hi) AS (
+  VALUES (0, 60), (60, 70), (70, 80), (80, 90), (90, 100), (100, 110), (110, 120), (120, 135), (135, 150),
+         (150, 165), (165, 180), (180, 200), (200, 225), (225, 250), (250, 275), (275, 300), (300, 350),
+         (350, 400), (400, 450), (450, 500), (500, 999999)
+)"""
+
+LISTING_CLEAN = f"""
+clean0 AS (
+  SELECT a.city_id, b.biz_district_id AS district_id, split(b.plate_fk, '@')[2] AS plate_id, a.house_id,
+         TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE) AS first_day,
+         CASE WHEN a.last_pub_date IS NULL THEN TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE)
+              WHEN TRY_CAST(substr(a.last_pub_date, 1, 10) AS DATE) >= {AS_OF} THEN {AS_OF} - 1
+              ELSE TRY_CAST(substr(a.last_pub_date, 1, 10) AS DATE) END AS end_day,
+         TRY_CAST(a.quoted_price AS DECIMAL(18,4)) * 0.01 AS price_yuan,
+         TRY_CAST(a.area AS DECIMAL(18,4)) AS area,
+         CAST(floor(TRY_CAST(a.quoted_price AS DECIMAL(18,4))) AS BIGINT) AS cents_int,
+         CAST(floor(TRY_CAST(a.area AS DOUBLE)) AS BIGINT) AS area_int
+  FROM listing a JOIN dim b ON a.city_id = b.biz_city_id AND a.house_id = b.biz_house_id
+  WHERE a.ds = {DS} AND a.status IN ('3', '5', '7') AND {{segment}}
+    AND floor(TRY_CAST(a.total_floors AS DOUBLE)) < 1000
+    AND floor(TRY_CAST(a.area AS DOUBLE)) > 0 AND floor(TRY_CAST(a.area AS DOUBLE)) < 1000
+    AND TRY_CAST(a.quoted_price AS DOUBLE) / NULLIF(TRY_CAST(a.area AS DOUBLE), 0) BETWEEN 100000 AND 50000000
+    AND TRY_CAST(a.evaluation_high_price AS DOUBLE) / NULLIF(TRY_CAST(a.quoted_price AS DOUBLE), 0) <= 2
+    AND TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE) < {AS_OF}
+),
+clean AS (
+  SELECT c.*, (cents_int // 100) // area_int AS u, coalesce(bd.b_lo, 90) AS band_lo
+  FROM clean0 c LEFT JOIN bands bd ON c.area_int > bd.b_lo AND c.area_int <= bd.b_hi
+)"""
+
+
+def listing_clean_sql() -> str:
+    return f"""
+WITH {ADAPTERS}, {BANDS},
+{LISTING_CLEAN.format(segment="TRUE")}
+SELECT city_id, district_id, plate_id, house_id, first_day, end_day,
+       CAST(price_yuan AS DOUBLE) AS price_yuan, CAST(area AS DOUBLE) AS area, u, band_lo
+FROM clean"""
+
+
+def listing_metrics_sql(previous: str = "cover", area_bands: str = "all", emit_plate: bool = False,
+                        segment: str = "TRUE") -> str:
+    prev = "first_day <= ps AND end_day >= pe" if previous == "cover" else "first_day <= pe AND end_day >= ps"
+    plate = (
+        "UNION ALL SELECT 'PLATE', city_id, plate_id, first_day, end_day, price_yuan, area, u, band_lo FROM clean"
+        if emit_plate else ""
+    )
+    if area_bands == "dominant":
+        main = """
+bandn AS (SELECT city_id, obj_key, kind, band_lo, count(*) AS band_n FROM hn WHERE n > 3 GROUP BY ALL),
+bandc AS (
+  SELECT *, sum(band_n) OVER (PARTITION BY city_id, obj_key, kind ORDER BY band_n DESC, band_lo ASC
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cum_before
+  FROM bandn
+),
+main AS (
+  SELECT hn.* FROM hn JOIN bandc USING (city_id, obj_key, kind, band_lo)
+  WHERE hn.n > 3 AND coalesce(bandc.cum_before, 0) * 2 <= hn.n
+),"""
+    else:
+        main = "main AS (SELECT * FROM hn WHERE n > 3),"
+    return f"""
+WITH {ADAPTERS}, {BANDS},
+{LISTING_CLEAN.format(segment=segment)},
+lv AS (
+  SELECT 'CITY' AS obj_type, city_id, CAST(NULL AS VARCHAR) AS obj_key, first_day, end_day, price_yuan, area, u, band_lo
+  FROM clean
+  UNION ALL SELECT 'DISTRICT', city_id, district_id, first_day, end_day, price_yuan, area, u, band_lo FROM clean
+  {plate}
+  UNION ALL SELECT 'HOUSE', city_id, house_id, first_day, end_day, price_yuan, area, u, band_lo FROM clean
+),
+w AS (SELECT lv.*, max(end_day) OVER (PARTITION BY obj_type, city_id, obj_key) AS latest FROM lv),
+wp AS (
+  SELECT w.*, p.pname, {AS_OF} - p.s_off AS cs, {AS_OF} - 1 AS ce, {AS_OF} - p.ps_off AS ps, {AS_OF} - p.pe_off AS pe
+  FROM w JOIN periods p ON date_diff('day', w.latest, {AS_OF}) BETWEEN p.lo AND p.hi
+),
+flag AS (SELECT wp.*, (first_day <= ce AND end_day >= cs) AS in_cur, ({prev}) AS in_prev FROM wp),
+agg AS (
+  SELECT obj_type, city_id, obj_key, max(pname) AS period,
+         count(*) FILTER (WHERE in_cur) AS n_cur,
+         sum(price_yuan) FILTER (WHERE in_cur) AS y_cur, sum(area) FILTER (WHERE in_cur) AS a_cur,
+         count(*) FILTER (WHERE in_prev) AS n_prev,
+         sum(price_yuan) FILTER (WHERE in_prev) AS y_prev, sum(area) FILTER (WHERE in_prev) AS a_prev
+  FROM flag GROUP BY obj_type, city_id, obj_key
+),
+hrows AS (
+  SELECT city_id, obj_key, 'cur' AS kind, u, band_lo, price_yuan, area FROM flag WHERE obj_type = 'HOUSE' AND in_cur
+  UNION ALL
+  SELECT city_id, obj_key, 'prev', u, band_lo, price_yuan, area FROM flag WHERE obj_type = 'HOUSE' AND in_prev
+),
+hn AS (SELECT *, count(*) OVER (PARTITION BY city_id, obj_key, kind) AS n FROM hrows),
+{main}
+mm AS (
+  SELECT *, min(u) OVER g AS mn, (max(u) OVER g - min(u) OVER g) // 3 AS pitch
+  FROM main WINDOW g AS (PARTITION BY city_id, obj_key, kind)
+),
+bk AS (
+  SELECT *, CASE WHEN pitch = 0 THEN CASE WHEN u = mn THEN 0 ELSE 2147483647 END
+                 ELSE CAST(ceil(CAST(u - mn AS DOUBLE) / pitch) AS BIGINT) END AS bucket
+  FROM mm
+),
+bc AS (SELECT city_id, obj_key, kind, bucket, count(*) AS nb, sum(u) AS su FROM bk GROUP BY ALL),
+tops AS (SELECT city_id, obj_key, kind, max(nb) AS top_n FROM bc GROUP BY ALL),
+modes AS (
+  SELECT bc.city_id, bc.obj_key, bc.kind, count(*) AS ties, max(su // nb) AS mode_u
+  FROM bc JOIN tops USING (city_id, obj_key, kind) WHERE bc.nb = tops.top_n GROUP BY ALL
+),
+avgm AS (
+  SELECT city_id, obj_key, kind, CAST(sum(price_yuan) AS DOUBLE) / NULLIF(CAST(sum(area) AS DOUBLE), 0) AS avg_p
+  FROM main GROUP BY ALL
+),
+hp AS (
+  SELECT a.city_id, a.obj_key, a.kind,
+         CASE WHEN m.ties = 1
+                   AND abs((CAST(m.mode_u AS DOUBLE) - a.avg_p) / NULLIF(CAST(m.mode_u AS DOUBLE), 0)) <= 0.2
+              THEN CAST(m.mode_u AS DOUBLE) ELSE a.avg_p END AS price
+  FROM avgm a JOIN modes m USING (city_id, obj_key, kind)
+),
+fin AS (
+  SELECT agg.*, {_label('agg.obj_type', 'agg.city_id', 'agg.obj_key')} AS obj_value,
+         CASE WHEN agg.obj_type = 'HOUSE' AND n_cur > 3 THEN hc.price
+              ELSE CAST(y_cur AS DOUBLE) / NULLIF(CAST(a_cur AS DOUBLE), 0) END AS p_cur,
+         CASE WHEN n_prev > 0 THEN
+              CASE WHEN agg.obj_type = 'HOUSE' AND n_prev > 3 THEN hv.price
+                   ELSE CAST(y_prev AS DOUBLE) / NULLIF(CAST(a_prev AS DOUBLE), 0) END END AS p_prev,
+         CAST(n_cur AS DOUBLE) AS q_cur, CASE WHEN n_prev > 0 THEN CAST(n_prev AS DOUBLE) END AS q_prev
+  FROM agg
+  LEFT JOIN hp hc ON agg.obj_type = 'HOUSE' AND hc.city_id = agg.city_id AND hc.obj_key = agg.obj_key AND hc.kind = 'cur'
+  LEFT JOIN hp hv ON agg.obj_type = 'HOUSE' AND hv.city_id = agg.city_id AND hv.obj_key = agg.obj_key AND hv.kind = 'prev'
+),
+metrics AS (
+  SELECT 'SECOND' AS dim, 'QUOTED_PRICE_AVG' AS "index", obj_type, obj_value, 'Period' AS period_type,
+         period AS period_value, p_cur AS current_result, p_prev AS previous_result,
+         (p_cur - p_prev) * 100.0 / NULLIF(p_prev, 0) AS mom
+  FROM fin WHERE p_cur IS NOT NULL
+  UNION ALL
+  SELECT 'SECOND', 'QUOTED_VOLUME', obj_type, obj_value, 'Period', period, q_cur, q_prev,
+         (q_cur - q_prev) * 100.0 / NULLIF(q_prev, 0)
+  FROM fin
+)
+SELECT dim, "index", obj_type, obj_value, period_type, period_value,
+       {_r('current_result')} AS current_result, {_r('previous_result')} AS previous_result,
+       {_r('mom')} AS mom, CAST(NULL AS DOUBLE) AS yoy
+FROM metrics"""

@@ -66,3 +66,34 @@ def deal_volume_deal_month(spark, sf_dir):
     return deal_metrics(spark, sf_dir, indexes=[S.INDEX_DEAL_VOLUME]).where(
         (F.col("dim") == S.DIM_SECOND) & (F.col("obj_type") == S.OBJ_HOUSE)
     )
+
+
+def listing_clean(spark, sf_dir):
+    from tallyhouse.operators import listings as L
+
+    c = L.clean_listings(td.listing_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.DS, td.AS_OF)
+    return c.withColumn("price_yuan", F.col("price_yuan").cast("double")).withColumn("area", F.col("area").cast("double"))
+
+
+def listing_metrics(spark, sf_dir, *, indexes=None, **opts):
+    from tallyhouse.operators import listings as L
+
+    return rounded(
+        L.listing_metrics(
+            td.listing_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.DS, td.AS_OF, indexes=indexes, **opts
+        )
+    )
+
+
+def listing_volume(spark, sf_dir):
+    return listing_metrics(spark, sf_dir, indexes=[S.INDEX_QUOTED_VOLUME])
+
+
+def listing_price_avg(spark, sf_dir):
+    return listing_metrics(spark, sf_dir, indexes=[S.INDEX_QUOTED_PRICE_AVG]).where(F.col("obj_type") != S.OBJ_HOUSE)
+
+
+def listing_price_house(spark, sf_dir, **opts):
+    return listing_metrics(spark, sf_dir, indexes=[S.INDEX_QUOTED_PRICE_AVG], **opts).where(
+        F.col("obj_type") == S.OBJ_HOUSE
+    )
