@@ -342,3 +342,65 @@ SELECT dim, "index", obj_type, obj_value, period_type, period_value,
        {_r('current_result')} AS current_result, {_r('previous_result')} AS previous_result,
        {_r('mom')} AS mom, CAST(NULL AS DOUBLE) AS yoy
 FROM metrics"""
+
+
+def metrics_all_sql() -> str:
+    return f"SELECT * FROM ({deal_metrics_sql()}) d\nUNION ALL\nSELECT * FROM ({listing_metrics_sql()}) l"
+
+
+def area_band_histogram_sql() -> str:
+    return f"""
+WITH {ADAPTERS}, {BANDS},
+{LISTING_CLEAN.format(segment="TRUE")}
+SELECT c.city_id, c.band_lo, count(*) AS listings, max(b.b_hi) AS band_hi
+FROM clean c JOIN bands b ON c.band_lo = b.b_lo
+GROUP BY c.city_id, c.band_lo"""
+
+
+def month_bounds_sql() -> str:
+    return """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT day, strftime(day, '%Y-%m') AS period,
+       CAST(date_trunc('month', day) AS DATE) AS s, CAST(last_day(day) AS DATE) AS e,
+       CAST(date_trunc('month', day) - INTERVAL 1 MONTH AS DATE) AS p_s,
+       CAST(last_day(day) - INTERVAL 1 MONTH AS DATE) AS p_e,
+       CAST(last_day(CAST(day - INTERVAL 1 MONTH AS DATE)) AS DATE) AS p_e_calendar
+FROM d"""
+
+
+def cyclical_period_of_date_sql() -> str:
+    return f"""
+WITH {ADAPTERS.split('periods(')[0]}periods(pname, lo, hi, s_off, ps_off, pe_off) AS (
+  VALUES ('Yesterday', 1, 1, 1, 2, 2), ('SevenDays', 2, 7, 7, 14, 8), ('ThirtyDays', 8, 30, 30, 60, 31),
+         ('SixtyDays', 31, 60, 60, 120, 61), ('NinetyDays', 61, 90, 90, 180, 91),
+         ('SixMonths', 91, 180, 180, 360, 181), ('OneYear', 181, 360, 360, 720, 361)
+),
+d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT d.day, p.pname AS period,
+       CASE WHEN p.pname IS NOT NULL THEN {AS_OF} - p.s_off END AS s,
+       CASE WHEN p.pname IS NOT NULL THEN {AS_OF} - 1 END AS e,
+       CASE WHEN p.pname IS NOT NULL THEN {AS_OF} - p.ps_off END AS p_s,
+       CASE WHEN p.pname IS NOT NULL THEN {AS_OF} - p.pe_off END AS p_e
+FROM d LEFT JOIN periods p ON date_diff('day', d.day, {AS_OF}) BETWEEN p.lo AND p.hi"""
+
+
+def word_count_sql() -> str:
+    return r"""
+WITH docs AS (
+  SELECT regexp_replace(text, '(\r\n|\r|\n)\z', '') AS body FROM documents WHERE text IS NOT NULL AND text <> ''
+),
+lines AS (SELECT unnest(regexp_split_to_array(body, '\r\n|\r|\n')) AS line FROM docs),
+toks AS (
+  SELECT CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN CAST([] AS VARCHAR[])
+              ELSE string_split(rtrim(line, ' '), ' ') END AS arr
+  FROM lines
+)
+SELECT word, count(*) AS "count" FROM (SELECT unnest(arr) AS word FROM toks) t GROUP BY word"""
+
+
+def typed_csv_sql() -> str:
+    return """
+SELECT c_name AS name,
+       CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE CAST(c_custkey % 90 + 10 AS INTEGER) END AS age,
+       CASE WHEN c_custkey % 50 = 0 THEN c_name END AS _corrupt_record
+FROM customer"""

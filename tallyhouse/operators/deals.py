@@ -167,19 +167,25 @@ def deal_object_stats(
     prev = in_window(day, F.col("cyc"), previous=True)
     vcur = in_window(day, F.col("vol"))
     vprev = in_window(day, F.col("vol"), previous=True)
-    return grain.groupBy(*S.OBJECT_KEYS).agg(
+    # Only fixed-width buffers (no string max), so both aggregate phases stay
+    # hash-based; the labels are derived from the carried days afterwards.
+    stats = grain.groupBy(*S.OBJECT_KEYS).agg(
         F.sum("n").cast("long").alias("total"),
-        F.max(F.col("cyc.period")).alias("price_period"),
+        F.max("latest").alias("latest"),
+        F.max("release_day").alias("release_day"),
         cnt(cur).alias("n_cur"),
         total(cur, "sp").alias("sp_cur"),
         total(cur, "sa").alias("sa_cur"),
         cnt(prev).alias("n_prev"),
         total(prev, "sp").alias("sp_prev"),
         total(prev, "sa").alias("sa_prev"),
-        F.max(F.col("vol.period")).alias("volume_period"),
         cnt(vcur).alias("v_cur"),
         cnt(vprev).alias("v_prev"),
     )
+    price_period = cyclical_window(F.col("latest"), as_of)["period"]
+    month_of = F.when(is_house, F.col("latest")).otherwise(F.col("release_day"))
+    volume_period = F.when(is_new, price_period).otherwise(F.date_format(month_of, "yyyy-MM"))
+    return stats.withColumn("price_period", price_period).withColumn("volume_period", volume_period)
 
 
 def deal_metric_rows(stats: DataFrame, indexes=None) -> DataFrame:

@@ -97,3 +97,99 @@ def listing_price_house(spark, sf_dir, **opts):
     return listing_metrics(spark, sf_dir, indexes=[S.INDEX_QUOTED_PRICE_AVG], **opts).where(
         F.col("obj_type") == S.OBJ_HOUSE
     )
+
+
+def metrics_all(spark, sf_dir):
+    """Both jobs' rows for the day: the content of one ``ds`` partition."""
+    return deal_metrics(spark, sf_dir).unionByName(listing_metrics(spark, sf_dir))
+
+
+def area_band_histogram(spark, sf_dir):
+    from tallyhouse.functions.bands import band_upper_of
+    from tallyhouse.operators import listings as L
+
+    clean = L.clean_listings(td.listing_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.DS, td.AS_OF)
+    return (
+        clean.groupBy("city_id", "band_lo")
+        .agg(F.count(F.lit(1)).alias("listings"))
+        .withColumn("band_hi", band_upper_of(F.col("band_lo")))
+    )
+
+
+def month_bounds(spark, sf_dir):
+    from tallyhouse.functions.periods import month_window
+
+    days = td.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    m, c = month_window(F.col("day")), month_window(F.col("day"), calendar_months=True)
+    return days.select(
+        "day",
+        m["period"].alias("period"),
+        m["s"].alias("s"),
+        m["e"].alias("e"),
+        m["p_s"].alias("p_s"),
+        m["p_e"].alias("p_e"),
+        c["p_e"].alias("p_e_calendar"),
+    )
+
+
+def cyclical_period_of_date(spark, sf_dir):
+    from tallyhouse.functions.periods import cyclical_window
+
+    days = td.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    w = cyclical_window(F.col("day"), td.AS_OF)
+    return days.select("day", *[w[f].alias(f) for f in ("period", "s", "e", "p_s", "p_e")])
+
+
+def word_count(spark, sf_dir):
+    from tallyhouse.operators.wordcount import document_word_count
+    from tallyhouse.sources.tables import spread
+
+    return document_word_count(spread(td.table(spark, sf_dir, "documents").select("text")))
+
+
+def _people_lines(spark, sf_dir):
+    c = F.col("c_custkey")
+    age = (c % 90 + 10).cast("string")
+    line = F.when(c % 50 == 0, F.col("c_name")).otherwise(F.concat(F.col("c_name"), F.lit(", "), age, F.lit(" ")))
+    return td.table(spark, sf_dir, "customer").select(line.alias("value"))
+
+
+def typed_csv(spark, sf_dir):
+    """Delimited text -> typed rows: lines derived from ``customer`` are
+    written as a text file, then parsed into ``(name string, age int)``."""
+    from pyspark.sql import types as T
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.text import read_typed_lines
+
+    path = scratch_path(spark, "people")
+    _people_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return read_typed_lines(spark, path, [("name", T.StringType()), ("age", T.IntegerType())], trim=("age",))
+
+
+def tsv_null_roundtrip(spark, sf_dir):
+    """Metrics written as tab-delimited text with ``\\N`` nulls and read back."""
+    from tallyhouse.schema import METRICS_SCHEMA
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sinks.writers import write_delimited
+    from tallyhouse.sources.text import read_delimited_table
+
+    path = scratch_path(spark, "metrics-tsv")
+    write_delimited(metrics_all(spark, sf_dir), path)
+    return read_delimited_table(spark, path, METRICS_SCHEMA)
+
+
+def partition_write_roundtrip(spark, sf_dir):
+    """Metrics written twice into partition ``ds`` (overwrite: idempotent),
+    plus an older partition, then read back through partition pruning."""
+    from tallyhouse.schema import METRIC_COLUMNS
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sinks.writers import write_partition
+    from tallyhouse.sources.tables import read_partition
+
+    path = scratch_path(spark, "metrics-table")
+    rows = metrics_all(spark, sf_dir)
+    write_partition(rows.limit(10), path, "2001-11-03")
+    write_partition(rows, path, td.DS)
+    write_partition(rows, path, td.DS)
+    return read_partition(spark, path, td.DS, fmt="parquet").select(*METRIC_COLUMNS)
