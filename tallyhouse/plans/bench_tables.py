@@ -144,7 +144,7 @@ def word_count(spark, sf_dir):
     from tallyhouse.operators.wordcount import document_word_count
     from tallyhouse.sources.tables import spread
 
-    return document_word_count(spread(td.table(spark, sf_dir, "documents").select("text")))
+    return document_word_count(spread(td.table(spark, sf_dir, "documents"), "doc_id").select("text"))
 
 
 def _people_lines(spark, sf_dir):

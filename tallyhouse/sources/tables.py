@@ -24,12 +24,14 @@ def read_partition(spark: SparkSession, name_or_path: str, ds: str, *, fmt: str
     return df.where(F.col("ds") == F.lit(ds))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input whose scan yields fewer partitions than the
-    session's parallelism (unsplittable files); otherwise return it as is.
-
-    On a cluster the scan of a large table already has far more partitions
-    than cores, so this adds no exchange there.
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input whose scan yields fewer partitions than the session's
+    parallelism (unsplittable files); otherwise return it as is.
+
+    With ``keys`` the rows are hash-partitioned on them (no per-partition sort,
+    unlike round-robin, which sorts to stay deterministic on retry).  On a
+    cluster the scan of a large table already has far more partitions than
+    cores, so this adds no exchange there.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
@@ -37,4 +39,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         current = df.rdd.getNumPartitions()
     except Exception:  # e.g. no RDD API on this session type
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

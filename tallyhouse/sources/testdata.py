@@ -30,13 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def fact_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
     """A fact table spread over at least the session's parallelism.
 
     The generated files hold a single row group each, which Spark cannot split,
     so a fact scan would otherwise run the whole map side in one task.
     """
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), *keys)
 
 
 def _day_text(day: Column) -> Column:
@@ -70,7 +70,7 @@ def community_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deal_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stg_house_detail_deal_data`` derived from lineitem x supplier."""
-    li = fact_table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
         "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -95,7 +95,7 @@ def deal_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stg_estate_pub_info`` derived from lineitem x supplier x part."""
-    li = fact_table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_discount", "l_quantity", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
