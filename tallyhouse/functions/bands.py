@@ -16,17 +16,14 @@ AREA_BANDS = (
 DEFAULT_BAND = (90, 100)
 
 
-def band_lower(area: Column) -> Column:
-    """Lower bound of the area band of an integer ``area`` (identifies the band)."""
-    expr = None
-    for lo, hi in AREA_BANDS:
-        cond = (area > F.lit(lo)) & (area <= F.lit(hi))
-        expr = F.when(cond, F.lit(lo)) if expr is None else expr.when(cond, F.lit(lo))
-    return expr.otherwise(F.lit(DEFAULT_BAND[0]))
+def band_lower(area: str) -> Column:
+    """Lower bound of the area band of integer column ``area`` (identifies the band)."""
+    c = "`" + area + "`"
+    body = " ".join(f"WHEN {c} > {lo} AND {c} <= {hi} THEN {lo}" for lo, hi in AREA_BANDS)
+    return F.expr(f"CASE {body} ELSE {DEFAULT_BAND[0]} END")
 
 
-def band_upper_of(lower: Column) -> Column:
-    expr = None
-    for lo, hi in AREA_BANDS:
-        expr = F.when(lower == lo, F.lit(hi)) if expr is None else expr.when(lower == lo, F.lit(hi))
-    return expr
+def band_upper_of(lower: str) -> Column:
+    c = "`" + lower + "`"
+    body = " ".join(f"WHEN {c} = {lo} THEN {hi}" for lo, hi in AREA_BANDS)
+    return F.expr(f"CASE {body} END")

@@ -15,14 +15,13 @@ LEVEL_PREFIX = {
 }
 
 
-def _text(c: Column) -> Column:
-    # A missing key is a real group and prints as the word null.
-    return F.coalesce(c.cast("string"), F.lit("null"))
-
-
-def object_label(obj_type: Column, city: Column, key: Column) -> Column:
-    city_part = F.concat(F.lit("city:"), _text(city))
-    expr = F.when(obj_type == F.lit(S.OBJ_CITY), city_part)
-    for level, prefix in LEVEL_PREFIX.items():
-        expr = expr.when(obj_type == F.lit(level), F.concat(city_part, F.lit(prefix), _text(key)))
-    return expr
+def object_label(obj_type: str, city: str, key: str) -> Column:
+    """``city:C`` plus ``,level:K`` below the city; a missing key is a real
+    group and prints as the word null."""
+    t, c, k = (f"`{n}`" for n in (obj_type, city, key))
+    city_part = f"concat('city:', coalesce(CAST({c} AS STRING), 'null'))"
+    body = f"WHEN {t} = '{S.OBJ_CITY}' THEN {city_part} " + " ".join(
+        f"WHEN {t} = '{level}' THEN concat({city_part}, '{prefix}', coalesce(CAST({k} AS STRING), 'null'))"
+        for level, prefix in LEVEL_PREFIX.items()
+    )
+    return F.expr(f"CASE {body} END")

@@ -5,11 +5,14 @@ Plan (one Catalyst plan, two exchanges):
 1. scan the day partition, join the community dimension (size-checked
    broadcast), derive segment, plate, effective price;
 2. explode every deal into its four object levels and pre-aggregate to a
-   *daily grain* ``(dim, obj_type, city, key, day)`` with partial
-   (map-side) aggregation -- a hot city or house is combined before the
-   shuffle, so skew never reaches one task as raw rows;
-3. per object, ``max(day)`` over a window on the daily grain (a group here is
-   bounded by the number of distinct days, not by deals), attach the city's
+   *slot grain* ``(dim, obj_type, city, key, slot)`` with partial (map-side)
+   aggregation -- a hot city or house is combined before the shuffle, so skew
+   never reaches one task as raw rows.  Slots (see
+   :func:`~tallyhouse.functions.periods.time_slot`) are at most about four
+   per month plus one per look-back edge, and every statistic window is a
+   union of whole slots;
+3. per object, the latest day over a window on the slot grain (a group here
+   is bounded by the number of slots, not by deals), attach the city's
    release month (small broadcast lookup), derive the statistic windows;
 4. one grouped aggregate of conditional sums on the same partitioning, then
    an in-stage unpivot to tall rows.
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import schema as S
 from tallyhouse.functions.numeric import change_pct, parse_amount, parse_day, ratio
-from tallyhouse.functions.periods import cyclical_window, in_window, month_window
+from tallyhouse.functions.periods import cyclical_window, month_window, slot_in_window, time_slot
 from tallyhouse.operators.joins import sized_broadcast
 from tallyhouse.operators.levels import ALL_LEVELS, explode_levels
 from tallyhouse.operators.tall import MetricSpec, to_metric_rows
@@ -107,17 +110,18 @@ def release_months(release: DataFrame, column: str = "second_updated") -> DataFr
     )
 
 
-def daily_grain(enriched: DataFrame, levels=ALL_LEVELS) -> DataFrame:
-    """``(dim, obj_type, city_id, obj_key, deal_day)`` -> n, sp, sa."""
+def slot_grain(enriched: DataFrame, as_of, levels=ALL_LEVELS) -> DataFrame:
+    """``(dim, obj_type, city_id, obj_key, slot_first, slot_last)`` -> n, sp, sa, last_day."""
     valid = F.col("price").isNotNull() & F.col("area").isNotNull()
-    return (
-        explode_levels(enriched, levels)
-        .groupBy(*S.OBJECT_KEYS, "deal_day")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.when(valid, F.col("price"))).alias("sp"),
-            F.sum(F.when(valid, F.col("area"))).alias("sa"),
-        )
+    first, last = time_slot("deal_day", as_of)
+    rows = explode_levels(enriched, levels).select(
+        *S.OBJECT_KEYS, "deal_day", "price", "area", first.alias("slot_first"), last.alias("slot_last")
+    )
+    return rows.groupBy(*S.OBJECT_KEYS, "slot_first", "slot_last").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(valid, F.col("price"))).alias("sp"),
+        F.sum(F.when(valid, F.col("area"))).alias("sa"),
+        F.max("deal_day").alias("last_day"),
     )
 
 
@@ -137,25 +141,25 @@ def deal_object_stats(
     of the city's release day (city, district, plate) or the month of the
     object's latest deal (house).
     """
-    grain = daily_grain(enriched, levels)
+    grain = slot_grain(enriched, as_of, levels)
     obj = Window.partitionBy(*S.OBJECT_KEYS)
-    grain = grain.withColumn("latest", F.max("deal_day").over(obj))
+    grain = grain.withColumn("latest", F.max("last_day").over(obj))
     if release is not None:
         rel = sized_broadcast(release_months(release), lookup_broadcast_rows)
         grain = grain.join(rel, grain.city_id == rel._rel_city, "left").drop("_rel_city")
     else:
         grain = grain.withColumn("release_day", F.lit(None).cast("date"))
 
-    cyc = cyclical_window(F.col("latest"), as_of)
+    cyc = cyclical_window("latest", as_of)
     is_new = F.col("dim") == S.DIM_NEW
     is_house = F.col("obj_type") == S.OBJ_HOUSE
     vol = (
         F.when(is_new, cyc)
-        .when(is_house, month_window(F.col("latest"), calendar_months))
-        .otherwise(month_window(F.col("release_day"), calendar_months))
+        .when(is_house, month_window("latest", calendar_months))
+        .otherwise(month_window("release_day", calendar_months))
     )
     grain = grain.withColumn("cyc", cyc).withColumn("vol", vol)
-    day = F.col("deal_day")
+    first, last = F.col("slot_first"), F.col("slot_last")
 
     def cnt(cond):
         return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("long")
@@ -163,10 +167,10 @@ def deal_object_stats(
     def total(cond, c):
         return F.sum(F.when(cond, F.col(c)))
 
-    cur = in_window(day, F.col("cyc"))
-    prev = in_window(day, F.col("cyc"), previous=True)
-    vcur = in_window(day, F.col("vol"))
-    vprev = in_window(day, F.col("vol"), previous=True)
+    cur = slot_in_window(first, last, F.col("cyc"))
+    prev = slot_in_window(first, last, F.col("cyc"), previous=True)
+    vcur = slot_in_window(first, last, F.col("vol"))
+    vprev = slot_in_window(first, last, F.col("vol"), previous=True)
     # Only fixed-width buffers (no string max), so both aggregate phases stay
     # hash-based; the labels are derived from the carried days afterwards.
     stats = grain.groupBy(*S.OBJECT_KEYS).agg(
@@ -182,7 +186,7 @@ def deal_object_stats(
         cnt(vcur).alias("v_cur"),
         cnt(vprev).alias("v_prev"),
     )
-    price_period = cyclical_window(F.col("latest"), as_of)["period"]
+    price_period = cyclical_window("latest", as_of)["period"]
     month_of = F.when(is_house, F.col("latest")).otherwise(F.col("release_day"))
     volume_period = F.when(is_new, price_period).otherwise(F.date_format(month_of, "yyyy-MM"))
     return stats.withColumn("price_period", price_period).withColumn("volume_period", volume_period)

@@ -4,17 +4,21 @@ Plan:
 
 1. scan the day partition, join the community dimension (size-checked
    broadcast), apply the quality filters, clip each listing's end day;
-2. explode into object levels and run **one** grouped aggregate holding, for
-   each of the seven look-back windows, the count and sums of the listings in
-   its current window (overlap) and its previous window (containment), plus
-   the latest end day.  The object's window is picked after aggregation from
-   the latest day, so no window function or join-back is needed and the
-   aggregate combines map-side (skew safe);
+2. explode into object levels and pre-aggregate (map-side, skew safe) to a
+   grain of (object, first-day slot, end-day slot), where slots cut the
+   calendar at the window edges, so every window predicate has one value per
+   grain row; then one grouped aggregate holds, for each of the seven
+   look-back windows, the count and sums of the listings in its current
+   window (overlap) and its previous window (containment), plus the latest end
+   day.  The object's window is picked after aggregation from the latest day,
+   so no window function or join-back is needed;
 3. communities with more than three listings in a window get the robust
-   price of :mod:`tallyhouse.operators.houseprice`: their listings are joined
-   to the per-community window bounds (one row per community; Spark chooses
-   broadcast or shuffle from measured sizes), reduced to a
-   (community, window, band, unit price) grain, and ranked;
+   price of :mod:`tallyhouse.operators.houseprice`, computed from the HOUSE
+   rows of the same grain (which keep band and unit price): a window over the
+   community finds its latest day and window counts, rows are reduced to a
+   (community, window, band, unit price) grain and ranked.  Both consumers
+   read the one shuffle of the grain (exchange reuse), so the listings are
+   scanned once;
 4. unpivot to tall rows.
 """
 
@@ -23,13 +27,20 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import schema as S
 from tallyhouse.functions.bands import band_lower
 from tallyhouse.functions.numeric import change_pct, parse_amount, parse_day, parse_double, ratio
-from tallyhouse.functions.periods import CYCLICAL_PERIODS, as_date, cyclical_index, cyclical_table
+from tallyhouse.functions.periods import (
+    CYCLICAL_PERIODS,
+    as_date,
+    cyclical_index,
+    cyclical_table,
+    cyclical_window,
+    floor_to_cut,
+)
 from tallyhouse.operators.deals import DEFAULT_DIM_BROADCAST_ROWS, community_keys
 from tallyhouse.operators.houseprice import SEGMENT, house_price, unit_price
 from tallyhouse.operators.joins import sized_broadcast
@@ -102,7 +113,7 @@ def clean_listings(
     )
     area_int = F.floor(parse_double(F.col("area"))).cast("long")
     cents_int = F.floor(parse_amount(F.col("quoted_price"))).cast("long")
-    return j.select(
+    out = j.select(
         "city_id",
         "district_id",
         "plate_id",
@@ -112,48 +123,87 @@ def clean_listings(
         (parse_amount(F.col("quoted_price")) * F.lit(Decimal("0.01"))).alias("price_yuan"),
         parse_amount(F.col("area")).alias("area"),
         unit_price(cents_int, area_int).alias("u"),
-        band_lower(area_int).alias("band_lo"),
+        area_int.alias("area_int"),
     )
+    return out.withColumn("band_lo", band_lower("area_int")).drop("area_int")
 
 
-def _windows(as_of, previous: str):
-    for name, s, e, p_s, p_e in cyclical_table(as_of):
-        first, end = F.col("first_day"), F.col("end_day")
-        cur = (first <= F.lit(e)) & (end >= F.lit(s))
-        if previous == "cover":
-            prev = (first <= F.lit(p_s)) & (end >= F.lit(p_e))
-        elif previous == "overlap":
-            prev = (first <= F.lit(p_e)) & (end >= F.lit(p_s))
-        else:
-            raise ValueError("previous must be 'cover' or 'overlap'")
-        yield name, (s, e, p_s, p_e), cur, prev
+def _slot_cuts(as_of) -> tuple[list, list]:
+    """Cut dates for the two interval ends.  Every predicate on a listing is
+    ``first_day <= x`` (cut at ``x + 1``) or ``end_day >= y`` (cut at ``y``)
+    for an edge ``x``/``y`` of some window, current or previous, under either
+    previous-window rule."""
+    one = _dt.timedelta(days=1)
+    first_cuts, end_cuts = set(), set()
+    for _, s, e, p_s, p_e in cyclical_table(as_of):
+        first_cuts.update((e + one, p_s + one, p_e + one))
+        end_cuts.update((s, p_s, p_e))
+    return sorted(first_cuts), sorted(end_cuts)
 
 
-def listing_object_stats(clean: DataFrame, as_of, *, levels=LEVELS, previous: str = "cover") -> DataFrame:
+def listing_grain(clean: DataFrame, as_of, *, levels=LEVELS) -> DataFrame:
+    """``(object, first slot, end slot[, band, unit price]) -> n, sums, latest end``.
+
+    Grouping the interval ends by the window cut dates leaves every window
+    predicate constant within a grain row, so per-window counts and sums come
+    from the grain exactly.  HOUSE rows also keep the area band and the unit
+    price, which the robust price needs; other levels leave them null.  This
+    is the only aggregate over the listing rows (partial, map-side)."""
+    first_cuts, end_cuts = _slot_cuts(as_of)
+    is_house = F.col("obj_type") == S.OBJ_HOUSE
+    rows = explode_levels(clean.withColumn("dim", F.lit(S.DIM_SECOND)), levels).select(
+        *S.OBJECT_KEYS,
+        floor_to_cut("first_day", first_cuts).alias("first_slot"),
+        floor_to_cut("end_day", end_cuts).alias("end_slot"),
+        F.when(is_house, F.col("band_lo")).alias("band_lo"),
+        F.when(is_house, F.col("u")).alias("u"),
+        "end_day",
+        "price_yuan",
+        "area",
+    )
+    return rows.groupBy(*S.OBJECT_KEYS, "first_slot", "end_slot", "band_lo", "u").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("price_yuan").alias("price_yuan"),
+        F.sum("area").alias("area"),
+        F.max("end_day").alias("last_end"),
+    )
+
+
+def _membership(first: Column, end: Column, s, e, p_s, p_e, previous: str) -> tuple[Column, Column]:
+    cur = (first <= e) & (end >= s)
+    if previous == "cover":
+        prev = (first <= p_s) & (end >= p_e)
+    elif previous == "overlap":
+        prev = (first <= p_e) & (end >= p_s)
+    else:
+        raise ValueError("previous must be 'cover' or 'overlap'")
+    return cur, prev
+
+
+def listing_object_stats(grain: DataFrame, as_of, *, previous: str = "cover") -> DataFrame:
     """One wide row per object: latest end day, chosen window, and count and
     sums of the listings in its current and previous window."""
-    rows = explode_levels(clean.withColumn("dim", F.lit(S.DIM_SECOND)), levels)
-    aggs = [F.max("end_day").alias("latest")]
-    for k, (_, _, cur, prev) in enumerate(_windows(as_of, previous)):
+    first, end = F.col("first_slot"), F.col("end_slot")
+    aggs = [F.max("last_end").alias("latest")]
+    for k, (_, s, e, p_s, p_e) in enumerate(cyclical_table(as_of)):
+        cur, prev = _membership(first, end, F.lit(s), F.lit(e), F.lit(p_s), F.lit(p_e), previous)
         for tag, cond in (("c", cur), ("p", prev)):
             aggs += [
-                F.count_if(cond).alias(f"n{tag}{k}"),
+                F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).alias(f"n{tag}{k}"),
                 F.sum(F.when(cond, F.col("price_yuan"))).alias(f"y{tag}{k}"),
                 F.sum(F.when(cond, F.col("area"))).alias(f"a{tag}{k}"),
             ]
-    wide = rows.groupBy(*S.OBJECT_KEYS).agg(*aggs)
-    idx = cyclical_index(F.col("latest"), as_of)
+    wide = grain.groupBy(*S.OBJECT_KEYS).agg(*aggs)
+    idx = cyclical_index("latest", as_of)
 
     def pick(prefix: str) -> Column:
-        return F.get(F.array(*[F.col(f"{prefix}{k}") for k in range(len(CYCLICAL_PERIODS))]), idx)
+        return F.get(F.array(*[F.col(f"{prefix}{k}") for k in range(len(CYCLICAL_PERIODS))]), F.col("_idx"))
 
-    bounds = list(zip(*[b for _, b, _, _ in _windows(as_of, previous)]))
     names = [name for name, *_ in CYCLICAL_PERIODS]
-    return wide.select(
+    return wide.withColumn("_idx", idx).select(
         *S.OBJECT_KEYS,
         "latest",
-        F.get(F.array(*[F.lit(n) for n in names]), idx).alias("period"),
-        *[F.get(F.array(*[F.lit(v) for v in vals]), idx).alias(col) for col, vals in zip(("s", "e", "p_s", "p_e"), bounds)],
+        F.get(F.array(*[F.lit(n) for n in names]), F.col("_idx")).alias("period"),
         pick("nc").alias("n_cur"),
         pick("yc").alias("y_cur"),
         pick("ac").alias("a_cur"),
@@ -164,40 +214,41 @@ def listing_object_stats(clean: DataFrame, as_of, *, levels=LEVELS, previous: st
 
 
 def house_prices(
-    clean: DataFrame,
-    stats: DataFrame,
+    grain: DataFrame,
+    as_of,
     *,
     previous: str = "cover",
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
     """``(city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
-    than ``segment`` listings in a window (robust price)."""
-    need = stats.where(
-        (F.col("obj_type") == S.OBJ_HOUSE)
-        & F.col("period").isNotNull()
-        & ((F.col("n_cur") > segment) | (F.col("n_prev") > segment))
-    ).select("city_id", F.col("obj_key").alias("house_id"), "s", "e", "p_s", "p_e", "n_cur", "n_prev")
-    rows = clean.select("city_id", "house_id", "first_day", "end_day", "price_yuan", "area", "u", "band_lo")
-    j = rows.join(need, ["city_id", "house_id"])
-    first, end = F.col("first_day"), F.col("end_day")
-    cur = (first <= F.col("e")) & (end >= F.col("s"))
-    if previous == "cover":
-        prev = (first <= F.col("p_s")) & (end >= F.col("p_e"))
-    else:
-        prev = (first <= F.col("p_e")) & (end >= F.col("p_s"))
+    than ``segment`` listings in a window (robust price).
+
+    Works on the HOUSE part of :func:`listing_grain`; a community's partition
+    holds one row per (slot pair, band, unit price), which the listing filters
+    bound, never one row per listing."""
+    house = Window.partitionBy("city_id", "obj_key")
+    g = grain.where(F.col("obj_type") == S.OBJ_HOUSE).withColumn("_latest", F.max("last_end").over(house))
+    w = cyclical_window("_latest", as_of)
+    cur, prev = _membership(F.col("first_slot"), F.col("end_slot"), w["s"], w["e"], w["p_s"], w["p_e"], previous)
+    g = (
+        g.withColumn("_cur", F.coalesce(cur, F.lit(False)))
+        .withColumn("_prev", F.coalesce(prev, F.lit(False)))
+        .withColumn("_n_cur", F.sum(F.when(F.col("_cur"), F.col("n"))).over(house))
+        .withColumn("_n_prev", F.sum(F.when(F.col("_prev"), F.col("n"))).over(house))
+    )
     kinds = F.array(
-        F.when(cur & (F.col("n_cur") > segment), F.lit("cur")),
-        F.when(prev & (F.col("n_prev") > segment), F.lit("prev")),
+        F.when(F.col("_cur") & (F.col("_n_cur") > segment), F.lit("cur")),
+        F.when(F.col("_prev") & (F.col("_n_prev") > segment), F.lit("prev")),
     )
-    grain = (
-        j.select("city_id", "house_id", "u", "band_lo", "price_yuan", "area", F.explode(kinds).alias("kind"))
+    per_kind = (
+        g.select("city_id", "obj_key", "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
-        .groupBy("city_id", "house_id", "kind", "band_lo", "u")
-        .agg(F.count(F.lit(1)).alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
+        .groupBy("city_id", "obj_key", "kind", "band_lo", "u")
+        .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
     )
-    hp = house_price(grain, ["city_id", "house_id", "kind"], area_bands=area_bands, segment=segment)
-    return hp.groupBy(F.col("city_id"), F.col("house_id").alias("obj_key")).agg(
+    hp = house_price(per_kind, ["city_id", "obj_key", "kind"], area_bands=area_bands, segment=segment)
+    return hp.groupBy("city_id", "obj_key").agg(
         F.max(F.when(F.col("kind") == "cur", F.col("price"))).alias("hp_cur"),
         F.max(F.when(F.col("kind") == "prev", F.col("price"))).alias("hp_prev"),
     )
@@ -250,7 +301,8 @@ def listing_metrics(
     robust price to the main area bands.
     """
     clean = clean_listings(listings, dim, ds, as_of, segments=segments, dim_broadcast_rows=dim_broadcast_rows)
-    stats = listing_object_stats(clean, as_of, levels=LEVELS_WITH_PLATE if emit_plate else LEVELS, previous=previous)
+    grain = listing_grain(clean, as_of, levels=LEVELS_WITH_PLATE if emit_plate else LEVELS)
+    stats = listing_object_stats(grain, as_of, previous=previous)
     wants_price = indexes is None or S.INDEX_QUOTED_PRICE_AVG in indexes
-    prices = house_prices(clean, stats, previous=previous, area_bands=area_bands) if wants_price else None
+    prices = house_prices(grain, as_of, previous=previous, area_bands=area_bands) if wants_price else None
     return listing_metric_rows(stats, prices, indexes=indexes)

@@ -41,7 +41,7 @@ def to_metric_rows(wide: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
         )
         for s in specs
     ]
-    label = object_label(F.col("obj_type"), F.col("city_id"), F.col("obj_key"))
+    label = object_label("obj_type", "city_id", "obj_key")
     out = wide.select("dim", "obj_type", label.alias("obj_value"), F.inline(F.array(*structs)))
     return out.where(F.col("current_result").isNotNull() & F.col("period_value").isNotNull()).select(
         "dim",

@@ -112,7 +112,7 @@ def area_band_histogram(spark, sf_dir):
     return (
         clean.groupBy("city_id", "band_lo")
         .agg(F.count(F.lit(1)).alias("listings"))
-        .withColumn("band_hi", band_upper_of(F.col("band_lo")))
+        .withColumn("band_hi", band_upper_of("band_lo"))
     )
 
 
@@ -120,7 +120,7 @@ def month_bounds(spark, sf_dir):
     from tallyhouse.functions.periods import month_window
 
     days = td.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    m, c = month_window(F.col("day")), month_window(F.col("day"), calendar_months=True)
+    m, c = month_window("day"), month_window("day", calendar_months=True)
     return days.select(
         "day",
         m["period"].alias("period"),
@@ -136,7 +136,7 @@ def cyclical_period_of_date(spark, sf_dir):
     from tallyhouse.functions.periods import cyclical_window
 
     days = td.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    w = cyclical_window(F.col("day"), td.AS_OF)
+    w = cyclical_window("day", td.AS_OF)
     return days.select("day", *[w[f].alias(f) for f in ("period", "s", "e", "p_s", "p_e")])
 
 

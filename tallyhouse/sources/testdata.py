@@ -26,8 +26,17 @@ TABLES = (
 )
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table; one DataFrame per session and file is reused, so its
+    schema is inferred once however many plans read it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:

@@ -8,7 +8,7 @@ from tallyhouse.functions.numeric import change_pct, parse_amount, parse_day, ra
 def test_area_bands(spark):
     areas = [60, 61, 120, 135, 500, 501, 0, 1000000]
     df = spark.createDataFrame([(a,) for a in areas], "a long")
-    rows = df.select("a", band_lower(F.col("a")).alias("lo")).withColumn("hi", band_upper_of(F.col("lo"))).collect()
+    rows = df.select("a", band_lower("a").alias("lo")).withColumn("hi", band_upper_of("lo")).collect()
     got = {r.a: (r.lo, r.hi) for r in rows}
     assert got == {
         60: (0, 60), 61: (60, 70), 120: (110, 120), 135: (120, 135), 500: (450, 500),
@@ -21,7 +21,7 @@ def test_labels_with_null_keys(spark):
         [("CITY", "1", None), ("DISTRICT", "1", "3"), ("PLATE", "1", None), ("HOUSE", "1", "77")],
         "t string, c string, k string",
     )
-    got = [r[0] for r in df.select(object_label(F.col("t"), F.col("c"), F.col("k"))).collect()]
+    got = [r[0] for r in df.select(object_label("t", "c", "k")).collect()]
     assert got == ["city:1", "city:1,district:3", "city:1,plate:null", "city:1,house:77"]
 
 

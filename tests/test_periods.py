@@ -26,7 +26,7 @@ def test_cyclical_table():
 def test_cyclical_window_lookup(spark):
     days = ["2018-09-21", "2018-09-20", "2018-09-15", "2018-09-14", "2017-09-27", "2017-09-26", "2018-09-22", "2019-01-01"]
     df = spark.createDataFrame([(D(d),) for d in days], "d date")
-    rows = df.select("d", cyclical_window(F.col("d"), "2018-09-22")["period"].alias("p")).collect()
+    rows = df.select("d", cyclical_window("d", "2018-09-22")["period"].alias("p")).collect()
     got = {r.d.isoformat(): r.p for r in rows}
     assert got == {
         "2018-09-21": "Yesterday",
@@ -42,7 +42,7 @@ def test_cyclical_window_lookup(spark):
 
 def test_month_window(spark):
     df = spark.createDataFrame([(D("2018-06-15"),), (D("2018-02-10"),), (D("2018-03-31"),)], "d date")
-    w, c = month_window(F.col("d")), month_window(F.col("d"), calendar_months=True)
+    w, c = month_window("d"), month_window("d", calendar_months=True)
     rows = df.select("d", w.alias("w"), c["p_e"].alias("cal")).collect()
     got = {r.d.isoformat(): (r.w.period, str(r.w.s), str(r.w.e), str(r.w.p_s), str(r.w.p_e), str(r.cal)) for r in rows}
     assert got == {
@@ -54,4 +54,4 @@ def test_month_window(spark):
 
 def test_month_window_null(spark):
     df = spark.createDataFrame([(None,)], "d date")
-    assert df.select(month_window(F.col("d")).alias("w")).first().w is None
+    assert df.select(month_window("d").alias("w")).first().w is None
