@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The daily statistics are batch jobs over one day partition; there is no
+stream source, watermark, stateful operator or late-data rule to carry over,
+so no Structured Streaming query is defined here.
+"""
