@@ -221,25 +221,34 @@ def house_prices(
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """``(city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
+    """``(obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
     than ``segment`` listings in a window (robust price).
 
     Works on the HOUSE part of :func:`listing_grain`; a community's partition
     holds one row per (slot pair, band, unit price), which the listing filters
     bound, never one row per listing."""
-    house = Window.partitionBy("city_id", "obj_key")
-    g = grain.where(F.col("obj_type") == S.OBJ_HOUSE).withColumn("_latest", F.max("last_end").over(house))
+    # The HOUSE condition sits in the kind expression, evaluated after the
+    # window, rather than in a filter Catalyst would push below the grain
+    # aggregate: the grain subtree then stays identical to the one feeding
+    # listing_object_stats and its shuffle is reused (one scan of the facts).
+    obj = Window.partitionBy(*S.OBJECT_KEYS)
+    g = grain.withColumn("_latest", F.max("last_end").over(obj))
     w = cyclical_window("_latest", as_of)
     cur, prev = _membership(F.col("first_slot"), F.col("end_slot"), w["s"], w["e"], w["p_s"], w["p_e"], previous)
-    g = (
-        g.withColumn("_cur", F.coalesce(cur, F.lit(False)))
-        .withColumn("_prev", F.coalesce(prev, F.lit(False)))
-        .withColumn("_n_cur", F.sum(F.when(F.col("_cur"), F.col("n"))).over(house))
-        .withColumn("_n_prev", F.sum(F.when(F.col("_prev"), F.col("n"))).over(house))
+    g = g.select(
+        "*",
+        F.coalesce(cur, F.lit(False)).alias("_cur"),
+        F.coalesce(prev, F.lit(False)).alias("_prev"),
     )
+    g = g.select(
+        "*",
+        F.sum(F.when(F.col("_cur"), F.col("n"))).over(obj).alias("_n_cur"),
+        F.sum(F.when(F.col("_prev"), F.col("n"))).over(obj).alias("_n_prev"),
+    )
+    is_house = F.col("obj_type") == S.OBJ_HOUSE
     kinds = F.array(
-        F.when(F.col("_cur") & (F.col("_n_cur") > segment), F.lit("cur")),
-        F.when(F.col("_prev") & (F.col("_n_prev") > segment), F.lit("prev")),
+        F.when(is_house & F.col("_cur") & (F.col("_n_cur") > segment), F.lit("cur")),
+        F.when(is_house & F.col("_prev") & (F.col("_n_prev") > segment), F.lit("prev")),
     )
     per_kind = (
         g.select("city_id", "obj_key", "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
@@ -248,7 +257,7 @@ def house_prices(
         .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
     )
     hp = house_price(per_kind, ["city_id", "obj_key", "kind"], area_bands=area_bands, segment=segment)
-    return hp.groupBy("city_id", "obj_key").agg(
+    return hp.groupBy(F.lit(S.OBJ_HOUSE).alias("obj_type"), "city_id", "obj_key").agg(
         F.max(F.when(F.col("kind") == "cur", F.col("price"))).alias("hp_cur"),
         F.max(F.when(F.col("kind") == "prev", F.col("price"))).alias("hp_prev"),
     )
@@ -256,7 +265,19 @@ def house_prices(
 
 def listing_metric_rows(stats: DataFrame, prices: DataFrame | None, *, segment: int = SEGMENT, indexes=None) -> DataFrame:
     if prices is not None:
-        stats = stats.join(prices, ["city_id", "obj_key"], "left")
+        # Null-safe keys: an equi-join would let Catalyst infer "obj_key is
+        # not null" and push it into the shared grain, which would then no
+        # longer be one reused shuffle.
+        p = prices.select(
+            F.col("obj_type").alias("_p_type"), F.col("city_id").alias("_p_city"), F.col("obj_key").alias("_p_key"),
+            "hp_cur", "hp_prev",
+        )
+        on = (
+            stats.obj_type.eqNullSafe(p._p_type)
+            & stats.city_id.eqNullSafe(p._p_city)
+            & stats.obj_key.eqNullSafe(p._p_key)
+        )
+        stats = stats.join(p, on, "left").drop("_p_type", "_p_city", "_p_key")
     else:
         stats = stats.withColumn("hp_cur", F.lit(None).cast("double")).withColumn("hp_prev", F.lit(None).cast("double"))
     is_house = F.col("obj_type") == S.OBJ_HOUSE
