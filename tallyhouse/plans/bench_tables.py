@@ -181,7 +181,8 @@ def tsv_null_roundtrip(spark, sf_dir):
 
 def partition_write_roundtrip(spark, sf_dir):
     """Metrics written twice into partition ``ds`` (overwrite: idempotent),
-    plus an older partition, then read back through partition pruning."""
+    next to an older partition holding the deal rows only, then read back
+    through partition pruning."""
     from tallyhouse.schema import METRIC_COLUMNS
     from tallyhouse.session import scratch_path
     from tallyhouse.sinks.writers import write_partition
@@ -189,7 +190,7 @@ def partition_write_roundtrip(spark, sf_dir):
 
     path = scratch_path(spark, "metrics-table")
     rows = metrics_all(spark, sf_dir)
-    write_partition(rows.limit(10), path, "2001-11-03")
+    write_partition(deal_metrics(spark, sf_dir), path, "2001-11-03")
     write_partition(rows, path, td.DS)
     write_partition(rows, path, td.DS)
     return read_partition(spark, path, td.DS, fmt="parquet").select(*METRIC_COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,4 +50,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{next(tempfile._get_candidate_names())}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -61,3 +61,24 @@ def test_deals_plan_shape(spark):
 def test_listings_plan_shape(spark):
     plan = _plan(B.listing_metrics(spark, SF_SMALL))
     assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def _plan_without_aqe(spark, build):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _plan(build(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_listing_grain_shuffle_is_shared(spark):
+    plan = _plan_without_aqe(spark, B.listing_metrics)
+    # Both consumers (object stats, community price) read one grain shuffle.
+    assert "ReusedExchange" in plan
+
+
+def test_deal_fact_path_has_two_shuffles(spark):
+    plan = _plan_without_aqe(spark, B.deal_metrics)
+    hashed = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "REPARTITION" not in ln]
+    # slot grain + per-object window/aggregate, plus the tiny release lookup aggregate
+    assert len(hashed) == 3, hashed
