@@ -44,13 +44,12 @@ def read_typed_lines(
         typed = raw if isinstance(dtype, T.StringType) else raw.try_cast(dtype)
         ok = ok & typed.isNotNull()
         cols.append(typed.alias(name))
-    df = read_lines(spark, path).select(*cols, F.when(~ok, F.col("value")).alias("_corrupt_record"))
+    lines = read_lines(spark, path)
     if mode == "FAILFAST":
-        df = df.withColumn(
-            "_corrupt_record",
-            F.when(F.col("_corrupt_record").isNotNull(), F.raise_error(F.concat(F.lit("malformed line: "), F.col("_corrupt_record")))),
-        )
-    return df
+        # A filter is never pruned away, unlike an unused column.
+        fail = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value")))
+        lines = lines.where(F.when(~ok, fail).isNull())
+    return lines.select(*cols, F.when(~ok, F.col("value")).alias("_corrupt_record"))
 
 
 def read_delimited_table(

@@ -68,3 +68,22 @@ def test_metrics_table_ddl_and_insert(spark, tmp_path):
     assert spark.table(name).where(F.col("ds") == "2018-09-21").count() == 2
     assert [c for c in spark.table(name).columns] == list(METRIC_COLUMNS) + ["ds"]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_people_demo(spark, tmp_path):
+    from tallyhouse.plans import demos
+
+    p = tmp_path / "people.txt"
+    p.write_text("spark, 10\nhadoop,20\n")
+    assert [(r.name, r.age) for r in demos.people(spark, str(p)).collect()] == [("spark", 10), ("hadoop", 20)]
+    (tmp_path / "bad.txt").write_text("spark,x\n")
+    with pytest.raises(Exception):
+        demos.people(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def test_text_word_count_demo(spark, tmp_path):
+    from tallyhouse.plans import demos
+
+    (tmp_path / "w.txt").write_text("hello scala\njava hadoop\nhadoop demo\n")
+    got = {r.word: r["count"] for r in demos.text_word_count(spark, str(tmp_path / "w.txt")).collect()}
+    assert got == {"scala": 1, "hello": 1, "java": 1, "hadoop": 2, "demo": 1}
