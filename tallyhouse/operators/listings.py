@@ -221,7 +221,7 @@ def house_prices(
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """``(obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
+    """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
     than ``segment`` listings in a window (robust price).
 
     Works on the HOUSE part of :func:`listing_grain`; a community's partition
@@ -250,14 +250,16 @@ def house_prices(
         F.when(is_house & F.col("_cur") & (F.col("_n_cur") > segment), F.lit("cur")),
         F.when(is_house & F.col("_prev") & (F.col("_n_prev") > segment), F.lit("prev")),
     )
+    # Every later grouping and window key starts with the object keys, so the
+    # hash partitioning of the window above serves all of them (no exchange).
     per_kind = (
-        g.select("city_id", "obj_key", "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
+        g.select(*S.OBJECT_KEYS, "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
-        .groupBy("city_id", "obj_key", "kind", "band_lo", "u")
+        .groupBy(*S.OBJECT_KEYS, "kind", "band_lo", "u")
         .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
     )
-    hp = house_price(per_kind, ["city_id", "obj_key", "kind"], area_bands=area_bands, segment=segment)
-    return hp.groupBy(F.lit(S.OBJ_HOUSE).alias("obj_type"), "city_id", "obj_key").agg(
+    hp = house_price(per_kind, [*S.OBJECT_KEYS, "kind"], area_bands=area_bands, segment=segment)
+    return hp.groupBy(*S.OBJECT_KEYS).agg(
         F.max(F.when(F.col("kind") == "cur", F.col("price"))).alias("hp_cur"),
         F.max(F.when(F.col("kind") == "prev", F.col("price"))).alias("hp_prev"),
     )
@@ -268,16 +270,12 @@ def listing_metric_rows(stats: DataFrame, prices: DataFrame | None, *, segment:
         # Null-safe keys: an equi-join would let Catalyst infer "obj_key is
         # not null" and push it into the shared grain, which would then no
         # longer be one reused shuffle.
-        p = prices.select(
-            F.col("obj_type").alias("_p_type"), F.col("city_id").alias("_p_city"), F.col("obj_key").alias("_p_key"),
-            "hp_cur", "hp_prev",
-        )
-        on = (
-            stats.obj_type.eqNullSafe(p._p_type)
-            & stats.city_id.eqNullSafe(p._p_city)
-            & stats.obj_key.eqNullSafe(p._p_key)
-        )
-        stats = stats.join(p, on, "left").drop("_p_type", "_p_city", "_p_key")
+        p = prices.select(*[F.col(k).alias(f"_p_{k}") for k in S.OBJECT_KEYS], "hp_cur", "hp_prev")
+        on = None
+        for k in S.OBJECT_KEYS:
+            cond = stats[k].eqNullSafe(p[f"_p_{k}"])
+            on = cond if on is None else on & cond
+        stats = stats.join(p, on, "left").drop(*[f"_p_{k}" for k in S.OBJECT_KEYS])
     else:
         stats = stats.withColumn("hp_cur", F.lit(None).cast("double")).withColumn("hp_prev", F.lit(None).cast("double"))
     is_house = F.col("obj_type") == S.OBJ_HOUSE
