@@ -5,7 +5,7 @@
 Prints one JSON line.  Each query is run to completion with the ``noop``
 sink (full execution, nothing collected to the driver).  One warm-up pass on
 the smallest data set compiles the generated code first; each timed value is
-the best of ``BENCH_REPEAT`` runs (default 2) and includes plan construction.
+the best of ``BENCH_REPEAT`` runs (default 3) and includes plan construction.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def _run(spark, fn, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="tallyhouse-bench")
     if os.path.isdir(warm_dir):
