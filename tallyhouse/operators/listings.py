@@ -14,11 +14,12 @@ Plan:
    so no window function or join-back is needed;
 3. communities with more than three listings in a window get the robust
    price of :mod:`tallyhouse.operators.houseprice`, computed from the HOUSE
-   rows of the same grain (which keep band and unit price): a window over the
-   community finds its latest day and window counts, rows are reduced to a
-   (community, window, band, unit price) grain and ranked.  Both consumers
-   read the one shuffle of the grain (exchange reuse), so the listings are
-   scanned once;
+   rows of the same grain (which keep band and unit price): the grain is
+   joined to the per-object latest day and window counts of step 2, reduced
+   to a (community, window, band, unit price) grain with partial aggregation,
+   and ranked.  The grain is written once under the checkpoint folder and
+   read by both consumers, so the listings are scanned once and the lineage
+   is cut after the big shuffle;
 4. unpivot to tall rows.
 """
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import schema as S
@@ -46,6 +47,7 @@ from tallyhouse.operators.houseprice import SEGMENT, house_price, unit_price
 from tallyhouse.operators.joins import sized_broadcast
 from tallyhouse.operators.levels import explode_levels
 from tallyhouse.operators.tall import MetricSpec, to_metric_rows
+from tallyhouse.session import materialize
 
 # Listing quality rules.
 ACTIVE_STATUSES = ("3", "5", "7")
@@ -213,47 +215,49 @@ def listing_object_stats(grain: DataFrame, as_of, *, previous: str = "cover") ->
     )
 
 
+def _null_safe_on(left: DataFrame, right: DataFrame, prefix: str) -> Column:
+    """Join condition on the object keys, null-safe.  A plain equi-join would
+    let Catalyst infer "key is not null" filters and push them into the shared
+    grain, which would then no longer be one reused shuffle."""
+    on = None
+    for k in S.OBJECT_KEYS:
+        cond = left[k].eqNullSafe(right[f"{prefix}{k}"])
+        on = cond if on is None else on & cond
+    return on
+
+
 def house_prices(
     grain: DataFrame,
+    stats: DataFrame,
     as_of,
     *,
     previous: str = "cover",
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities with more
-    than ``segment`` listings in a window (robust price).
-
-    Works on the HOUSE part of :func:`listing_grain`; a community's partition
-    holds one row per (slot pair, band, unit price), which the listing filters
-    bound, never one row per listing."""
-    # The HOUSE condition sits in the kind expression, evaluated after the
-    # window, rather than in a filter Catalyst would push below the grain
-    # aggregate: the grain subtree then stays identical to the one feeding
-    # listing_object_stats and its shuffle is reused (one scan of the facts).
-    obj = Window.partitionBy(*S.OBJECT_KEYS)
-    g = grain.withColumn("_latest", F.max("last_end").over(obj))
-    w = cyclical_window("_latest", as_of)
+    """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities
+    with more than ``segment`` listings in a window (robust price).
+
+    Each grain row gets its object's latest day and window counts from
+    ``stats`` by a join (one row per object on the right), not by a window over
+    the community: a community with a large share of all listings is then
+    spread by the shuffle (and split by AQE's skew handling) instead of being
+    buffered in one task.  After that the rows are reduced to (community,
+    window, band, unit price) with partial aggregation; a group there is
+    bounded by 21 bands times the integer unit prices the filters admit."""
+    right = stats.select(*[F.col(k).alias(f"_s_{k}") for k in S.OBJECT_KEYS], "latest", "n_cur", "n_prev")
+    j = grain.join(right, _null_safe_on(grain, right, "_s_"))
+    w = cyclical_window("latest", as_of)
     cur, prev = _membership(F.col("first_slot"), F.col("end_slot"), w["s"], w["e"], w["p_s"], w["p_e"], previous)
-    g = g.select(
-        "*",
-        F.coalesce(cur, F.lit(False)).alias("_cur"),
-        F.coalesce(prev, F.lit(False)).alias("_prev"),
-    )
-    g = g.select(
-        "*",
-        F.sum(F.when(F.col("_cur"), F.col("n"))).over(obj).alias("_n_cur"),
-        F.sum(F.when(F.col("_prev"), F.col("n"))).over(obj).alias("_n_prev"),
-    )
+    # The HOUSE condition sits in the kind expression, not in a filter that
+    # Catalyst would push below the shared grain.
     is_house = F.col("obj_type") == S.OBJ_HOUSE
     kinds = F.array(
-        F.when(is_house & F.col("_cur") & (F.col("_n_cur") > segment), F.lit("cur")),
-        F.when(is_house & F.col("_prev") & (F.col("_n_prev") > segment), F.lit("prev")),
+        F.when(is_house & cur & (F.col("n_cur") > segment), F.lit("cur")),
+        F.when(is_house & prev & (F.col("n_prev") > segment), F.lit("prev")),
     )
-    # Every later grouping and window key starts with the object keys, so the
-    # hash partitioning of the window above serves all of them (no exchange).
     per_kind = (
-        g.select(*S.OBJECT_KEYS, "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
+        j.select(*S.OBJECT_KEYS, "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
         .groupBy(*S.OBJECT_KEYS, "kind", "band_lo", "u")
         .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
@@ -267,15 +271,8 @@ def house_prices(
 
 def listing_metric_rows(stats: DataFrame, prices: DataFrame | None, *, segment: int = SEGMENT, indexes=None) -> DataFrame:
     if prices is not None:
-        # Null-safe keys: an equi-join would let Catalyst infer "obj_key is
-        # not null" and push it into the shared grain, which would then no
-        # longer be one reused shuffle.
         p = prices.select(*[F.col(k).alias(f"_p_{k}") for k in S.OBJECT_KEYS], "hp_cur", "hp_prev")
-        on = None
-        for k in S.OBJECT_KEYS:
-            cond = stats[k].eqNullSafe(p[f"_p_{k}"])
-            on = cond if on is None else on & cond
-        stats = stats.join(p, on, "left").drop(*[f"_p_{k}" for k in S.OBJECT_KEYS])
+        stats = stats.join(p, _null_safe_on(stats, p, "_p_"), "left").drop(*[f"_p_{k}" for k in S.OBJECT_KEYS])
     else:
         stats = stats.withColumn("hp_cur", F.lit(None).cast("double")).withColumn("hp_prev", F.lit(None).cast("double"))
     is_house = F.col("obj_type") == S.OBJ_HOUSE
@@ -321,7 +318,10 @@ def listing_metrics(
     """
     clean = clean_listings(listings, dim, ds, as_of, segments=segments, dim_broadcast_rows=dim_broadcast_rows)
     grain = listing_grain(clean, as_of, levels=LEVELS_WITH_PLATE if emit_plate else LEVELS)
-    stats = listing_object_stats(grain, as_of, previous=previous)
     wants_price = indexes is None or S.INDEX_QUOTED_PRICE_AVG in indexes
-    prices = house_prices(grain, as_of, previous=previous, area_bands=area_bands) if wants_price else None
+    if wants_price:
+        # Read by the object stats and by the community price: written once.
+        grain = materialize(grain, "listing-grain")
+    stats = listing_object_stats(grain, as_of, previous=previous)
+    prices = house_prices(grain, stats, as_of, previous=previous, area_bands=area_bands) if wants_price else None
     return listing_metric_rows(stats, prices, indexes=indexes)

@@ -51,3 +51,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Used where one intermediate feeds several consumers: it is computed once,
+    its lineage is cut (a lost executor does not send recomputation back to
+    the fact scan), and the planner sees its real size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -71,10 +71,12 @@ def _plan_without_aqe(spark, build):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_listing_grain_shuffle_is_shared(spark):
+def test_listing_grain_is_computed_once(spark):
     plan = _plan_without_aqe(spark, B.listing_metrics)
-    # Both consumers (object stats, community price) read one grain shuffle.
-    assert "ReusedExchange" in plan
+    # Both consumers (object stats, community price) read the written grain;
+    # the fact scan is not repeated in the plan.
+    assert "listing-grain" in plan and "lineitem" not in plan
+    assert "Window [max(last_end)" not in plan  # no window over a whole community
 
 
 def test_deal_fact_path_has_two_shuffles(spark):
