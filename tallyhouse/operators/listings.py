@@ -182,36 +182,50 @@ def _membership(first: Column, end: Column, s, e, p_s, p_e, previous: str) -> tu
     return cur, prev
 
 
+def _membership_sql(first: str, end: str, s: str, e: str, p_s: str, p_e: str, previous: str) -> tuple[str, str]:
+    """SQL text of the current (overlap) and previous window predicates."""
+    cur = f"({first} <= {e} AND {end} >= {s})"
+    if previous == "cover":
+        prev = f"({first} <= {p_s} AND {end} >= {p_e})"
+    elif previous == "overlap":
+        prev = f"({first} <= {p_e} AND {end} >= {p_s})"
+    else:
+        raise ValueError("previous must be 'cover' or 'overlap'")
+    return cur, prev
+
+
 def listing_object_stats(grain: DataFrame, as_of, *, previous: str = "cover") -> DataFrame:
     """One wide row per object: latest end day, chosen window, and count and
-    sums of the listings in its current and previous window."""
-    first, end = F.col("first_slot"), F.col("end_slot")
+    sums of the listings in its current and previous window.
+
+    The 42 conditional sums are written as SQL text, one expression each."""
     aggs = [F.max("last_end").alias("latest")]
     for k, (_, s, e, p_s, p_e) in enumerate(cyclical_table(as_of)):
-        cur, prev = _membership(first, end, F.lit(s), F.lit(e), F.lit(p_s), F.lit(p_e), previous)
+        days = (f"DATE'{d.isoformat()}'" for d in (s, e, p_s, p_e))
+        cur, prev = _membership_sql("first_slot", "end_slot", *days, previous)
         for tag, cond in (("c", cur), ("p", prev)):
             aggs += [
-                F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).alias(f"n{tag}{k}"),
-                F.sum(F.when(cond, F.col("price_yuan"))).alias(f"y{tag}{k}"),
-                F.sum(F.when(cond, F.col("area"))).alias(f"a{tag}{k}"),
+                F.expr(f"coalesce(sum(CASE WHEN {cond} THEN n END), 0) AS n{tag}{k}"),
+                F.expr(f"sum(CASE WHEN {cond} THEN price_yuan END) AS y{tag}{k}"),
+                F.expr(f"sum(CASE WHEN {cond} THEN area END) AS a{tag}{k}"),
             ]
     wide = grain.groupBy(*S.OBJECT_KEYS).agg(*aggs)
-    idx = cyclical_index("latest", as_of)
+    n = len(CYCLICAL_PERIODS)
 
-    def pick(prefix: str) -> Column:
-        return F.get(F.array(*[F.col(f"{prefix}{k}") for k in range(len(CYCLICAL_PERIODS))]), F.col("_idx"))
+    def pick(prefix: str, alias: str) -> Column:
+        return F.expr(f"get(array({', '.join(f'{prefix}{k}' for k in range(n))}), _idx) AS {alias}")
 
-    names = [name for name, *_ in CYCLICAL_PERIODS]
-    return wide.withColumn("_idx", idx).select(
+    names = ", ".join(f"'{name}'" for name, *_ in CYCLICAL_PERIODS)
+    return wide.withColumn("_idx", cyclical_index("latest", as_of)).select(
         *S.OBJECT_KEYS,
         "latest",
-        F.get(F.array(*[F.lit(n) for n in names]), F.col("_idx")).alias("period"),
-        pick("nc").alias("n_cur"),
-        pick("yc").alias("y_cur"),
-        pick("ac").alias("a_cur"),
-        pick("np").alias("n_prev"),
-        pick("yp").alias("y_prev"),
-        pick("ap").alias("a_prev"),
+        F.expr(f"get(array({names}), _idx) AS period"),
+        pick("nc", "n_cur"),
+        pick("yc", "y_cur"),
+        pick("ac", "a_cur"),
+        pick("np", "n_prev"),
+        pick("yp", "y_prev"),
+        pick("ap", "a_prev"),
     )
 
 
