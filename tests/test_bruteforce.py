@@ -162,3 +162,101 @@ def test_histogram_mode_against_python(spark):
     for k, us in groups.items():
         m = python_mode(us)
         assert got[k] == (None if m is None else float(m)), (k, sorted(us))
+
+
+# ---------------------------------------------------------------- listings
+
+def python_house_price(rows):
+    """rows: (cents int, area int, area_dec Decimal); robust price with all
+    rows as the main rows."""
+    if len(rows) <= 3:
+        return _ratio(sum(Decimal(c) / 100 for c, _, _ in rows), sum(a for _, _, a in rows))
+    avg = _ratio(sum(Decimal(c) / 100 for c, _, _ in rows), sum(a for _, _, a in rows))
+    mode = python_mode([(c // 100) // ai for c, ai, _ in rows])
+    if mode is None or mode == 0 or abs((mode - avg) / mode) > 0.2:
+        return avg
+    return float(mode)
+
+
+def python_listing_metrics(listings, dim):
+    """listings: (city, house, first 'yyyy-mm-dd[ hh:mm:ss]', last|None, area str, cents str,
+    valuation str|None, floors str, status str); dim: (city, house, district, plate, seg)."""
+    groups = defaultdict(list)
+    for city, house, first, last, area, cents, val, floors, status in listings:
+        a, c = float(area), float(cents)
+        v = None if val is None else float(val)
+        fd = dt.date.fromisoformat(first[:10])
+        if not (status in ("3", "5", "7") and math.floor(float(floors)) < 1000 and 0 < math.floor(a) < 1000
+                and 100000 <= c / a <= 50000000 and v is not None and v / c <= 2 and fd < AS_OF):
+            continue
+        if last is None:
+            end = fd
+        else:
+            ld = dt.date.fromisoformat(last[:10])
+            end = AS_OF - dt.timedelta(days=1) if ld >= AS_OF else ld
+        row = (fd, end, int(cents), math.floor(a), Decimal(area))
+        for c2, h2, district, plate, _ in dim:
+            if (c2, h2) == (city, house):
+                for otype, key in (("CITY", None), ("DISTRICT", district), ("HOUSE", house)):
+                    groups[(otype, city, key)].append(row)
+    out = set()
+    for (otype, city, key), rows in groups.items():
+        label = f"city:{city}" + ("" if otype == "CITY" else f",{otype.lower()}:{'null' if key is None else key}")
+        cyc = _cyc(max(r[1] for r in rows))
+        if not cyc:
+            continue
+        name, (s, e), (ps, pe) = cyc
+        cur = [r for r in rows if r[0] <= e and r[1] >= s]
+        prev = [r for r in rows if r[0] <= ps and r[1] >= pe]
+
+        def price(rs):
+            if otype == "HOUSE":
+                return python_house_price([(r[2], r[3], r[4]) for r in rs])
+            return _ratio(sum(Decimal(r[2]) / 100 for r in rs), sum(r[4] for r in rs))
+
+        pc = price(cur) if cur else None
+        pp = price(prev) if prev else None
+        if pc is not None:
+            out.add(("SECOND", "QUOTED_PRICE_AVG", otype, label, "Period", name, pc, pp, _pct(pc, pp)))
+        qc, qp = float(len(cur)), (float(len(prev)) if prev else None)
+        out.add(("SECOND", "QUOTED_VOLUME", otype, label, "Period", name, qc, qp, _pct(qc, qp)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_listings_against_python(spark, seed):
+    from tallyhouse.operators.listings import listing_metrics
+
+    rnd = random.Random(seed)
+    dim = []
+    for i in range(6):
+        city = rnd.choice(["1", "2"])
+        dim.append((city, f"h{i}", rnd.choice([None, "a"]), rnd.choice([None, "p1"]), rnd.choice([1, 2])))
+        if rnd.random() < 0.3:
+            dim.append((city, f"h{i}", dim[-1][2], dim[-1][3], 3 - dim[-1][4]))
+    listings = []
+    for _ in range(250):
+        c, h = rnd.choice(dim)[:2]
+        first = AS_OF - dt.timedelta(days=rnd.choice([rnd.randint(1, 30), rnd.randint(1, 900)]))
+        last = None if rnd.random() < 0.15 else first + dt.timedelta(days=rnd.randint(0, 120))
+        area = rnd.randint(20, 400)
+        unit = rnd.choice([rnd.randint(1500000, 1600000), rnd.randint(1000000, 3000000), 50000])
+        cents = area * unit + rnd.randint(0, 99)
+        val = None if rnd.random() < 0.05 else str(cents * rnd.choice([1, 1.5, 2.5]))
+        listings.append((
+            c, h, first.isoformat() + (" 10:00:00" if rnd.random() < 0.2 else ""),
+            None if last is None else last.isoformat(), str(area), str(cents), val,
+            str(rnd.choice([10, 20, 1200])), rnd.choice(["3", "5", "7", "1"]),
+        ))
+    dim_df = spark.createDataFrame(
+        [(c, h, d, (f"x@{p}" if p else "p"), s) for c, h, d, p, s in dim],
+        "biz_city_id string, biz_house_id string, biz_district_id string, plate_fk string, is_first int",
+    )
+    lst_df = spark.createDataFrame(
+        [(*row, DS) for row in listings],
+        "city_id string, house_id string, first_pub_date string, last_pub_date string, area string, "
+        "quoted_price string, evaluation_high_price string, total_floors string, status string, ds string",
+    )
+    got = {_round(tuple(r)[:9]) for r in listing_metrics(lst_df, dim_df, DS, AS_OF).collect()}
+    want = {_round(r) for r in python_listing_metrics(listings, dim)}
+    assert got == want
