@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tallyhouse.functions.periods import cyclical_table, cyclical_window, month_window
 
