@@ -5,16 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# (application, plan hash, input files, bound) -> fits.  Rewritten input data
+# has new file names, so a stale answer is never reused for changed data.
+_CHECKED: dict = {}
+
+
+def _check_key(df: DataFrame, max_rows: int):
+    try:
+        files = tuple(sorted(df.inputFiles()))
+        plan = df.semanticHash()
+    except Exception:  # no file-based lineage or no plan hash: always count
+        return None
+    if not files:
+        return None
+    return (df.sparkSession.sparkContext.applicationId, plan, files, max_rows)
+
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
 
     The check is a bounded job (``limit(max_rows + 1).count()``), meant for
-    dimension and lookup tables.  Beyond the bound the frame is returned as is
-    and Spark plans a shuffle join (AQE may still switch strategy at runtime
-    from measured sizes, and splits skewed partitions).
+    dimension and lookup tables; its answer is remembered for the same plan
+    over the same input files within the application.  Beyond the bound the
+    frame is returned as is and Spark plans a shuffle join (AQE may still
+    switch strategy at runtime from measured sizes, and splits skewed
+    partitions).
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = _check_key(df, max_rows)
+    fits = _CHECKED.get(key) if key is not None else None
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _CHECKED[key] = fits
+    return F.broadcast(df) if fits else df

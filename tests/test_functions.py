@@ -38,3 +38,20 @@ def test_parsers_are_total(spark):
     assert str(rows[0].d) == "2018-09-21" and float(rows[0].a) == 12.5
     assert rows[1].d is None and rows[1].a is None
     assert rows[2].d is None and rows[2].a is None
+
+
+def test_sized_broadcast_bound(spark, tmp_path):
+    from tallyhouse.operators.joins import sized_broadcast
+
+    path = str(tmp_path / "dim")
+    spark.range(10).write.parquet(path)
+    small = spark.read.parquet(path)
+    probe = spark.range(100)
+    plan = lambda d: probe.join(d, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(sized_broadcast(small, 10))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(sized_broadcast(small, 9))
+        assert "BroadcastHashJoin" in plan(sized_broadcast(small, 10))  # remembered answer, same files
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
