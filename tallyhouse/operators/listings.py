@@ -14,12 +14,12 @@ Plan:
    so no window function or join-back is needed;
 3. communities with more than three listings in a window get the robust
    price of :mod:`tallyhouse.operators.houseprice`, computed from the HOUSE
-   rows of the same grain (which keep band and unit price): the grain is
-   joined to the per-object latest day and window counts of step 2, reduced
-   to a (community, window, band, unit price) grain with partial aggregation,
+   rows of the same grain (which keep band and unit price): they are joined
+   to their community's latest day and window counts from step 2, reduced to
+   a (community, window, band, unit price) grain with partial aggregation,
    and ranked.  The grain is written once under the checkpoint folder and
-   read by both consumers, so the listings are scanned once and the lineage
-   is cut after the big shuffle;
+   read by both consumers, so the listings are scanned once, the lineage is
+   cut after the big shuffle, and filters reach the grain's parquet scan;
 4. unpivot to tall rows.
 """
 
@@ -229,17 +229,6 @@ def listing_object_stats(grain: DataFrame, as_of, *, previous: str = "cover") ->
     )
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, prefix: str) -> Column:
-    """Join condition on the object keys, null-safe.  A plain equi-join would
-    let Catalyst infer "key is not null" filters and push them into the shared
-    grain, which would then no longer be one reused shuffle."""
-    on = None
-    for k in S.OBJECT_KEYS:
-        cond = left[k].eqNullSafe(right[f"{prefix}{k}"])
-        on = cond if on is None else on & cond
-    return on
-
-
 def house_prices(
     grain: DataFrame,
     stats: DataFrame,
@@ -252,24 +241,27 @@ def house_prices(
     """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities
     with more than ``segment`` listings in a window (robust price).
 
-    Each grain row gets its object's latest day and window counts from
-    ``stats`` by a join (one row per object on the right), not by a window over
-    the community: a community with a large share of all listings is then
-    spread by the shuffle (and split by AQE's skew handling) instead of being
-    buffered in one task.  After that the rows are reduced to (community,
-    window, band, unit price) with partial aggregation; a group there is
-    bounded by 21 bands times the integer unit prices the filters admit."""
-    right = stats.select(*[F.col(k).alias(f"_s_{k}") for k in S.OBJECT_KEYS], "latest", "n_cur", "n_prev")
-    j = grain.join(right, _null_safe_on(grain, right, "_s_"))
+    The HOUSE rows of the grain get their community's latest day and window
+    counts from ``stats`` by an equi-join (one row per community on the
+    right), not by a window over the community: a community with a large
+    share of all listings is spread by the shuffle (and split by AQE's skew
+    handling), or the small side is broadcast, instead of being buffered in
+    one task.  The rows are then reduced to (community, window, band, unit
+    price) with partial aggregation; a group there is bounded by 21 bands
+    times the integer unit prices the filters admit."""
+    is_house = F.col("obj_type") == S.OBJ_HOUSE
+    right = stats.where(is_house & ((F.col("n_cur") > segment) | (F.col("n_prev") > segment))).select(
+        *S.OBJECT_KEYS, "latest", "n_cur", "n_prev"
+    )
+    j = grain.where(is_house).join(right, list(S.OBJECT_KEYS))
     w = cyclical_window("latest", as_of)
     cur, prev = _membership(F.col("first_slot"), F.col("end_slot"), w["s"], w["e"], w["p_s"], w["p_e"], previous)
-    # The HOUSE condition sits in the kind expression, not in a filter that
-    # Catalyst would push below the shared grain.
-    is_house = F.col("obj_type") == S.OBJ_HOUSE
     kinds = F.array(
-        F.when(is_house & cur & (F.col("n_cur") > segment), F.lit("cur")),
-        F.when(is_house & prev & (F.col("n_prev") > segment), F.lit("prev")),
+        F.when(cur & (F.col("n_cur") > segment), F.lit("cur")),
+        F.when(prev & (F.col("n_prev") > segment), F.lit("prev")),
     )
+    # Grouping and window keys all start with the object keys, so a shuffle
+    # join's partitioning serves every step below.
     per_kind = (
         j.select(*S.OBJECT_KEYS, "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
@@ -285,8 +277,8 @@ def house_prices(
 
 def listing_metric_rows(stats: DataFrame, prices: DataFrame | None, *, segment: int = SEGMENT, indexes=None) -> DataFrame:
     if prices is not None:
-        p = prices.select(*[F.col(k).alias(f"_p_{k}") for k in S.OBJECT_KEYS], "hp_cur", "hp_prev")
-        stats = stats.join(p, _null_safe_on(stats, p, "_p_"), "left").drop(*[f"_p_{k}" for k in S.OBJECT_KEYS])
+        # Price rows exist for communities only, whose keys are never null.
+        stats = stats.join(prices, list(S.OBJECT_KEYS), "left")
     else:
         stats = stats.withColumn("hp_cur", F.lit(None).cast("double")).withColumn("hp_prev", F.lit(None).cast("double"))
     is_house = F.col("obj_type") == S.OBJ_HOUSE
