@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.session import application_id
+
 # (application, plan hash, input files, bound) -> fits.  Rewritten input data
 # has new file names, so a stale answer is never reused for changed data.
 _CHECKED: dict = {}
@@ -18,7 +20,7 @@ def _check_key(df: DataFrame, max_rows: int):
         return None
     if not files:
         return None
-    return (df.sparkSession.sparkContext.applicationId, plan, files, max_rows)
+    return (application_id(df.sparkSession), plan, files, max_rows)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -43,10 +43,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # sessions without a local SparkContext
+        pass
     return path
 
 
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        return str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

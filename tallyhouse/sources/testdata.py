@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import application_id
 from tallyhouse.sources.tables import spread
 
 AS_OF = "2001-11-05"
@@ -33,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table; one DataFrame per session and file is reused, so its
     schema is inferred once however many plans read it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
+    key = (id(spark), application_id(spark), path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
