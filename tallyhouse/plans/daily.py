@@ -1,6 +1,6 @@
 """The daily publish job: deals + listings metrics for one day.
 
-    spark-submit -m tallyhouse.plans.daily \\
+    spark-submit --py-files tallyhouse.zip tallyhouse/plans/daily.py \\
         --deals-table db.deal_fact --listings-table db.listing_fact \\
         --dim-table db.community_dim --release-table db.city_release \\
         --out-table db.metrics [--as-of 2018-09-22]
