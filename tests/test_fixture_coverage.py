@@ -27,3 +27,24 @@ def test_houses_by_look_back_period(spark):
     got = {r.p: r["count"] for r in latest.select(label.alias("p")).groupBy("p").count().collect()}
     want = {"Yesterday": 1, "SixtyDays": 1, "NinetyDays": 1, "SixMonths": 2, "OneYear": 4, "too old": 1}
     assert got == want
+
+
+def _release_month_rows(spark, sf_dir, calendar_months=False):
+    from tallyhouse.operators.deals import deal_metrics
+
+    rows = deal_metrics(
+        td.deal_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.release_dates(spark, sf_dir),
+        td.DS, td.AS_OF, calendar_months=calendar_months, indexes=["DEAL_VOLUME"],
+    ).where((F.col("dim") == "SECOND") & (F.col("obj_type") == "CITY"))
+    return {r.obj_value: r.previous_result for r in rows.collect()}
+
+
+def test_release_month_cities(spark):
+    assert len(_release_month_rows(spark, SF_SMALL)) == 5
+
+
+def test_month_end_clamping_changes_two_cities(spark):
+    sf = "/root/testdata/sf0.01"
+    clamped, calendar = _release_month_rows(spark, sf), _release_month_rows(spark, sf, calendar_months=True)
+    assert len(clamped) == len(calendar) == 18
+    assert sum(clamped[k] != calendar[k] for k in clamped) == 2
