@@ -229,7 +229,7 @@ def listing_object_stats(grain: DataFrame, as_of, *, previous: str = "cover") ->
     )
 
 
-def house_prices(
+def community_prices(
     grain: DataFrame,
     stats: DataFrame,
     as_of,
@@ -238,8 +238,9 @@ def house_prices(
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev`` for communities
-    with more than ``segment`` listings in a window (robust price).
+    """``(dim, obj_type, city_id, obj_key, kind) -> n_main, mode, avg, price``
+    for communities with more than ``segment`` listings in window ``kind``
+    (``cur`` or ``prev``): the robust price and its ingredients.
 
     The HOUSE rows of the grain get their community's latest day and window
     counts from ``stats`` by an equi-join (one row per community on the
@@ -268,13 +269,28 @@ def house_prices(
         .groupBy(*S.OBJECT_KEYS, "kind", "band_lo", "u")
         .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
     )
-    hp = house_price(per_kind, [*S.OBJECT_KEYS, "kind"], area_bands=area_bands, segment=segment)
+    return house_price(per_kind, [*S.OBJECT_KEYS, "kind"], area_bands=area_bands, segment=segment)
+
+
+def house_prices(
+    grain: DataFrame,
+    stats: DataFrame,
+    as_of,
+    *,
+    previous: str = "cover",
+    area_bands: str = "all",
+    segment: int = SEGMENT,
+) -> DataFrame:
+    """``(dim, obj_type, city_id, obj_key) -> hp_cur, hp_prev``: the robust
+    price of :func:`community_prices` per window, one row per community."""
+    hp = community_prices(grain, stats, as_of, previous=previous, area_bands=area_bands, segment=segment)
     return hp.groupBy(*S.OBJECT_KEYS).agg(
         F.max(F.when(F.col("kind") == "cur", F.col("price"))).alias("hp_cur"),
         F.max(F.when(F.col("kind") == "prev", F.col("price"))).alias("hp_prev"),
     )
 
 
+
 def listing_metric_rows(stats: DataFrame, prices: DataFrame | None, *, segment: int = SEGMENT, indexes=None) -> DataFrame:
     if prices is not None:
         # Price rows exist for communities only, whose keys are never null.

@@ -1,6 +1,7 @@
 """Branch-coverage counts of the test-data adapters, as measured independently
 with DuckDB when the fixtures were designed (sf0.001)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.periods import cyclical_window
@@ -48,3 +49,34 @@ def test_month_end_clamping_changes_two_cities(spark):
     clamped, calendar = _release_month_rows(spark, sf), _release_month_rows(spark, sf, calendar_months=True)
     assert len(clamped) == len(calendar) == 18
     assert sum(clamped[k] != calendar[k] for k in clamped) == 2
+
+
+@pytest.mark.parametrize(
+    "sf_dir, kept, cur, prev",
+    [
+        (SF_SMALL, 1689, (4, 2, 0, 3), (3, 0, 0, 0)),
+        ("/root/testdata/sf0.01", 16216, (37, 10, 7, 20), (48, 4, 5, 17)),
+    ],
+)
+def test_house_price_branches(spark, sf_dir, kept, cur, prev):
+    from tallyhouse.operators import listings as L
+
+    # The design figures count each listing once (no segment fan-out).
+    dim1 = td.community_dim(spark, sf_dir).dropDuplicates(["biz_city_id", "biz_house_id"])
+    clean = L.clean_listings(td.listing_fact(spark, sf_dir), dim1, td.DS, td.AS_OF)
+    assert clean.count() == kept
+    grain = L.listing_grain(clean, td.AS_OF)
+    stats = L.listing_object_stats(grain, td.AS_OF)
+    details = L.community_prices(grain, stats, td.AS_OF).collect()
+    houses = stats.where((F.col("obj_type") == "HOUSE") & F.col("period").isNotNull())
+
+    def branches(kind, n_col):
+        small = houses.where((F.col(n_col) > 0) & (F.col(n_col) <= 3)).count()
+        rows = [r for r in details if r.kind == kind]
+        tie = sum(r.mode is None for r in rows)
+        used = sum(r.mode is not None and r.price == r.mode for r in rows)
+        far = sum(r.mode is not None and r.price != r.mode for r in rows)
+        return small, tie, far, used
+
+    assert branches("cur", "n_cur") == cur
+    assert branches("prev", "n_prev") == prev
