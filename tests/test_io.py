@@ -87,3 +87,18 @@ def test_text_word_count_demo(spark, tmp_path):
     (tmp_path / "w.txt").write_text("hello scala\njava hadoop\nhadoop demo\n")
     got = {r.word: r["count"] for r in demos.text_word_count(spark, str(tmp_path / "w.txt")).collect()}
     assert got == {"scala": 1, "hello": 1, "java": 1, "hadoop": 2, "demo": 1}
+
+
+def test_text_metrics_table(spark, tmp_path):
+    import glob
+
+    name = "tallyhouse_metrics_text_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    loc = tmp_path / "tt"
+    create_metrics_table(spark, name, location=str(loc), text=True)
+    insert_partition(_metrics(spark), name, "2018-09-21")
+    back = spark.table(name).where(F.col("ds") == "2018-09-21").drop("ds")
+    assert sorted(back.collect()) == sorted(_metrics(spark).collect())
+    text = "".join(open(f).read() for f in glob.glob(str(loc / "ds=2018-09-21" / "*")) if not f.endswith(".crc"))
+    assert "\t" in text and "\\N" in text
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
