@@ -102,3 +102,10 @@ def test_text_metrics_table(spark, tmp_path):
     text = "".join(open(f).read() for f in glob.glob(str(loc / "ds=2018-09-21" / "*")) if not f.endswith(".crc"))
     assert "\t" in text and "\\N" in text
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    from tallyhouse.sources.jdbc import read_jdbc_table
+
+    with pytest.raises(ValueError):
+        read_jdbc_table(spark, "jdbc:none://x", "t", partition_column="id", lower_bound=1)
