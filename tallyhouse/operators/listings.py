@@ -82,19 +82,22 @@ def clean_listings(
     day = as_date(as_of)
     yesterday = day - _dt.timedelta(days=1)
     facts = listings.where(F.col("ds") == F.lit(ds))
-    area = parse_double(F.col("area"))
-    cents = parse_double(F.col("quoted_price"))
-    floors = parse_double(F.col("total_floors"))
-    valuation = parse_double(F.col("evaluation_high_price"))
     first_day = parse_day(F.col("first_pub_date"))
-    keep = (
-        F.col("status").cast("string").isin(*ACTIVE_STATUSES)
-        & (F.floor(floors) < MAX_FLOORS)
-        & (F.floor(area) > 0)
-        & (F.floor(area) < MAX_AREA)
-        & F.try_divide(cents, area).between(*UNIT_PRICE_CENTS)
-        & (F.try_divide(valuation, cents) <= MAX_VALUATION_RATIO)
-        & (first_day < F.lit(day))
+
+    def num(c: str) -> str:
+        return f"try_cast(CAST(`{c}` AS STRING) AS DOUBLE)"
+
+    statuses = ", ".join(f"'{x}'" for x in ACTIVE_STATUSES)
+    lo, hi = UNIT_PRICE_CENTS
+    # One SQL predicate (one JVM call); numbers compare by their floor, ratios
+    # with a zero or missing divisor drop the row.
+    keep = F.expr(
+        f"CAST(status AS STRING) IN ({statuses})"
+        f" AND floor({num('total_floors')}) < {MAX_FLOORS}"
+        f" AND floor({num('area')}) > 0 AND floor({num('area')}) < {MAX_AREA}"
+        f" AND try_divide({num('quoted_price')}, {num('area')}) BETWEEN {lo} AND {hi}"
+        f" AND try_divide({num('evaluation_high_price')}, {num('quoted_price')}) <= {MAX_VALUATION_RATIO}"
+        f" AND try_to_date(substring(CAST(first_pub_date AS STRING), 1, 10), 'yyyy-MM-dd') < DATE'{day.isoformat()}'"
     )
     facts = facts.where(keep).select(
         F.col("city_id").cast("string").alias("city_id"),
