@@ -55,3 +55,12 @@ def test_sized_broadcast_bound(spark, tmp_path):
         assert "BroadcastHashJoin" in plan(sized_broadcast(small, 10))  # remembered answer, same files
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_only_touches_tiny_inputs(spark):
+    from tallyhouse.sources.tables import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(3)
+    assert spread(many, max_splits=2).rdd.getNumPartitions() == 3
