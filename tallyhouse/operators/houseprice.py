@@ -32,8 +32,9 @@ from tallyhouse.functions.numeric import ratio
 
 SEGMENT = 3
 MAX_GAP = 0.2
-# A value above every other bucket index: where the reference's saturated
-# integer conversion of +infinity lands when the pitch is zero.
+# A value above every other bucket index: where a saturated integer
+# conversion of +infinity lands when the pitch is zero (all prices above the
+# minimum share one bucket).
 OVERFLOW_BUCKET = 2147483647
 
 
