@@ -78,3 +78,14 @@ def test_no_release_date_no_month_volume(spark, frames):
     got = _rows(deal_metrics(deals, dim, None, DS, AS_OF))
     assert ("SECOND", "DEAL_VOLUME", "city:1") not in got
     assert ("SECOND", "DEAL_VOLUME", "city:1,house:20") in got
+
+
+def test_repeated_city_takes_latest_release_day(spark):
+    from tallyhouse.operators.deals import release_months
+
+    rel = spark.createDataFrame(
+        [(1, None, dt.date(2018, 7, 1)), (1, None, dt.date(2018, 8, 31)), (2, None, None), (3, dt.date(2018, 1, 1), None)],
+        "city_id long, new_updated date, second_updated date",
+    )
+    got = {r._rel_city: r.release_day for r in release_months(rel).collect()}
+    assert got == {"1": dt.date(2018, 8, 31)}

@@ -54,3 +54,20 @@ def test_month_window(spark):
 def test_month_window_null(spark):
     df = spark.createDataFrame([(None,)], "d date")
     assert df.select(month_window("d").alias("w")).first().w is None
+
+
+def test_in_window(spark):
+    from pyspark.sql import functions as F
+
+    from tallyhouse.functions.periods import in_window
+
+    df = spark.createDataFrame([(D("2018-09-14"),), (D("2018-09-15"),), (D("2018-09-08"),)], "d date")
+    w = cyclical_window("d", "2018-09-22")  # each day's own window
+    rows = df.select(
+        "d",
+        in_window(F.col("d"), F.lit(None).cast("struct<period:string,s:date,e:date,p_s:date,p_e:date>")).alias("none"),
+        in_window(F.col("d"), w).alias("cur"),
+        in_window(F.col("d"), w, previous=True).alias("prev"),
+    ).collect()
+    assert all(r.none is None for r in rows)
+    assert all(r.cur for r in rows) and not any(r.prev for r in rows)
