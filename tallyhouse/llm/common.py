@@ -85,8 +85,11 @@ class RecentlyUsed(dict):
         value = self.older.pop(key, None)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value

@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
+from tallyhouse.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_huffman_tokens": op6_huffman_tokens,
+    "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
