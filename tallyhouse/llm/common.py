@@ -7,6 +7,7 @@ exactly ``bytes.split()``.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,7 +18,19 @@ from pyspark.sql import functions as F
 from tallyhouse.session import ensure_checkpoint_dir
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Python workers on this machine find this package where the driver found it.
+
+    On a cluster the package is shipped with the job (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def read_input(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -54,7 +67,8 @@ def drop_table(spark: SparkSession, path: str) -> None:
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` under a short name."""
+    """``mapInArrow`` with this package importable in the workers."""
+    make_importable(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.llm.histogram_shards import op1_histogram_shards
 from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
+from tallyhouse.llm.quality_rules import op2_quality_rules
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
 from tallyhouse.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_histogram_shards": op1_histogram_shards,
+    "op2_quality_rules": op2_quality_rules,
     "op6_huffman_tokens": op6_huffman_tokens,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
