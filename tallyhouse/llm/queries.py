@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm.histogram_shards import op1_histogram_shards
 from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
 from tallyhouse.llm.quality_rules import op2_quality_rules
+from tallyhouse.llm.repeated_windows import op5_repeated_windows
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
+from tallyhouse.llm.simhash_blocks import op8_simhash_blocks
 from tallyhouse.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": op1_histogram_shards,
     "op2_quality_rules": op2_quality_rules,
+    "op5_repeated_windows": op5_repeated_windows,
     "op6_huffman_tokens": op6_huffman_tokens,
     "op7_token_counts": op7_token_counts,
+    "op8_simhash_blocks": op8_simhash_blocks,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
