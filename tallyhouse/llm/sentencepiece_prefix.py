@@ -32,11 +32,11 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm.common import RecentlyUsed, fresh_name, map_batches, read_input, tokenizer_path
+from tallyhouse.llm.common import RecentlyUsed, fresh_name, make_importable, map_batches, read_input, tokenizer_path
 
 MARK = "▁"  # fixed value: the library's white-space mark
-CACHE_WORDS = 250_000
-CACHE_PARTS = 150_000
+CACHE_WORDS = 500_000  # with all caches about 0.6 GB a worker
+CACHE_PARTS = 400_000
 CACHE_PAIRS = 500_000
 _IDS, _DECIMAL = itemgetter(0), itemgetter(1)
 
@@ -197,6 +197,7 @@ def encode_documents(df: DataFrame, text_col: str = "text", model_name: str = "p
     from pyspark.sql import functions as F
     from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+    make_importable(df.sparkSession)
     ids_col = fresh_name(df, "token_ids")
     dec_col = fresh_name(df, "decoded_text")
 
