@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import map_batches, read_input, saved
+from tallyhouse.llm.common import fresh_name, map_batches, read_input, saved
 from tallyhouse.llm.components import connected_components
 
 SHINGLE = 4
@@ -180,13 +180,11 @@ def near_duplicates(
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``df`` without the rows that are not their component's representative; equal (id, text) rows become one."""
-    from tallyhouse.llm.common import fresh_name
-
     chosen = near_duplicates(df, id_col, text_col, **options).where("representative").select("doc_id", "text_hash").distinct()
-    h = fresh_name(df, "text_hash")
+    h, right_id, right_h = (fresh_name(df, n) for n in ("text_hash", "chosen_id", "chosen_hash"))
     left = df.withColumn(h, text_hash(text_col))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("chosen_id")) & (F.col(h) == F.col("chosen_hash"))
-    right = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("text_hash").alias("chosen_hash"))
+    right = chosen.select(F.col("doc_id").alias(right_id), F.col("text_hash").alias(right_h))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(right_id)) & (F.col(h) == F.col(right_h))
     return left.join(right, same, "left_semi").dropDuplicates([id_col, h]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
