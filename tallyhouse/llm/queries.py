@@ -13,6 +13,7 @@ from tallyhouse.llm.repeated_windows import op5_repeated_windows
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
 from tallyhouse.llm.simhash_blocks import op8_simhash_blocks
 from tallyhouse.llm.token_counts import op7_token_counts
+from tallyhouse.llm.toxicity_trees import op9_toxicity_trees
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": op1_histogram_shards,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_huffman_tokens": op6_huffman_tokens,
     "op7_token_counts": op7_token_counts,
     "op8_simhash_blocks": op8_simhash_blocks,
+    "op9_toxicity_trees": op9_toxicity_trees,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
