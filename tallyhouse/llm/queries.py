@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm.histogram_shards import op1_histogram_shards
 from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
+from tallyhouse.llm.ordinal_quality import op4_ordinal_quality
+from tallyhouse.llm.qgram_leaks import op3_qgram_leaks
 from tallyhouse.llm.quality_rules import op2_quality_rules
 from tallyhouse.llm.repeated_windows import op5_repeated_windows
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
@@ -18,6 +20,8 @@ from tallyhouse.llm.toxicity_trees import op9_toxicity_trees
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": op1_histogram_shards,
     "op2_quality_rules": op2_quality_rules,
+    "op3_qgram_leaks": op3_qgram_leaks,
+    "op4_ordinal_quality": op4_ordinal_quality,
     "op5_repeated_windows": op5_repeated_windows,
     "op6_huffman_tokens": op6_huffman_tokens,
     "op7_token_counts": op7_token_counts,

@@ -31,13 +31,15 @@ from operator import itemgetter
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tallyhouse.llm.common import RecentlyUsed, fresh_name, make_importable, map_batches, read_input, tokenizer_path
+from tallyhouse.llm.common import RecentlyUsed, fresh_name, map_batches, read_input, tokenizer_path
 
 MARK = "▁"  # fixed value: the library's white-space mark
 CACHE_WORDS = 500_000  # with all caches about 0.6 GB a worker
 CACHE_PARTS = 400_000
 CACHE_PAIRS = 500_000
+GROUP_TEXTS = 256
 _IDS, _DECIMAL = itemgetter(0), itemgetter(1)
 
 
@@ -188,34 +190,41 @@ def encoder(model_name: str) -> PrefixTableEncoder:
     return _ENCODERS[model_name]
 
 
-def encode_documents(df: DataFrame, text_col: str = "text", model_name: str = "piece_bpe_32k.model") -> DataFrame:
-    """``df`` with ``token_ids`` (array of int) and ``decoded_text`` (string) added.
+def encode_documents(
+    df: DataFrame, text_col: str = "text", model_name: str = "piece_bpe_32k.model", digest: bool = False
+) -> DataFrame:
+    """``df`` with ``n_tokens`` (long), ``token_ids`` (array of int) and ``decoded_text`` (string) added.
 
+    With ``digest`` the decoded text's SHA-256, ``decoded_sha256``, in its place.
     Existing columns keep their names; an added column whose name is taken
     gets leading underscores.
     """
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-
-    make_importable(df.sparkSession)
-    ids_col = fresh_name(df, "token_ids")
-    dec_col = fresh_name(df, "decoded_text")
-
-    @F.pandas_udf(
-        StructType([StructField("i", ArrayType(IntegerType())), StructField("d", StringType())])
-    )
-    def both(texts):
-        import pandas as pd
+    added = [fresh_name(df, c) for c in ("n_tokens", "token_ids", "decoded_sha256" if digest else "decoded_text")]
+    at = df.columns.index(text_col)
 
+    def run(batches):
         enc = encoder(model_name)
-        ids = [enc.encode(t or "") for t in texts]
-        return pd.DataFrame({"i": ids, "d": [enc.decode(x) for x in ids]})
-
-    tmp = fresh_name(df, "encoded")
-    out = df.withColumn(tmp, both(F.col(f"`{text_col}`")))
-    return out.select(
-        *[F.col(f"`{c}`") for c in df.columns], F.col(tmp)["i"].alias(ids_col), F.col(tmp)["d"].alias(dec_col)
+        for batch in batches:
+            for k in range(0, batch.num_rows, GROUP_TEXTS):
+                some = batch.slice(k, GROUP_TEXTS)
+                ids, decoded = [], []
+                for t in some.column(at).to_pylist():
+                    ids.append(enc.encode(t or ""))
+                    text = enc.decode(ids[-1])
+                    decoded.append(hashlib.sha256(text.encode()).hexdigest() if digest else text)
+                n = pa.array([len(x) for x in ids], pa.int64())
+                columns = [*some.columns, n, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+
+    schema = StructType(
+        [StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)]
+        + [
+            StructField(f"c{len(df.columns) + i}", t)
+            for i, t in enumerate((LongType(), ArrayType(IntegerType()), StringType()))
+        ]
     )
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return map_batches(df.toDF(*names), run, schema).toDF(*df.columns, *added)
 
 
 def digest_documents(

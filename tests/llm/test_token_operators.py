@@ -57,9 +57,10 @@ def test_sentencepiece_odd_rows(spark):
     want = sorted((expected_sp(r["doc_id"], r["text"]) for r in df.collect()), key=repr)
     assert as_rows(S.digest_documents(df), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
     out = S.encode_documents(df.withColumnRenamed("h", "token_ids"))
-    assert out.columns == [*df.columns[:-1], "token_ids", "_token_ids", "decoded_text"]
+    assert out.columns == [*df.columns[:-1], "token_ids", "_n_tokens", "_token_ids", "decoded_text"]
     for r in out.collect():
-        assert r["_token_ids"] == SP.encode(r["text"] or "") and r["decoded_text"] == SP.decode(r["_token_ids"])
+        assert r["_token_ids"] == SP.encode(r["text"] or "") and r["_n_tokens"] == len(r["_token_ids"])
+        assert r["decoded_text"] == SP.decode(r["_token_ids"])
     assert S.digest_documents(df.limit(0)).count() == 0
 
 
