@@ -11,6 +11,7 @@ from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
 from tallyhouse.llm.ordinal_quality import op4_ordinal_quality
 from tallyhouse.llm.qgram_leaks import op3_qgram_leaks
 from tallyhouse.llm.quality_rules import op2_quality_rules
+from tallyhouse.llm.quality_sql import quality_sql
 from tallyhouse.llm.repeated_windows import op5_repeated_windows
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
 from tallyhouse.llm.simhash_blocks import op8_simhash_blocks
@@ -30,4 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": quality_sql(),
+}

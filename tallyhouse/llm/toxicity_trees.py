@@ -57,6 +57,7 @@ FEATURES = (
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
+_JOINER = re.compile(r"[-'’]")
 _STRETCHED = re.compile(r"(\w)\1\1")
 STRONG_BIT, WEAK_BIT, YOU_BIT, CAPS_BIT, HIDDEN_BIT, LONG_BIT = 1, 2, 4, 8, 16, 32
 
@@ -95,10 +96,10 @@ class WordFlags(dict):
             self.clear()
         core = plain_word(word)
         flags, lift = 0, self.level(core)
-        if core and not core.isalpha() and is_hidden(core):
-            if "-" not in core and "'" not in core and "’" not in core:
-                flags |= HIDDEN_BIT
+        if core and not core.isalpha() and _LETTER.search(core):
             lift = max(lift, self.level(uncovered(core)))
+            if is_hidden(core) and not _JOINER.search(core):
+                flags |= HIDDEN_BIT
         if lift >= STRONG:
             flags |= STRONG_BIT
         if lift >= WEAK:
