@@ -33,20 +33,22 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import RecentlyUsed, drop_table, map_batches, read_input, tokenizer_path, write_table
+from tallyhouse.llm.common import drop_table, map_batches, read_input, tokenizer_path, write_table
 from tallyhouse.session import scratch_path
 
 CHECKPOINT = 512
 BLOCK_TOKENS = 65_536
 SHARD_TOKENS = 2_000_000
 MAX_SHARDS = 65_536
-CACHE_STRETCHES = 500_000
+CACHE_STRETCHES = 1_200_000  # about 0.3 GB a worker
 GROUP_TEXTS = 512
 SPACE = "\u0120"  # fixed value: how byte-level vocabularies write the space
 BLOCK_SCHEMA = (
@@ -163,7 +165,12 @@ def unpack(payload: bytes, sizes: np.ndarray, counts: np.ndarray, offsets: np.nd
 
 
 class StretchEncoder:
-    """Ids of texts as bytes of little-endian numbers, through a cache of stretches."""
+    """Ids of texts as bytes of little-endian numbers, through a cache of stretches.
+
+    A newline between other characters is a piece of its own.  A stretch that
+    starts its text or line is filed with two spaces in front (no other stretch
+    starts with white space), all others as they follow their space.
+    """
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -178,41 +185,43 @@ class StretchEncoder:
         self.spaced[[i for t, i in self.tok.get_vocab().items() if t[0] == SPACE]] = True
         specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
-        self.first = RecentlyUsed(lambda w: self._whole(w), 20_000)
-        self.later = RecentlyUsed(lambda w: self._whole(" " + w), CACHE_STRETCHES)
+        self.known: dict[str, bytes] = {}
+        self.newline = self._whole("\n")
+        self.signs = {c: self._whole(c) for c in ",."}
         self.lone = re.compile(r"(?<=\S) (?=\S)")
         self.double = re.compile(r"\s\s")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _prepare(self, words: set[str]) -> None:
-        """Encode new stretches together.  A sign behind a letter and a lone newline begin pieces
-        of their own, so such stretches are put together from shorter ones."""
-        new = words - self.later.keys() - self.later.older.keys()
-        joined, plain = {}, set()
-        for w in new:
-            if len(w) > 1 and w[-1] in ",." and w[-2].isalpha():
-                joined[w] = w[:-1]
-            else:
-                plain.add(w)
-        plain.update(w for w in joined.values() if w not in self.later)
+    def _learn(self, new: set[str]) -> None:
+        """Encode new stretches together.  A comma or stop behind a letter begins a piece of its own."""
+        known = self.known
+        if len(known) > CACHE_STRETCHES:
+            known.clear()
+        known["\n"] = self.newline
+        stems = {w: w[:-1] for w in new if w.endswith((",", ".")) and w[-2:-1].isalpha()}
+        plain = [w for w in new if w not in stems]
+        plain += {w for w in stems.values() if w not in known and w not in new}
         one = [w for w in plain if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
-        got = dict(zip(one, self._together(one)))
+        known.update(zip(one, self._together(one)))
         for w in plain:
-            if w not in got:
-                got[w] = self._whole(" " + w)
-        for w, part in joined.items():
-            ids = got.get(part)
-            got[w] = (self.later[part] if ids is None else ids) + self.first[w[-1]]
-        for w, ids in got.items():
-            self.later.put(w, ids)
+            if w not in known:
+                known[w] = self._whole(w[2:] if w[:2] == "  " else " " + w)
+        signs = self.signs
+        for w, stem in stems.items():
+            ids = known.get(stem)
+            if ids is None:  # the cache was emptied, or the stem is itself a stem and a sign
+                ids = self._whole(stem[2:] if stem[:2] == "  " else " " + stem)
+            known[w] = ids + signs[w[-1]]
 
     def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space in front: one call for all, cut at the ids that begin with the space."""
+        """Ids of each word with a space in front: some at a time, cut at the ids that begin with the space."""
         if not words:
             return []
-        ids = np.array(self.tok.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        some = [" " + " ".join(words[k : k + 64]) for k in range(0, len(words), 64)]
+        found = self.tok.encode_batch_fast(some, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, self.kind) for e in found])
         starts = np.flatnonzero(self.spaced[ids])
         if len(starts) != len(words):  # never with a byte-level vocabulary
             return [self._whole(" " + w) for w in words]
@@ -220,22 +229,33 @@ class StretchEncoder:
         return [raw[a:b] for a, b in zip((starts * ids.itemsize).tolist(), ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for t in texts:
-            if not t:
-                split.append([])
-            elif self.special.search(t):
-                split.append(None)
-            elif self.double.search(t):
-                split.append(self.lone.split(t))
-            else:
-                split.append(t.split(" "))
-        self._prepare({w for s in split if s for w in s[1:]})
-        later = self.later.__getitem__
-        return [
-            self._whole(t) if s is None else b"".join([self.first[s[0]], *map(later, s[1:])]) if s else b""
-            for t, s in zip(texts, split)
-        ]
+        words, ends, whole = [], [], {}
+        for row, t in enumerate(texts):
+            if t:
+                if self.special.search(t):
+                    whole[row] = self._whole(t)
+                else:
+                    double = self.double.search(t)
+                    for n, line in enumerate([t] if double else t.split("\n")):
+                        if n:
+                            words.append("\n")
+                        if line:
+                            parts = self.lone.split(line) if double else line.split(" ")
+                            parts[0] = "  " + parts[0]
+                            words += parts
+            ends.append(len(words))
+        found = list(map(self.known.get, words))
+        lacking = list(compress(range(len(words)), map(not_, found)))
+        if lacking:
+            self._learn({words[i] for i in lacking})
+            known = self.known
+            for i in lacking:
+                found[i] = known[words[i]]
+        out, a = [], 0
+        for row, b in enumerate(ends):
+            out.append(whole[row] if row in whole else b"".join(found[a:b]))
+            a = b
+        return out
 
 
 _ENCODERS: dict[str, StretchEncoder] = {}
