@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import make_importable, map_batches, read_input, write_table
 
 WIDTH = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CHUNK_ROWS = 20_000
 DEPTH = 2
 LOAD = 4  # cells of a hash row for each window of the corpus
@@ -55,8 +55,6 @@ CHUNK_SCHEMA = "chunk long, n_windows long, rows binary"
 # ------------------------------------------------------------------ words and windows
 
 _ODD = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)  # bases of the two hashes
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -66,59 +64,68 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+class _Digits:
+    """Powers of a base and of its inverse modulo 2 ** 64, as many as were asked for."""
+
+    def __init__(self, base: int):
+        self.bases, self.tables = (base, pow(base, -1, 1 << 64)), [np.ones(1, np.uint64)] * 2
+
+    def upto(self, n: int):
+        if len(self.tables[0]) < n:
+            n = max(n, 1 << 18)
+            for i, base in enumerate(self.bases):
+                out = np.full(n, base, np.uint64)
+                out[0] = 1
+                self.tables[i] = np.multiply.accumulate(out)
+        return self.tables
+
+
+_DIGITS = tuple(_Digits(b) for b in _ODD)
+STEP_BYTES = 1 << 16  # so much at a time stays in the processor's cache
 
 
 class Texts:
     """Words and window hashes of texts laid end to end, all texts of a chunk at once."""
 
     def __init__(self, texts: pa.Array, width: int = WIDTH):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-        raw = np.full(int(lengths.sum()) + len(lengths) + 1, 32, np.uint8)
-        joined = np.frombuffer(b"".join(texts.cast(pa.large_binary()).to_pylist()), np.uint8)
-        doc_of = np.repeat(np.arange(len(lengths)), lengths)
-        raw[np.arange(len(joined)) + doc_of + 1] = joined
-        self.raw = raw
-        inside = ~_SPACE[raw]
-        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        self.start, self.end = edge[0::2], edge[1::2]
-        bound = np.cumsum(lengths + 1)  # a text's bytes end before its separator
-        self.doc = np.searchsorted(bound, self.start, side="right") if len(self.start) else np.zeros(0, np.int64)
+        each = pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary())
+        lengths = pc.binary_length(each).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.raw = np.frombuffer(b" " + b" ".join(each.to_pylist()) + b" ", np.uint8)
+        space = (self.raw == 32) | (self.raw - np.uint8(9) < 5)
+        edge = np.flatnonzero(space[1:] ^ space[:-1]) + 1
+        self.start, self.end = edge[0::2].copy(), edge[1::2].copy()
+        last = np.searchsorted(self.start, np.cumsum(lengths + 1))  # a text's bytes end before its separator
+        self.n_words = np.diff(last, prepend=0)
         self.n_docs, self.width = len(lengths), width
-        self.n_words = np.bincount(self.doc, minlength=self.n_docs)
+        self.doc = np.repeat(np.arange(self.n_docs), self.n_words)
 
     def word_hashes(self, which: int) -> np.ndarray:
         """A hash of each word: its bytes as digits, every word from the same power on."""
         size = self.end - self.start
         out = np.zeros(len(size), np.uint64)
-        if not len(size):
-            return out
-        # longest word first in blocks of equal length classes would cost a sort; prefix sums cost two passes
-        base = _ODD[which]
-        step = 1 << 20
-        inverse = pow(base, -1, 1 << 64)
-        for a in range(0, len(size), step):
-            b = min(len(size), a + step)
+        a = 0
+        while a < len(size):
+            b = max(a + 1, int(np.searchsorted(self.end, self.start[a] + STEP_BYTES)))
             lo, hi = int(self.start[a]), int(self.end[b - 1])
-            p = _powers(base, hi - lo)
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.raw[lo:hi].astype(np.uint64) + np.uint64(1)) * p, dtype=np.uint64)])
-            back = _powers(inverse, hi - lo)
-            s, e = self.start[a:b] - lo, self.end[a:b] - lo
-            out[a:b] = (total[e] - total[s]) * back[s]
-        return _mix(out + size.astype(np.uint64) * np.uint64(base))
-
-    def windows(self, which: int) -> np.ndarray:
-        """A hash of every window; windows that would leave their text are left out by `window_starts`."""
-        h = self.word_hashes(which)
-        n = max(0, len(h) - self.width + 1)
+            power, back = _DIGITS[which].upto(hi - lo + 1)
+            total = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum((self.raw[lo:hi].astype(np.uint64) + np.uint64(1)) * power[: hi - lo], dtype=np.uint64, out=total[1:])
+            s = self.start[a:b] - lo
+            out[a:b] = (total[self.end[a:b] - lo] - total[s]) * back[s]
+            a = b
+        return _mix(out + size.astype(np.uint64) * np.uint64(_ODD[which]))
+
+    def windows(self, which: int, at: np.ndarray | None = None) -> np.ndarray:
+        """A hash of every window (also of those that leave their text), or of those at some places."""
+        h, base = self.word_hashes(which), np.uint64(_ODD[1 - which])
+        n = max(0, len(h) - self.width + 1) if at is None else len(at)
         out = np.zeros(n, np.uint64)
-        base = np.uint64(_ODD[1 - which])
-        for k in range(self.width):
-            out = out * base + h[k : k + n]
+        for a in range(0, n, STEP_BYTES >> 2):
+            b = min(n, a + (STEP_BYTES >> 2))
+            part = out[a:b]
+            for k in range(self.width):
+                part *= base
+                part += h[a + k : b + k] if at is None else h[at[a:b] + k]
         return _mix(out)
 
     def window_starts(self) -> np.ndarray:
@@ -206,15 +213,21 @@ def _cells(windows: np.ndarray, row: int, bits: int) -> np.ndarray:
     return x >> np.uint64(64 - bits)
 
 
+def _groups(keys: np.ndarray):
+    """(order, first of each run, run number of each in order) of the sorted keys."""
+    by = np.argsort(keys)
+    k = keys[by]
+    new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
+    return by, np.flatnonzero(new), np.cumsum(new) - 1
+
+
 def _held_twice(keys: np.ndarray, docs: np.ndarray):
     """Distinct keys in order, and which of them two documents of the chunk hold."""
-    by = np.argsort(keys, kind="stable")  # places, so documents, stay in order within a key
-    k, d = keys[by], docs[by]
-    new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    differ = np.concatenate([[False], (d[1:] != d[:-1]) & ~new[1:]]) if len(k) else np.zeros(0, bool)
-    twice = np.logical_or.reduceat(differ, first) if len(first) else np.zeros(0, bool)
-    return k[first], twice
+    by, first, _ = _groups(keys)
+    if not len(first):
+        return keys, np.zeros(0, bool)
+    d = docs[by]
+    return keys[by[first]], np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
 
 
 def _doc_keys(table: pa.Table, id_at: int) -> np.ndarray:
@@ -229,12 +242,10 @@ def _merge_range(key, table):
     n = [len(x) for x in each]
     cells = np.concatenate(each)
     more = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=m) for t, m in zip(twice, n)])
-    by = np.argsort(cells, kind="stable")
-    ordered = cells[by]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    by, first, run = _groups(cells)
     counts = np.add.reduceat(1 + more[by].astype(np.int64), first)
     answer = np.empty(len(cells), bool)
-    answer[by] = np.repeat(counts >= 2, np.diff(np.append(first, len(cells))))
+    answer[by] = (counts >= 2)[run]
     ends = np.cumsum(n)
     bits = [np.packbits(answer[e - m : e]).tobytes() for e, m in zip(ends, n)]
     return pa.table(
@@ -250,25 +261,38 @@ def _merge_range(key, table):
 ANSWER_SCHEMA = "chunk long, row int, part long, bits binary"
 
 
+def _exact_groups(h: np.ndarray, g: np.ndarray):
+    """Like `_groups` of the pairs (h, g)."""
+    by, first, run = _groups(h)
+    g_in_order = g[by]
+    if len(first) and (g_in_order != g_in_order[first][run]).any():  # equal first halves only: all but impossible
+        by = np.lexsort((g, h))
+        new = np.concatenate([[True], (h[by][1:] != h[by][:-1]) | (g[by][1:] != g[by][:-1])])
+        first, run = np.flatnonzero(new), np.cumsum(new) - 1
+    return by, first, run
+
+
 def _merge_exact(key, table):
-    """One range of exact windows: the least id that holds each, and whether it is less than a chunk's own."""
-    chunks = table.column("chunk").to_pylist()
-    raw = [np.frombuffer(b, [("h", "<u8"), ("g", "<u8"), ("id", "<i8")]) for b in table.column("windows").to_pylist()]
-    n = [len(x) for x in raw]
-    rows = np.concatenate(raw)
-    by = np.lexsort((rows["g"], rows["h"]))
-    h, g, ids = rows["h"][by], rows["g"][by], rows["id"][by]
-    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]))
-    least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(h))))
-    answer = np.empty(len(h), bool)
-    answer[by] = least < ids
-    ends = np.cumsum(n)
-    bits = [np.packbits(answer[e - m : e]).tobytes() for e, m in zip(ends, n)]
+    """One range of exact windows: the least id that holds each, and whether it is less than a chunk's own.
+
+    Ranges below 0 are not windows but what chunks noted for themselves.
+    """
+    part, chunks, sent = key[0].as_py(), table.column("chunk").to_pylist(), table.column("windows").to_pylist()
+    bits = sent
+    if part >= 0:
+        raw = [np.frombuffer(b, [("h", "<u8"), ("g", "<u8"), ("id", "<i8")]) for b in sent]
+        rows = np.concatenate(raw)
+        ids = rows["id"]
+        by, first, run = _exact_groups(np.ascontiguousarray(rows["h"]), np.ascontiguousarray(rows["g"]))
+        answer = np.empty(len(rows), bool)
+        answer[by] = np.minimum.reduceat(ids[by], first)[run] < ids[by]
+        ends = np.cumsum([len(x) for x in raw])
+        bits = [np.packbits(answer[e - len(x) : e]).tobytes() for e, x in zip(ends, raw)]
     return pa.table(
         {
             "chunk": pa.array(chunks, pa.int64()),
-            "row": pa.array([0] * len(chunks), pa.int32()),
-            "part": pa.array([key[0].as_py()] * len(chunks), pa.int64()),
+            "row": pa.array([DEPTH] * len(chunks), pa.int32()),
+            "part": pa.array([max(part, -1)] * len(chunks), pa.int64()),
             "bits": pa.array(bits, pa.binary()),
         }
     )
@@ -301,31 +325,29 @@ class Plan:
         at = texts.window_starts()
         return table, texts, at, texts.windows(0)[at], texts.doc[at]
 
-    def maybe(self, windows: np.ndarray, docs: np.ndarray, answers: list) -> np.ndarray:
+    def maybe(self, windows: np.ndarray, answers: list) -> np.ndarray:
         """The windows all of whose cells the merged sketch counts twice or more."""
         out = np.ones(len(windows), bool)
         for row in range(DEPTH):
             cells = _cells(windows, row, self.bits)
-            distinct = np.unique(cells)
+            by, first, run = _groups(cells)
+            distinct = cells[by[first]]
             held = np.zeros(len(distinct), bool)
             mine = {a["part"]: a["bits"] for a in answers if a["row"] == row}
             for part, a, b in _split(distinct, _cuts(self.ranges, self.bits)):
                 held[a:b] = np.unpackbits(np.frombuffer(mine[part], np.uint8), count=b - a)
-            out &= held[np.searchsorted(distinct, cells)]
+            out[by] &= held[run]
         return out
 
-    def candidates(self, texts: Texts, at, windows, maybe, ids, docs):
-        """Windows that may repeat: sorted distinct (h, g), least id in the chunk, and the one each place has."""
-        rows = np.flatnonzero(maybe)
-        h, g = windows[rows], texts.windows(1)[at[rows]]
-        own = ids[docs[rows]]
-        by = np.lexsort((own, g, h))
-        h, g, own = h[by], g[by], own[by]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]) if len(h) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        which = np.empty(len(rows), np.int64)
-        which[by] = np.cumsum(new) - 1
-        return rows, h[first], g[first], own[first], which
+    def candidates(self, texts: Texts, places, h, ids):
+        """Windows that may repeat, by their places: distinct (h, g) in order, least id in the chunk,
+        and which of them each place has."""
+        g, own = texts.windows(1, places), ids[texts.doc[places]]
+        by, first, run = _exact_groups(h, g)
+        which = np.empty(len(h), np.int64)
+        which[by] = run
+        least = np.minimum.reduceat(own[by], first) if len(first) else own
+        return h[by[first]], g[by[first]], least, which
 
 
 def _with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -376,13 +398,14 @@ def remove_repeats(
             for chunk, blob, answers in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 if not answers:
                     continue
-                table, texts, at, windows, docs = plan.chunk(blob.as_py())
-                maybe = plan.maybe(windows, docs, answers)
-                _, h, g, least, _ = plan.candidates(texts, at, windows, maybe, _doc_keys(table, id_at), docs)
+                table, texts, at, windows, _ = plan.chunk(blob.as_py())
+                maybe = plan.maybe(windows, answers)
+                h, g, least, _ = plan.candidates(texts, at[maybe], windows[maybe], _doc_keys(table, id_at))
                 rows = np.empty(len(h), [("h", "<u8"), ("g", "<u8"), ("id", "<i8")])
                 rows["h"], rows["g"], rows["id"] = h, g, least
                 sent = [(chunk, part, rows[a:b].tobytes()) for part, a, b in _split(h, _cuts(plan.ranges, 64))]
-                if sent:
+                if sent:  # and for the last pass: which windows these were
+                    sent.append((chunk, -1 - chunk % plan.ranges, np.packbits(maybe).tobytes()))
                     kinds = (pa.int64(), pa.int64(), pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*sent), kinds)], names=["chunk", "part", "windows"]
@@ -392,7 +415,7 @@ def remove_repeats(
         _with_answers(chunks.select("chunk", "rows"), first_answers), exact, "chunk long, part long, windows binary"
     )
     second_path = write_table(asked.groupBy("part").applyInArrow(_merge_exact, ANSWER_SCHEMA), "window-answers")
-    second_answers = spark.read.schema(ANSWER_SCHEMA).parquet(second_path).withColumn("row", F.lit(DEPTH))
+    second_answers = spark.read.schema(ANSWER_SCHEMA).parquet(second_path)
 
     def settle(batches):
         for batch in batches:
@@ -401,13 +424,14 @@ def remove_repeats(
                 gone = np.zeros(len(texts.start) + 1, np.int64)
                 if answers:
                     ids = _doc_keys(table, id_at)
-                    maybe = plan.maybe(windows, docs, answers)
-                    rows, h, _, least, which = plan.candidates(texts, at, windows, maybe, ids, docs)
+                    mine = {a["part"]: np.frombuffer(a["bits"], np.uint8) for a in answers}
+                    maybe = np.unpackbits(mine[-1], count=len(at)).astype(bool)
+                    places = at[maybe]
+                    h, _, least, which = plan.candidates(texts, places, windows[maybe], ids)
                     elsewhere = np.zeros(len(h), bool)
-                    mine = {a["part"]: a["bits"] for a in answers if a["row"] == DEPTH}
                     for part, a, b in _split(h, _cuts(plan.ranges, 64)):
-                        elsewhere[a:b] = np.unpackbits(np.frombuffer(mine[part], np.uint8), count=b - a)
-                    repeated = at[rows[elsewhere[which] | (least[which] < ids[docs[rows]])]]
+                        elsewhere[a:b] = np.unpackbits(mine[part], count=b - a)
+                    repeated = places[elsewhere[which] | (least[which] < ids[docs[maybe]])]
                     np.add.at(gone, repeated, 1)
                     np.add.at(gone, np.minimum(repeated + width, len(gone) - 1), -1)
                 yield from _result(table, texts, np.cumsum(gone[:-1]) > 0)
@@ -435,8 +459,7 @@ def remove_repeats(
             new = table.set_column(text_at, table.schema.field(text_at), pa.array(kept, table.schema.field(text_at).type))
             yield from new.combine_chunks().to_batches()
 
-    answers = first_answers.union(second_answers.select(*first_answers.columns))
-    ready = _with_answers(chunks.select("chunk", "rows"), answers).select("rows", "answers")
+    ready = _with_answers(chunks.select("chunk", "rows"), second_answers).select("rows", "answers")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" if digest else df.schema
     return map_batches(ready, settle, schema)
 
