@@ -11,6 +11,12 @@ AS_OF = "DATE '2001-11-05'"
 DS = "'2001-11-04'"
 
 
+def _day(x: str) -> str:
+    """The date before the first blank; null unless that is a date and nothing else."""
+    part = f"split_part({x}, ' ', 1)"
+    return f"CASE WHEN regexp_full_match({part}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST({part} AS DATE) END"
+
+
 def _r(x: str) -> str:
     return f"round(CAST({x} AS DOUBLE), 6)"
 
@@ -30,6 +36,13 @@ dim AS (
               ELSE CAST(s_nationkey AS VARCHAR) || '@' || CAST(s_suppkey % 6 AS VARCHAR) END,
          CAST(2 - s_suppkey % 2 AS INTEGER)
   FROM supplier WHERE s_suppkey % 10 = 0
+  UNION ALL
+  SELECT CAST(s_nationkey AS VARCHAR), CAST(s_suppkey AS VARCHAR),
+         CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE CAST(s_suppkey % 4 AS VARCHAR) END,
+         CASE WHEN s_suppkey % 11 = 0 THEN 'p'
+              ELSE CAST(s_nationkey AS VARCHAR) || '@' || CAST(s_suppkey % 6 AS VARCHAR) END,
+         code
+  FROM supplier, (VALUES (NULL, 7, 3), (3, 9, 4)) AS odd(code, m, r) WHERE s_suppkey % m = r
 ),
 li AS (
   SELECT l.*, s.s_nationkey, s.s_suppkey,
@@ -49,8 +62,7 @@ deal AS (
 ),
 listing AS (
   SELECT CAST(s_nationkey AS VARCHAR) AS city_id, CAST(s_suppkey AS VARCHAR) AS house_id,
-         strftime(dd - CAST(10 + l_partkey % 1500 AS INTEGER), '%Y-%m-%d')
-           || CASE WHEN l_partkey % 5 = 0 THEN ' 10:00:00' ELSE '' END AS first_pub_date,
+         strftime(dd - CAST(10 + l_partkey % 1500 AS INTEGER), '%Y-%m-%d') || suffix AS first_pub_date,
          CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE strftime(dd, '%Y-%m-%d') END AS last_pub_date,
          CAST(ar AS VARCHAR) AS area,
          CAST(ar * CASE WHEN l_partkey % 50 = 1 THEN 90000 ELSE uc END AS VARCHAR) AS quoted_price,
@@ -64,7 +76,10 @@ listing AS (
            1500000 + (s_suppkey % 7) * 100000 + ((l_partkey * l_partkey) % 97) * 2000
              + CASE WHEN s_suppkey % 3 = 0 THEN (l_partkey % 9) * (l_partkey % 9) * 60000 ELSE 0 END AS uc
     FROM li JOIN part ON l_partkey = p_partkey
-  ) x
+  ) x, (VALUES (0), (1)) AS variant(broken),
+  LATERAL (SELECT CASE WHEN broken = 1 THEN CASE WHEN l_partkey % 2 = 0 THEN '99' ELSE 'garbage' END
+                       WHEN l_partkey % 5 = 0 THEN ' 10:00:00' ELSE '' END AS suffix)
+  WHERE broken = 0 OR l_partkey % 41 = 0
 ),
 release AS (
   SELECT CAST(n_nationkey AS BIGINT) AS city_id,
@@ -92,7 +107,7 @@ DEAL_ENRICHED = f"""
 enriched AS (
   SELECT CASE WHEN CAST(b.is_first AS VARCHAR) = '1' THEN 'NEW' ELSE 'SECOND' END AS dim,
          a.city_id, b.biz_district_id AS district_id, split(b.plate_fk, '@')[2] AS plate_id, a.house_id,
-         TRY_CAST(substr(a.bargaindate, 1, 10) AS DATE) AS deal_day,
+         {_day("a.bargaindate")} AS deal_day,
          TRY_CAST(CASE WHEN CAST(b.is_first AS VARCHAR) = '2' AND a.price_label IN ('2', '行情参考')
                        THEN a.eval_totalprice ELSE a.totalprice END AS DECIMAL(18,4)) AS price,
          TRY_CAST(a.bargain_area AS DECIMAL(18,4)) AS area
@@ -204,13 +219,15 @@ bands(b_lo, b_hi) AS (
          (350, 400), (400, 450), (450, 500), (500, 999999)
 )"""
 
+# Braces doubled: LISTING_CLEAN is formatted once more.
+_first, _last = (_day(f"a.{c}").replace("{", "{{").replace("}", "}}") for c in ("first_pub_date", "last_pub_date"))
+
 LISTING_CLEAN = f"""
 clean0 AS (
   SELECT a.city_id, b.biz_district_id AS district_id, split(b.plate_fk, '@')[2] AS plate_id, a.house_id,
-         TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE) AS first_day,
-         CASE WHEN a.last_pub_date IS NULL THEN TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE)
-              WHEN TRY_CAST(substr(a.last_pub_date, 1, 10) AS DATE) >= {AS_OF} THEN {AS_OF} - 1
-              ELSE TRY_CAST(substr(a.last_pub_date, 1, 10) AS DATE) END AS end_day,
+         {_first} AS first_day,
+         CASE WHEN a.last_pub_date IS NULL THEN {_first}
+              WHEN {_last} >= {AS_OF} THEN {AS_OF} - 1 ELSE {_last} END AS end_day,
          TRY_CAST(a.quoted_price AS DECIMAL(18,4)) * 0.01 AS price_yuan,
          TRY_CAST(a.area AS DECIMAL(18,4)) AS area,
          CAST(floor(TRY_CAST(a.quoted_price AS DECIMAL(18,4))) AS BIGINT) AS cents_int,
@@ -221,7 +238,7 @@ clean0 AS (
     AND floor(TRY_CAST(a.area AS DOUBLE)) > 0 AND floor(TRY_CAST(a.area AS DOUBLE)) < 1000
     AND TRY_CAST(a.quoted_price AS DOUBLE) / NULLIF(TRY_CAST(a.area AS DOUBLE), 0) BETWEEN 100000 AND 50000000
     AND TRY_CAST(a.evaluation_high_price AS DOUBLE) / NULLIF(TRY_CAST(a.quoted_price AS DOUBLE), 0) <= 2
-    AND TRY_CAST(substr(a.first_pub_date, 1, 10) AS DATE) < {AS_OF}
+    AND {_first} < {AS_OF}
 ),
 clean AS (
   SELECT c.*, (cents_int // 100) // area_int AS u, coalesce(bd.b_lo, 90) AS band_lo
@@ -348,6 +365,12 @@ def metrics_all_sql() -> str:
     return f"SELECT * FROM ({deal_metrics_sql()}) d\nUNION ALL\nSELECT * FROM ({listing_metrics_sql()}) l"
 
 
+def delimited_sql() -> str:
+    return f"""
+SELECT * REPLACE (CASE obj_type WHEN 'CITY' THEN obj_value || ':"q"\\path' WHEN 'DISTRICT' THEN '' ELSE obj_value END AS obj_value)
+FROM ({metrics_all_sql()}) q"""
+
+
 def area_band_histogram_sql() -> str:
     return f"""
 WITH {ADAPTERS}, {BANDS},

@@ -20,8 +20,12 @@ def parse_double(c: Column) -> Column:
 
 
 def parse_day(c: Column) -> Column:
-    """``yyyy-MM-dd`` with an optional time suffix -> DATE; invalid -> null."""
-    return F.try_to_date(F.substring(c.cast("string"), 1, 10), "yyyy-MM-dd")
+    """``yyyy-MM-dd``, optionally followed by a blank and a time -> DATE.
+
+    The text is cut at its first blank; what stands before must be a date and
+    nothing else, otherwise the result is null.
+    """
+    return F.try_to_date(F.split_part(c.cast("string"), F.lit(" "), F.lit(1)), "yyyy-MM-dd")
 
 
 def ratio(num: Column, den: Column) -> Column:

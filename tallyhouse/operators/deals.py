@@ -1,9 +1,10 @@
 """Deal metrics: total volume, volume and area-weighted average price.
 
-Plan (one Catalyst plan, two exchanges):
+Plan (one Catalyst plan; the fact is exchanged after partial aggregation only,
+unless the dimension is too large for Spark to broadcast):
 
-1. scan the day partition, join the community dimension (size-checked
-   broadcast), derive segment, plate, effective price;
+1. scan the day partition, join the community dimension (Spark picks the join
+   from sizes), derive segment, plate, effective price and time slot;
 2. explode every deal into its four object levels and pre-aggregate to a
    *slot grain* ``(dim, obj_type, city, key, slot)`` with partial (map-side)
    aggregation -- a hot city or house is combined before the shuffle, so skew
@@ -13,7 +14,7 @@ Plan (one Catalyst plan, two exchanges):
    union of whole slots;
 3. per object, the latest day over a window on the slot grain (a group here
    is bounded by the number of slots, not by deals), attach the city's
-   release month (small broadcast lookup), derive the statistic windows;
+   release month (one row a city), derive the statistic windows;
 4. one grouped aggregate of conditional sums on the same partitioning, then
    an in-stage unpivot to tall rows.
 """
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from tallyhouse import schema as S
 from tallyhouse.functions.numeric import change_pct, parse_amount, parse_day, ratio
 from tallyhouse.functions.periods import cyclical_window, month_window, slot_in_window, time_slot
-from tallyhouse.operators.joins import sized_broadcast
 from tallyhouse.operators.levels import ALL_LEVELS, explode_levels
 from tallyhouse.operators.tall import MetricSpec, to_metric_rows
 
@@ -38,17 +38,19 @@ REFERENCE_LABELS = ("2", "行情参考")
 
 SEGMENT_CODES = {"1": S.DIM_NEW, "2": S.DIM_SECOND}
 
-DEFAULT_DIM_BROADCAST_ROWS = 2_000_000
-DEFAULT_LOOKUP_BROADCAST_ROWS = 100_000
 
+def community_keys(dim: DataFrame, segments=None) -> DataFrame:
+    """Community dimension reduced to the join keys, the level keys and the segment label.
 
-def community_keys(dim: DataFrame, segments=("1", "2")) -> DataFrame:
-    """Community dimension reduced to the join keys and the level keys."""
+    ``segments=None`` takes every row, whatever its segment code (null included;
+    codes without a label get none); otherwise only rows with one of the codes.
+    """
     seg = F.col("is_first").cast("string")
     dim_label = None
     for code, label in SEGMENT_CODES.items():
         dim_label = F.when(seg == code, label) if dim_label is None else dim_label.when(seg == code, label)
-    return dim.where(seg.isin(*segments)).select(
+    rows = dim if segments is None else dim.where(seg.isin(*segments))
+    return rows.select(
         F.col("biz_city_id").cast("string").alias("_dim_city"),
         F.col("biz_house_id").cast("string").alias("_dim_house"),
         F.col("biz_district_id").cast("string").alias("district_id"),
@@ -63,7 +65,6 @@ def enrich_deals(
     ds: str,
     *,
     segments=("1", "2"),
-    dim_broadcast_rows: int = DEFAULT_DIM_BROADCAST_ROWS,
 ) -> DataFrame:
     """Deals of partition ``ds`` joined to their communities.
 
@@ -81,7 +82,7 @@ def enrich_deals(
         "price_label",
         "bargain_area",
     )
-    keys = sized_broadcast(community_keys(dim, segments), dim_broadcast_rows)
+    keys = community_keys(dim, segments)
     j = facts.join(keys, (facts.city_id == keys._dim_city) & (facts.house_id == keys._dim_house))
     label = F.col("price_label")
     effective = (
@@ -114,8 +115,9 @@ def slot_grain(enriched: DataFrame, as_of, levels=ALL_LEVELS) -> DataFrame:
     """``(dim, obj_type, city_id, obj_key, slot_first, slot_last)`` -> n, sp, sa, last_day."""
     valid = F.col("price").isNotNull() & F.col("area").isNotNull()
     first, last = time_slot("deal_day", as_of)
-    rows = explode_levels(enriched, levels).select(
-        *S.OBJECT_KEYS, "deal_day", "price", "area", first.alias("slot_first"), last.alias("slot_last")
+    slotted = enriched.withColumns({"slot_first": first, "slot_last": last})  # once a deal, not once a level
+    rows = explode_levels(slotted, levels).select(
+        *S.OBJECT_KEYS, "deal_day", "price", "area", "slot_first", "slot_last"
     )
     return rows.groupBy(*S.OBJECT_KEYS, "slot_first", "slot_last").agg(
         F.count(F.lit(1)).alias("n"),
@@ -131,7 +133,6 @@ def deal_object_stats(
     release: DataFrame | None = None,
     *,
     calendar_months: bool = False,
-    lookup_broadcast_rows: int = DEFAULT_LOOKUP_BROADCAST_ROWS,
     levels=ALL_LEVELS,
 ) -> DataFrame:
     """One wide row per object with the chosen windows and their sums.
@@ -145,7 +146,7 @@ def deal_object_stats(
     obj = Window.partitionBy(*S.OBJECT_KEYS)
     grain = grain.withColumn("latest", F.max("last_day").over(obj))
     if release is not None:
-        rel = sized_broadcast(release_months(release), lookup_broadcast_rows)
+        rel = release_months(release)
         grain = grain.join(rel, grain.city_id == rel._rel_city, "left").drop("_rel_city")
     else:
         grain = grain.withColumn("release_day", F.lit(None).cast("date"))
@@ -227,12 +228,8 @@ def deal_metrics(
     *,
     calendar_months: bool = False,
     indexes=None,
-    dim_broadcast_rows: int = DEFAULT_DIM_BROADCAST_ROWS,
-    lookup_broadcast_rows: int = DEFAULT_LOOKUP_BROADCAST_ROWS,
 ) -> DataFrame:
     """The deals job: tall metrics rows for NEW and SECOND at all levels."""
-    enriched = enrich_deals(deals, dim, ds, dim_broadcast_rows=dim_broadcast_rows)
-    stats = deal_object_stats(
-        enriched, as_of, release, calendar_months=calendar_months, lookup_broadcast_rows=lookup_broadcast_rows
-    )
+    enriched = enrich_deals(deals, dim, ds)
+    stats = deal_object_stats(enriched, as_of, release, calendar_months=calendar_months)
     return deal_metric_rows(stats, indexes)

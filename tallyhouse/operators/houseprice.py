@@ -13,12 +13,13 @@ For one community and one window with more than ``segment`` listings:
 * the price is the mode unless there is none or it is more than 20 % away
   from the main rows' area-weighted average, which is used instead.
 
-Input is a *grain* ``(keys..., band_lo, u) -> cnt, sp, sa`` built with a
-partial aggregate, so a hot community is combined map-side; each window
-partition below holds at most one row per distinct (band, unit price), and
-the unit price is bounded by the listing filters (1,000 .. 500,000), so no
-group grows with the number of listings.  All windows and aggregates share
-the hash partitioning on ``keys`` (one exchange).
+Input is a *grain* ``(keys..., band_lo, u) -> cnt, sp, sa``, one row per distinct
+band and unit price (bounded by the listing filters, 1,000 .. 500,000), however
+many listings there are.  Counts and extremes are taken per band by a partially
+aggregated group-by; the windows run over those at most 21 rows a group, and over
+its few buckets, never over the grain.  The limits are joined back to the grain on
+the keys, the band and a salt of the unit price, and the buckets are summed by
+another partial aggregate, so the rows of a hot community stay spread over tasks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from tallyhouse.functions.numeric import ratio
 
 SEGMENT = 3
 MAX_GAP = 0.2
+SALTS = 8  # tasks over which the grain of one group and band may spread
 # A value above every other bucket index: where a saturated integer
 # conversion of +infinity lands when the pitch is zero (all prices above the
 # minimum share one bucket).
@@ -39,11 +41,8 @@ OVERFLOW_BUCKET = 2147483647
 
 
 def _div(a: Column, b: Column) -> Column:
-    """Truncating integral division of longs (like SQL ``div``); null for a
-    zero divisor.  ``a - a % b`` is an exact multiple of ``b``, so the decimal
-    quotient is exact at any magnitude."""
-    bb = F.when(b != 0, b)
-    return F.try_divide((a - a % bb).cast("decimal(38,0)"), bb.cast("decimal(38,0)")).cast("long")
+    """SQL ``div`` of whole numbers (truncating); null for a zero divisor."""
+    return F.call_function("div", a, F.nullif(b, F.lit(0)))
 
 
 def unit_price(price_cents: Column, area_int: Column) -> Column:
@@ -60,18 +59,22 @@ def house_price(
     """``keys -> n_main, mode, avg, price`` for each group of the grain."""
     if area_bands not in ("all", "dominant"):
         raise ValueError("area_bands must be 'all' or 'dominant'")
+    # One row a group and band (21 bands at most): counts and extremes.
+    bands = grain.groupBy(*keys, "band_lo").agg(
+        F.sum("cnt").alias("_band_n"), F.min("u").alias("_lo"), F.max("u").alias("_hi")
+    )
     w = Window.partitionBy(*keys)
-    g = grain
     if area_bands == "dominant":
-        g = g.withColumn("_n", F.sum("cnt").over(w))
-        g = g.withColumn("_band_n", F.sum("cnt").over(Window.partitionBy(*keys, "band_lo")))
-        # RANGE frame: rows of one band are peers, so this is the running
-        # count up to and including the band in (count desc, band asc) order.
-        ordered = Window.partitionBy(*keys).orderBy(F.col("_band_n").desc(), F.col("band_lo").asc())
-        g = g.withColumn("_cum", F.sum("cnt").over(ordered))
-        g = g.where((F.col("_cum") - F.col("_band_n")) * 2 <= F.col("_n")).drop("_n", "_band_n", "_cum")
+        ordered = w.orderBy(F.col("_band_n").desc(), F.col("band_lo").asc()).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_band_n").over(ordered), F.lit(0))
+        bands = bands.withColumn("_main", before * 2 <= F.sum("_band_n").over(w)).where("_main")
+    limits = bands.select(*keys, "band_lo", F.min("_lo").over(w).alias("_min"), F.max("_hi").over(w).alias("_max"))
 
-    g = g.withColumn("_min", F.min("u").over(w)).withColumn("_max", F.max("u").over(w))
+    # The grain rows of one group are spread by a salt of the unit price, and
+    # each limit is repeated for every salt, so no task holds a hot group.
+    salt = F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int")
+    salted = limits.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    g = grain.withColumn("_salt", salt).join(salted, [*keys, "band_lo", "_salt"])
     pitch = _div(F.col("_max") - F.col("_min"), F.lit(segment))
     steps = F.ceil(F.try_divide((F.col("u") - F.col("_min")).cast("double"), pitch.cast("double")))
     bucket = (
@@ -85,7 +88,7 @@ def house_price(
         F.sum("sp").alias("sp"),
         F.sum("sa").alias("sa"),
     )
-    b = b.withColumn("_top", F.max("nb").over(w))
+    b = b.withColumn("_top", F.max("nb").over(w))  # a handful of buckets a group
     top = F.col("nb") == F.col("_top")
     r = b.groupBy(*keys).agg(
         F.sum("nb").alias("n_main"),

@@ -2,8 +2,9 @@
 
 Plan:
 
-1. scan the day partition, join the community dimension (size-checked
-   broadcast), apply the quality filters, clip each listing's end day;
+1. scan the day partition, apply the quality filters, join every row of the
+   community dimension (Spark picks the join from sizes), clip each listing's
+   end day;
 2. explode into object levels and pre-aggregate (map-side, skew safe) to a
    grain of (object, first-day slot, end-day slot), where slots cut the
    calendar at the window edges, so every window predicate has one value per
@@ -17,9 +18,10 @@ Plan:
    rows of the same grain (which keep band and unit price): they are joined
    to their community's latest day and window counts from step 2, reduced to
    a (community, window, band, unit price) grain with partial aggregation,
-   and ranked.  The grain is written once under the checkpoint folder and
-   read by both consumers, so the listings are scanned once, the lineage is
-   cut after the big shuffle, and filters reach the grain's parquet scan;
+   and ranked.  The grain is written once under the checkpoint folder, at
+   once when the plan is built, and read by both consumers, so the listings
+   are scanned once, the lineage is cut after the big shuffle, and filters
+   reach the grain's parquet scan;
 4. unpivot to tall rows.
 """
 
@@ -42,9 +44,8 @@ from tallyhouse.functions.periods import (
     cyclical_window,
     floor_to_cut,
 )
-from tallyhouse.operators.deals import DEFAULT_DIM_BROADCAST_ROWS, community_keys
-from tallyhouse.operators.houseprice import SEGMENT, house_price, unit_price
-from tallyhouse.operators.joins import sized_broadcast
+from tallyhouse.operators.deals import community_keys
+from tallyhouse.operators.houseprice import SALTS, SEGMENT, house_price, unit_price
 from tallyhouse.operators.levels import explode_levels
 from tallyhouse.operators.tall import MetricSpec, to_metric_rows
 from tallyhouse.session import materialize
@@ -67,14 +68,14 @@ def clean_listings(
     as_of,
     *,
     segments=None,
-    dim_broadcast_rows: int = DEFAULT_DIM_BROADCAST_ROWS,
 ) -> DataFrame:
     """Listings of partition ``ds`` that pass the quality rules, joined to
     their communities.
 
-    The join takes every segment row of the dimension (``segments=None``), so
-    a community present as new and second-hand counts its listings twice, as
-    the production job does; pass ``segments=("2",)`` to restrict.
+    The join takes every row of the dimension whatever its segment code, null
+    and unknown codes included (``segments=None``), so a community present as
+    new and second-hand counts its listings twice, as the production job does;
+    pass ``segments=("2",)`` to restrict.
 
     Columns: city_id, district_id, plate_id, house_id, first_day, end_day,
     price_yuan, area (decimal), u (unit price), band_lo.
@@ -97,7 +98,7 @@ def clean_listings(
         f" AND floor({num('area')}) > 0 AND floor({num('area')}) < {MAX_AREA}"
         f" AND try_divide({num('quoted_price')}, {num('area')}) BETWEEN {lo} AND {hi}"
         f" AND try_divide({num('evaluation_high_price')}, {num('quoted_price')}) <= {MAX_VALUATION_RATIO}"
-        f" AND try_to_date(substring(CAST(first_pub_date AS STRING), 1, 10), 'yyyy-MM-dd') < DATE'{day.isoformat()}'"
+        f" AND try_to_date(split_part(CAST(first_pub_date AS STRING), ' ', 1), 'yyyy-MM-dd') < DATE'{day.isoformat()}'"
     )
     facts = facts.where(keep).select(
         F.col("city_id").cast("string").alias("city_id"),
@@ -107,8 +108,7 @@ def clean_listings(
         "quoted_price",
         "area",
     )
-    seg = ("1", "2") if segments is None else tuple(segments)
-    keys = sized_broadcast(community_keys(dim, seg), dim_broadcast_rows)
+    keys = community_keys(dim, segments).drop("dim")
     j = facts.join(keys, (facts.city_id == keys._dim_city) & (facts.house_id == keys._dim_house))
     last_day = parse_day(F.col("last_pub_date"))
     end_day = (
@@ -246,31 +246,31 @@ def community_prices(
     (``cur`` or ``prev``): the robust price and its ingredients.
 
     The HOUSE rows of the grain get their community's latest day and window
-    counts from ``stats`` by an equi-join (one row per community on the
-    right), not by a window over the community: a community with a large
-    share of all listings is spread by the shuffle (and split by AQE's skew
-    handling), or the small side is broadcast, instead of being buffered in
-    one task.  The rows are then reduced to (community, window, band, unit
-    price) with partial aggregation; a group there is bounded by 21 bands
-    times the integer unit prices the filters admit."""
+    counts from ``stats`` by an equi-join on the object keys and a salt of the
+    unit price (the one row a community on the right is repeated for every
+    salt), and are then reduced to (community, window, band, unit price); so
+    the grain of a community with a large share of all listings is spread over
+    tasks all the way, and no window runs over it."""
     is_house = F.col("obj_type") == S.OBJ_HOUSE
     right = stats.where(is_house & ((F.col("n_cur") > segment) | (F.col("n_prev") > segment))).select(
-        *S.OBJECT_KEYS, "latest", "n_cur", "n_prev"
+        *S.OBJECT_KEYS, "latest", "n_cur", "n_prev", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
     )
-    j = grain.where(is_house).join(right, list(S.OBJECT_KEYS))
+    salt = F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int")
+    j = grain.where(is_house).withColumn("_salt", salt).join(right, [*S.OBJECT_KEYS, "_salt"])
     w = cyclical_window("latest", as_of)
     cur, prev = _membership(F.col("first_slot"), F.col("end_slot"), w["s"], w["e"], w["p_s"], w["p_e"], previous)
     kinds = F.array(
         F.when(cur & (F.col("n_cur") > segment), F.lit("cur")),
         F.when(prev & (F.col("n_prev") > segment), F.lit("prev")),
     )
-    # Grouping and window keys all start with the object keys, so a shuffle
-    # join's partitioning serves every step below.
+    # The salt is a function of the unit price: grouping by it changes nothing,
+    # and the join's partitioning on (object, salt) serves the aggregate.
     per_kind = (
-        j.select(*S.OBJECT_KEYS, "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
+        j.select(*S.OBJECT_KEYS, "_salt", "band_lo", "u", "n", "price_yuan", "area", F.explode(kinds).alias("kind"))
         .where(F.col("kind").isNotNull())
-        .groupBy(*S.OBJECT_KEYS, "kind", "band_lo", "u")
+        .groupBy(*S.OBJECT_KEYS, "_salt", "kind", "band_lo", "u")
         .agg(F.sum("n").alias("cnt"), F.sum("price_yuan").alias("sp"), F.sum("area").alias("sa"))
+        .drop("_salt")
     )
     return house_price(per_kind, [*S.OBJECT_KEYS, "kind"], area_bands=area_bands, segment=segment)
 
@@ -332,7 +332,6 @@ def listing_metrics(
     area_bands: str = "all",
     segments=None,
     indexes=None,
-    dim_broadcast_rows: int = DEFAULT_DIM_BROADCAST_ROWS,
 ) -> DataFrame:
     """The listings job: tall QUOTED_* rows for SECOND.
 
@@ -341,7 +340,7 @@ def listing_metrics(
     window as for the current one; ``area_bands="dominant"`` restricts the
     robust price to the main area bands.
     """
-    clean = clean_listings(listings, dim, ds, as_of, segments=segments, dim_broadcast_rows=dim_broadcast_rows)
+    clean = clean_listings(listings, dim, ds, as_of, segments=segments)
     grain = listing_grain(clean, as_of, levels=LEVELS_WITH_PLATE if emit_plate else LEVELS)
     wants_price = indexes is None or S.INDEX_QUOTED_PRICE_AVG in indexes
     if wants_price:

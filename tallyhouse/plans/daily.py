@@ -8,8 +8,12 @@
 Both jobs' rows are written together as partition ``ds`` (= as-of minus one
 day) of the output table, replacing that partition, so a re-run or a retried
 write never duplicates rows.  Release dates can also come over JDBC
-(``--release-jdbc-url`` / ``--release-jdbc-table`` / ``--jdbc-option k=v``),
-and the partition can be exported to an RDBMS table (``--export-jdbc-table``).
+(``--release-jdbc-url`` / ``--release-jdbc-table`` / ``--release-jdbc-option k=v``),
+and the partition can be exported to another database
+(``--export-jdbc-url`` / ``--export-jdbc-table`` / ``--export-jdbc-option k=v``).
+The variants of both jobs have flags: ``--calendar-months``, ``--emit-plate``,
+``--previous``, ``--area-bands`` and ``--segments``.  Intermediate tables go to the
+shared folder named in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -50,6 +54,19 @@ def daily_metrics(
     return d.unionByName(q)
 
 
+def pairs(options) -> dict[str, str]:
+    return dict(kv.split("=", 1) for kv in options)
+
+
+def deal_options(args: argparse.Namespace) -> dict:
+    return {"calendar_months": args.calendar_months}
+
+
+def listing_options(args: argparse.Namespace) -> dict:
+    segments = tuple(s.strip() for s in args.segments.split(",")) if args.segments else None
+    return {"emit_plate": args.emit_plate, "previous": args.previous, "area_bands": args.area_bands, "segments": segments}
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     ensure_checkpoint_dir(spark)
     as_of = args.as_of or dt.date.today().isoformat()
@@ -57,21 +74,26 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     deals = read_partition(spark, args.deals_table, ds)
     listings = read_partition(spark, args.listings_table, ds)
     dim = read_table(spark, args.dim_table)
-    opts = dict(kv.split("=", 1) for kv in args.jdbc_option)
     if args.release_jdbc_url:
-        release = read_release_dates(spark, args.release_jdbc_url, args.release_jdbc_table, opts)
+        release = read_release_dates(
+            spark, args.release_jdbc_url, args.release_jdbc_table, pairs(args.release_jdbc_option)
+        )
     elif args.release_table:
         release = read_table(spark, args.release_table)
     else:
         release = None
-    rows = daily_metrics(deals, listings, dim, release, as_of, ds=ds)
+    rows = daily_metrics(
+        deals, listings, dim, release, as_of, ds=ds, deal_options=deal_options(args), listing_options=listing_options(args)
+    )
     if args.out_table:
         insert_partition(rows, args.out_table, ds, overwrite=not args.append)
     elif args.out_path:
         write_partition(rows, args.out_path, ds, mode="append" if args.append else "overwrite")
     if args.export_jdbc_table:
         written = spark.table(args.out_table) if args.out_table else spark.read.parquet(args.out_path)
-        export_jdbc(written.where(written.ds == ds), args.export_jdbc_url, args.export_jdbc_table, opts)
+        export_jdbc(
+            written.where(written.ds == ds), args.export_jdbc_url, args.export_jdbc_table, pairs(args.export_jdbc_option)
+        )
     return rows
 
 
@@ -85,12 +107,18 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--release-table")
     p.add_argument("--release-jdbc-url")
     p.add_argument("--release-jdbc-table")
-    p.add_argument("--jdbc-option", action="append", default=[], help="k=v passed to JDBC reads/writes")
+    p.add_argument("--release-jdbc-option", action="append", default=[], help="k=v passed to the release-date read")
     p.add_argument("--out-table")
     p.add_argument("--out-path")
     p.add_argument("--append", action="store_true", help="append instead of replacing the partition")
     p.add_argument("--export-jdbc-url")
     p.add_argument("--export-jdbc-table")
+    p.add_argument("--export-jdbc-option", action="append", default=[], help="k=v passed to the export")
+    p.add_argument("--calendar-months", action="store_true", help="previous month ends on its own last day")
+    p.add_argument("--emit-plate", action="store_true", help="listing rows for plates as well")
+    p.add_argument("--previous", choices=("cover", "overlap"), default="cover", help="previous listing window's rule")
+    p.add_argument("--area-bands", choices=("all", "dominant"), default="all", help="rows of the robust price")
+    p.add_argument("--segments", help="segment codes of the listing join, comma-separated (default: every row)")
     return p
 
 

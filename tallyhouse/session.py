@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -12,8 +14,8 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tallyhouse") -> SparkSession:
     """A local session with the settings the jobs are tuned for.
 
-    On a cluster the session comes from ``spark-submit``; only
-    :func:`ensure_checkpoint_dir` is needed there.
+    On a cluster the session comes from ``spark-submit``, which names the
+    shared folder in ``spark.checkpoint.dir``.
     """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,17 +38,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster; only when it
-    is unset (local runs and tests) a fresh temporary folder is chosen.
+    Uses ``spark.checkpoint.dir`` as configured for the cluster.  Where it is
+    unset, a session in local mode (tests, single machine) gets a fresh
+    temporary folder, removed when the program ends; on a cluster that folder
+    would lie on one machine only, so an unset setting raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # sessions without a local SparkContext
-        pass
+    if path:
+        return path
+    master = spark.conf.get("spark.master", "") or ""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", path)
+    spark.sparkContext.setCheckpointDir(path)
     return path
 
 
@@ -66,7 +72,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str):
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
-    Used where one intermediate feeds several consumers: it is computed once,
+    The write runs at once, when this is called.  Used where one intermediate feeds several consumers: it is computed once,
     its lineage is cut (a lost executor does not send recomputation back to
     the fact scan), and the planner sees its real size."""
     spark = df.sparkSession

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,44 +16,53 @@ from tallyhouse.sources.text import NULL_TOKEN
 def create_metrics_table(spark: SparkSession, name: str, *, location: str | None = None, text: bool = False) -> None:
     """``CREATE TABLE IF NOT EXISTS`` for the metrics table, partitioned by ``ds``.
 
-    ``text=True`` makes it a tab-delimited text table with ``\\N`` nulls.
+    ``text=True`` makes it a tab-delimited text table with ``\\N`` nulls and no
+    quoting (an empty string is read back as null; see `write_delimited` for
+    a text sink that keeps it).
     """
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in METRICS_SCHEMA.fields)
-    using = "USING csv OPTIONS (sep '\\t', nullValue '\\\\N')" if text else "USING parquet"
+    options = "sep '\\t', nullValue '\\\\N', quote '', escape '', emptyValue ''"
+    using = f"USING csv OPTIONS ({options})" if text else "USING parquet"
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, ds string) {using} PARTITIONED BY (ds){loc}")
 
 
-def with_partition(df: DataFrame, ds: str) -> DataFrame:
-    return df.select(*METRIC_COLUMNS).withColumn("ds", F.lit(ds))
-
-
 def write_partition(df: DataFrame, path: str, ds: str, *, mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Write the rows as partition ``ds`` of a path-based table.
 
-    ``overwrite`` replaces only that partition (dynamic partition overwrite),
-    so a re-run is idempotent; ``append`` adds rows like ``INSERT INTO``.
-    Callers that publish several jobs into one partition should write their
-    union once.
+    The partition's own folder is written, so ``overwrite`` replaces exactly
+    that partition, also by no rows at all, and no session setting changes;
+    ``append`` adds rows like ``INSERT INTO``.  Callers that publish several
+    jobs into one partition should write their union once.
     """
-    spark = df.sparkSession
-    if mode == "overwrite":
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with_partition(df, ds).write.mode(mode).format(fmt).partitionBy("ds").save(path)
+    df.select(*METRIC_COLUMNS).write.mode(mode).format(fmt).save(f"{path.rstrip('/')}/ds={ds}")
 
 
 def insert_partition(df: DataFrame, table: str, ds: str, *, overwrite: bool = True) -> None:
-    """``INSERT [OVERWRITE] table PARTITION (ds=...)`` from the rows."""
+    """``INSERT [OVERWRITE] table PARTITION (ds=...)`` from the rows, through a view of its own."""
     spark = df.sparkSession
-    view = "_tallyhouse_insert"
+    view = f"tallyhouse_insert_{uuid.uuid4().hex}"
     df.select(*METRIC_COLUMNS).createOrReplaceTempView(view)
     verb = "OVERWRITE TABLE" if overwrite else "INTO"
-    spark.sql(f"INSERT {verb} {table} PARTITION (ds='{ds}') SELECT {', '.join(f'`{c}`' for c in METRIC_COLUMNS)} FROM {view}")
+    columns = ", ".join(f"`{c}`" for c in METRIC_COLUMNS)
+    try:
+        spark.sql(f"INSERT {verb} {table} PARTITION (ds='{ds}') SELECT {columns} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = "\t", null_value: str = NULL_TOKEN, mode: str = "overwrite") -> None:
-    """Hive-style delimited text files: no header, ``\\N`` for null."""
-    df.write.mode(mode).option("sep", sep).option("nullValue", null_value).option("header", "false").csv(path)
+    """Delimited text files as Hive reads them: no header, no quotes, no escapes, ``\\N`` for null.
+
+    Such files have no way to write the separator or a line break inside a
+    value, so those characters are written as a blank; everything else,
+    quotes and backslashes included, stands as it is, and an empty string is
+    an empty field.
+    """
+    fields = [
+        F.coalesce(F.translate(F.col(f"`{c}`").cast("string"), f"{sep}\n\r", "   "), F.lit(null_value)) for c in df.columns
+    ]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode(mode).text(path)
 
 
 def export_jdbc(

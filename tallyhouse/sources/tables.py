@@ -1,4 +1,4 @@
-"""Table scans: metastore tables, day partitions, and input balancing."""
+"""Table scans: metastore tables and day partitions."""
 
 from __future__ import annotations
 
@@ -23,24 +23,3 @@ def read_partition(spark: SparkSession, name_or_path: str, ds: str, *, fmt: str
         df = spark.read.format(fmt).load(name_or_path)
     return df.where(F.col("ds") == F.lit(ds))
 
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None, max_splits: int = 64) -> DataFrame:
-    """Spread an input that Spark can only read as a handful of splits
-    (unsplittable files, e.g. one parquet row group) over the session's
-    parallelism; otherwise return it as is.
-
-    Only scans with at most ``max_splits`` partitions and fewer than the
-    parallelism are repartitioned, so a real fact table (thousands of splits)
-    never gets an extra shuffle.  With ``keys`` the rows are hash-partitioned
-    on them (no per-partition sort, unlike round-robin, which sorts to stay
-    deterministic on retry).
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. no RDD API on this session type
-        return df
-    if current >= target or current > max_splits:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.session import application_id
-from tallyhouse.sources.tables import spread
 
 AS_OF = "2001-11-05"
 DS = "2001-11-04"
@@ -40,15 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A fact table spread over at least the session's parallelism.
-
-    The generated files hold a single row group each, which Spark cannot split,
-    so a fact scan would otherwise run the whole map side in one task.
-    """
-    return spread(table(spark, sf_dir, name), *keys)
-
-
 def _day_text(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
@@ -61,8 +51,10 @@ def _shifted_day() -> Column:
 
 
 def community_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``dim_house_community``: one row per supplier, plus a second-segment
-    copy for every tenth supplier (a community sold both new and second-hand)."""
+    """Community dimension: one row per supplier, plus a copy in the other
+    segment for every tenth supplier (a community sold both new and
+    second-hand), and copies without a segment code or with one that is
+    neither new nor second-hand for some others."""
     k = F.col("s_suppkey")
     base = table(spark, sf_dir, "supplier").select(
         F.col("s_nationkey").cast("string").alias("biz_city_id"),
@@ -75,12 +67,14 @@ def community_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("_k"),
     )
     extra = base.where(F.col("_k") % 10 == 0).withColumn("is_first", (F.lit(3) - F.col("is_first")).cast("int"))
-    return base.unionByName(extra).drop("_k")
+    none = base.where(F.col("_k") % 7 == 3).withColumn("is_first", F.lit(None).cast("int"))
+    other = base.where(F.col("_k") % 9 == 4).withColumn("is_first", F.lit(3))
+    return base.unionByName(extra).unionByName(none).unionByName(other).drop("_k")
 
 
 def deal_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``stg_house_detail_deal_data`` derived from lineitem x supplier."""
-    li = fact_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
+    """Deals derived from lineitem x supplier."""
+    li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -104,8 +98,12 @@ def deal_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``stg_estate_pub_info`` derived from lineitem x supplier x part."""
-    li = fact_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select(
+    """Listings derived from lineitem x supplier x part.
+
+    Some lines give a second listing whose first day is no date: two digits
+    too many, or a word right behind it.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_discount", "l_quantity", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -122,10 +120,12 @@ def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.when(sk % 3 == 0, (pk % 9) * (pk % 9) * 60000).otherwise(0)
     )
     first = _day_text(F.date_sub(day, (F.lit(10) + pk % 1500).cast("int")))
+    written = F.when(pk % 5 == 0, F.concat(first, F.lit(" 10:00:00"))).otherwise(first)
+    broken = F.concat(first, F.when(pk % 2 == 0, F.lit("99")).otherwise(F.lit("garbage")))
     return j.select(
         F.col("s_nationkey").cast("string").alias("city_id"),
         sk.cast("string").alias("house_id"),
-        F.when(pk % 5 == 0, F.concat(first, F.lit(" 10:00:00"))).otherwise(first).alias("first_pub_date"),
+        F.explode(F.when(pk % 41 == 0, F.array(written, broken)).otherwise(F.array(written))).alias("first_pub_date"),
         F.when(pk % 6 == 0, F.lit(None).cast("string")).otherwise(_day_text(day)).alias("last_pub_date"),
         area.cast("string").alias("area"),
         (area * F.when(pk % 50 == 1, F.lit(90000)).otherwise(unit)).cast("string").alias("quoted_price"),
@@ -139,7 +139,7 @@ def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def release_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``city_data_updated_record``: per-city data release dates (nullable)."""
+    """Per-city data release dates (nullable)."""
     n = F.col("n_nationkey")
     day = F.date_sub(F.lit("2001-06-15").cast("date"), (n * 31).cast("int"))
     return table(spark, sf_dir, "nation").select(

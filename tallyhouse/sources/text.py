@@ -55,5 +55,14 @@ def read_typed_lines(
 def read_delimited_table(
     spark: SparkSession, path: str, schema: T.StructType, *, sep: str = "\t", null_value: str = NULL_TOKEN
 ) -> DataFrame:
-    """A Hive-style delimited text table (no header, ``\\N`` for null)."""
-    return spark.read.schema(schema).option("sep", sep).option("nullValue", null_value).option("header", "false").csv(path)
+    """A delimited text table as Hive reads it: no header, no quotes, no escapes, ``\\N`` for null.
+
+    Fields are taken by position; a missing field or one that does not parse
+    as its type is null, surplus fields are ignored.
+    """
+    parts = F.split(F.col("value"), f"\\Q{sep}\\E", -1)
+    columns = []
+    for i, f in enumerate(schema.fields):
+        raw = F.nullif(F.get(parts, F.lit(i)), F.lit(null_value))
+        columns.append((raw if isinstance(f.dataType, T.StringType) else raw.try_cast(f.dataType)).alias(f.name))
+    return read_lines(spark, path).select(*columns)

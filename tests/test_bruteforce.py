@@ -51,7 +51,7 @@ def python_deal_metrics(deals, dim, release):
     groups = defaultdict(list)
     for city, house, day, total, ev, label, area in deals:
         for c, h, district, plate, seg in dim:
-            if (c, h) != (city, house):
+            if (c, h) != (city, house) or seg not in (1, 2):
                 continue
             second = seg == 2
             price = ev if second and label in ("2", "行情参考") else total
@@ -106,9 +106,9 @@ def test_deals_against_python(spark, seed):
         city = rnd.choice(cities)
         district = rnd.choice([None, "a", "b"])
         plate = rnd.choice([None, "p1", "p2"])
-        dim.append((city, f"h{i}", district, plate, rnd.choice([1, 2])))
+        dim.append((city, f"h{i}", district, plate, rnd.choice([1, 2, 1, 2, None, 3])))
         if rnd.random() < 0.2:
-            dim.append((city, f"h{i}", district, plate, 3 - dim[-1][4]))
+            dim.append((city, f"h{i}", district, plate, 2 if dim[-1][4] == 1 else 1))
     deals = []
     for _ in range(300):
         c, h = rnd.choice(dim)[:2]
@@ -185,7 +185,10 @@ def python_listing_metrics(listings, dim):
     for city, house, first, last, area, cents, val, floors, status in listings:
         a, c = float(area), float(cents)
         v = None if val is None else float(val)
-        fd = dt.date.fromisoformat(first[:10])
+        try:
+            fd = dt.date.fromisoformat(first.split(" ")[0])
+        except ValueError:
+            continue
         if not (status in ("3", "5", "7") and math.floor(float(floors)) < 1000 and 0 < math.floor(a) < 1000
                 and 100000 <= c / a <= 50000000 and v is not None and v / c <= 2 and fd < AS_OF):
             continue
@@ -195,7 +198,7 @@ def python_listing_metrics(listings, dim):
             ld = dt.date.fromisoformat(last[:10])
             end = AS_OF - dt.timedelta(days=1) if ld >= AS_OF else ld
         row = (fd, end, int(cents), math.floor(a), Decimal(area))
-        for c2, h2, district, plate, _ in dim:
+        for c2, h2, district, plate, _ in dim:  # every row, whatever its segment code
             if (c2, h2) == (city, house):
                 for otype, key in (("CITY", None), ("DISTRICT", district), ("HOUSE", house)):
                     groups[(otype, city, key)].append(row)
@@ -231,9 +234,9 @@ def test_listings_against_python(spark, seed):
     dim = []
     for i in range(6):
         city = rnd.choice(["1", "2"])
-        dim.append((city, f"h{i}", rnd.choice([None, "a"]), rnd.choice([None, "p1"]), rnd.choice([1, 2])))
+        dim.append((city, f"h{i}", rnd.choice([None, "a"]), rnd.choice([None, "p1"]), rnd.choice([1, 2, None, 3])))
         if rnd.random() < 0.3:
-            dim.append((city, f"h{i}", dim[-1][2], dim[-1][3], 3 - dim[-1][4]))
+            dim.append((city, f"h{i}", dim[-1][2], dim[-1][3], rnd.choice([1, 2, None])))
     listings = []
     for _ in range(250):
         c, h = rnd.choice(dim)[:2]
@@ -244,7 +247,7 @@ def test_listings_against_python(spark, seed):
         cents = area * unit + rnd.randint(0, 99)
         val = None if rnd.random() < 0.05 else str(cents * rnd.choice([1, 1.5, 2.5]))
         listings.append((
-            c, h, first.isoformat() + (" 10:00:00" if rnd.random() < 0.2 else ""),
+            c, h, first.isoformat() + rnd.choice(["", "", "", " 10:00:00", "99", "garbage"]),
             None if last is None else last.isoformat(), str(area), str(cents), val,
             str(rnd.choice([10, 20, 1200])), rnd.choice(["3", "5", "7", "1"]),
         ))

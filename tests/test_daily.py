@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from tallyhouse.operators.listings import listing_metrics
 from tallyhouse.plans import daily
 from tallyhouse.sources import testdata as td
 
@@ -27,4 +28,20 @@ def test_daily_job_writes_one_partition(spark, tmp_path):
     daily.run(spark, args)  # re-run: partition replaced, not doubled
     back = spark.read.parquet(out)
     assert back.where(back.ds == td.DS).count() == expected > 0
+    variant = daily.parser().parse_args(
+        ["--as-of", td.AS_OF, "--deals-table", "th_deals", "--listings-table", "th_listings", "--dim-table", "th_dim",
+         "--release-table", "th_release", "--out-path", str(tmp_path / "variant"), "--calendar-months", "--emit-plate",
+         "--previous", "overlap", "--area-bands", "dominant", "--segments", "2",
+         "--release-jdbc-option", "user=a", "--export-jdbc-option", "user=b"]
+    )
+    assert daily.pairs(variant.release_jdbc_option) == {"user": "a"} and daily.pairs(variant.export_jdbc_option) == {"user": "b"}
+    daily.run(spark, variant)
+    got = spark.read.parquet(str(tmp_path / "variant")).where("dim = 'SECOND' AND index LIKE 'QUOTED%'")
+    want = listing_metrics(
+        td.listing_fact(spark, SF_SMALL), td.community_dim(spark, SF_SMALL), td.DS, td.AS_OF,
+        emit_plate=True, previous="overlap", area_bands="dominant", segments=("2",),
+    )
+    assert "PLATE" in {r.obj_type for r in got.collect()}
+    key = lambda r: tuple(repr(r[c]) for c in want.columns)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
     assert daily.day_before(dt.date(2018, 3, 1)) == "2018-02-28"

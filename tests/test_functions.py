@@ -40,27 +40,17 @@ def test_parsers_are_total(spark):
     assert rows[2].d is None and rows[2].a is None
 
 
-def test_sized_broadcast_bound(spark, tmp_path):
-    from tallyhouse.operators.joins import sized_broadcast
+def test_a_day_is_the_text_before_the_first_blank(spark):
+    texts = ["2018-09-21", "2018-09-21 10:00:00", "2018-09-2199", "2018-09-21garbage", " 2018-09-21", "2018-13-01", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, d string")
+    got = [r.d for r in df.select("i", parse_day(F.col("d")).alias("d")).orderBy("i").collect()]
+    assert [str(d) if d else None for d in got] == ["2018-09-21", "2018-09-21"] + [None] * 5
 
-    path = str(tmp_path / "dim")
-    spark.range(10).write.parquet(path)
-    small = spark.read.parquet(path)
-    probe = spark.range(100)
-    plan = lambda d: probe.join(d, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(sized_broadcast(small, 10))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" not in plan(sized_broadcast(small, 9))
-        assert "BroadcastHashJoin" in plan(sized_broadcast(small, 10))  # remembered answer, same files
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
+def test_unit_price_is_whole_number_division(spark):
+    from tallyhouse.operators.houseprice import unit_price
 
-def test_spread_only_touches_tiny_inputs(spark):
-    from tallyhouse.sources.tables import spread
-
-    one = spark.range(100).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(1000).repartition(3)
-    assert spread(many, max_splits=2).rdd.getNumPartitions() == 3
+    df = spark.createDataFrame([(1234567, 7), (99, 3), (-250, 2), (100, 0), (None, 1)], "q long, a long")
+    out = df.select(unit_price(F.col("q"), F.col("a")).alias("u"))
+    assert [r.u for r in out.collect()] == [1763, 0, -1, None, None]
+    assert "decimal" not in out._jdf.queryExecution().toString()

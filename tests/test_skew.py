@@ -60,3 +60,38 @@ def test_skewed_listings(spark):
     out = listing_metrics(lst_df, _dim_df(spark), DS, AS_OF)
     got = {_round(tuple(r)[:9]) for r in out.collect()}
     assert got == {_round(r) for r in python_listing_metrics(listings, DIM)}
+
+
+def test_hot_community_prices_stay_spread(spark):
+    """Without broadcasts: no join or window brings the grain of one community into one task."""
+    from tallyhouse.operators import listings as L
+
+    rows = [("SECOND", "HOUSE", "1", "hot", 90, 1000 + i, 1, 10.0, 1.0) for i in range(4000)]
+    rows += [("SECOND", "HOUSE", "1", f"c{i}", 90, 1000 + i, 9, 10.0, 1.0) for i in range(40)]
+    first, end = AS_OF - dt.timedelta(days=400), AS_OF - dt.timedelta(days=1)
+    grain = spark.createDataFrame(
+        [(*r, first, end, end) for r in rows],
+        "dim string, obj_type string, city_id string, obj_key string, band_lo int, u long, n long, price_yuan double, "
+        "area double, first_slot date, end_slot date, last_end date",
+    )
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stats = L.listing_object_stats(grain, AS_OF)
+        out = L.community_prices(grain, stats, AS_OF)
+        plan = re.sub(r"#\d+L?", "", out._jdf.queryExecution().executedPlan().toString())
+        prices = {(r.obj_key, r.kind): r.n_main for r in out.collect()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert prices[("hot", "cur")] == 4000 and prices[("c3", "cur")] == 9
+    joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
+    assert len(joins) == 2 and all("_salt]" in ln.split("], [")[0] + "]" for ln in joins), joins
+    # between the limits' join and the buckets there is a shuffle after partial aggregation
+    top = plan.index("SortMergeJoin")
+    assert "partial_sum(cnt" in plan[:top] and "Exchange hashpartitioning(dim, obj_type, city_id, obj_key, kind, bucket" in plan[:top]
+    # windows see bands or buckets, never grain rows
+    for ln in plan.splitlines():
+        if "Window [" in ln:
+            assert "max(nb)" in ln or "min(_lo)" in ln or "max(_hi)" in ln, ln
