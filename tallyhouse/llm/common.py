@@ -52,10 +52,15 @@ def write_table(df: DataFrame, name: str, compression: str = "zstd") -> str:
     return path
 
 
-def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder and read back with its own schema."""
+def kept_table(df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back with its own schema; and the table's path."""
     spark, schema = df.sparkSession, df.schema
-    return spark.read.schema(schema).parquet(write_table(df, name, compression))
+    path = write_table(df, name, compression)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    return kept_table(df, name, compression)[0]
 
 
 def drop_table(spark: SparkSession, path: str) -> None:

@@ -175,7 +175,8 @@ def fit(docs: DataFrame, ratings: DataFrame, bound: int = SAMPLE) -> CumulativeL
 
     # about ``bound`` rows of two numbers: small enough for every task, so texts stay where they are
     rows = docs.join(F.broadcast(ratings), "doc_id").select("grade", "text")
-    sample = map_batches(rows, run, "grade int, counts binary").orderBy("grade", "counts").collect()
+    # in one order whatever the partitions were, so that the fit is the same again
+    sample = sorted(map_batches(rows, run, "grade int, counts binary").collect(), key=lambda r: (r["grade"], bytes(r["counts"])))
     grade = np.array([r["grade"] for r in sample], np.int64)
     grades = int(grade.max()) + 1 if len(grade) else 1
     if len(set(grade.tolist())) < 2:

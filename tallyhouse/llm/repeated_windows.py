@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import make_importable, map_batches, read_input, write_table
+from tallyhouse.llm.common import drop_table, make_importable, map_batches, read_input, write_table
 
 WIDTH = 13
 CHUNK_BYTES = 4 << 20
@@ -415,6 +415,7 @@ def remove_repeats(
         _with_answers(chunks.select("chunk", "rows"), first_answers), exact, "chunk long, part long, windows binary"
     )
     second_path = write_table(asked.groupBy("part").applyInArrow(_merge_exact, ANSWER_SCHEMA), "window-answers")
+    drop_table(spark, first_path)
     second_answers = spark.read.schema(ANSWER_SCHEMA).parquet(second_path)
 
     def settle(batches):

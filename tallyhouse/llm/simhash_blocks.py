@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import fresh_name, map_batches, read_input, saved
+from tallyhouse.llm.common import drop_table, fresh_name, kept_table, map_batches, read_input, saved
 from tallyhouse.llm.components import connected_components
 
 SHINGLE = 4
@@ -93,8 +93,8 @@ def text_hash(text_col: str = "text"):
 
 
 def block_masks(distinct: int, max_bits: int = MAX_BITS) -> list[int]:
-    """Masks of every choice of ``blocks - max_bits`` blocks; a choice has two bits more than counting needs."""
-    need = max(1, distinct).bit_length() + 2
+    """Masks of every choice of ``blocks - max_bits`` blocks; a choice has a bit more than counting them needs."""
+    need = max(1, distinct).bit_length() + 1
     blocks = max_bits + 1
     while blocks < 16 and (64 // blocks) * (blocks - max_bits) < need:
         blocks += 1
@@ -114,8 +114,11 @@ def near_values(max_bits: int = MAX_BITS) -> list[int]:
     return [v - (1 << 64) if v >> 63 else v for v in found]
 
 
-def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
-    """``a, b``: links whose components are those of all pairs within ``max_bits``.  ``distinct``: ``fp``, unique."""
+def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> tuple[DataFrame, str]:
+    """``a, b``: links whose components are those of all pairs within ``max_bits``; and the table they read.
+
+    ``distinct``: ``fp``, unique.
+    """
     if max_bits % 2:
         raise ValueError("an even number of bits is supported")
     masks = block_masks(n, max_bits)
@@ -123,7 +126,7 @@ def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, bucket: int = B
         "choice", "fp & mask AS part", "fp"
     )
     met = keys.groupBy("choice", "part").agg(F.count("*").alias("n")).where("n > 1")
-    both = saved(keys.join(met, ["choice", "part"]), "simhash-buckets")
+    both, path = kept_table(keys.join(met, ["choice", "part"]), "simhash-buckets")
     cold = both.where(F.col("n") <= bucket).select("choice", "part", "fp")
     other = cold.select("choice", "part", F.col("fp").alias("b"))
     pairs = cold.withColumnRenamed("fp", "a").join(other, ["choice", "part"])
@@ -145,7 +148,7 @@ def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, bucket: int = B
     filed = map_batches(hot, file_under, "value long, fp long")
     near_by = Window.partitionBy("value").orderBy("fp")
     beside = filed.select(F.lag("fp").over(near_by).alias("a"), F.col("fp").alias("b")).where("a is not null").distinct()
-    return pairs.union(beside)
+    return pairs.union(beside), path
 
 
 def near_duplicates(
@@ -164,7 +167,9 @@ def near_duplicates(
     rows = saved(fingerprints(df, id_col, text_col, shingle), "simhash")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
     distinct = saved(rows.groupBy("fp").agg(least), "simhash-distinct")
-    roots = connected_components(links(distinct.select("fp"), distinct.count(), max_bits, bucket))
+    linked, path = links(distinct.select("fp"), distinct.count(), max_bits, bucket)
+    roots = connected_components(linked)
+    drop_table(df.sparkSession, path)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     chosen = rooted.groupBy("root").agg(F.min("least").alias("chosen"))
     of_fp = rooted.select("fp", "root").join(chosen, "root").select("fp", "chosen")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import map_batches, read_input, saved
+from tallyhouse.llm.common import drop_table, kept_table, map_batches, read_input
 
 SAMPLE = 30_000
 LEXICON = 4_000
@@ -223,7 +223,7 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
         .groupBy("entry")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     )
-    counts = saved(counts.where(f"toxic >= {LEAST_COUNT} OR entry = ''"), "lexicon")
+    counts, path = kept_table(counts.where(f"toxic >= {LEAST_COUNT} OR entry = ''"), "lexicon")
     whole = counts.where("entry = ''").agg(F.sum("other"), F.sum("toxic")).first()
     if not whole[0] or not whole[1]:
         return {}
@@ -237,7 +237,9 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
         .orderBy(F.desc(F.col("toxic") - F.col("expected")), "entry")
         .limit(size)
     )
-    return {r["entry"]: float(r["lift"]) for r in best.collect()}
+    found = {r["entry"]: float(r["lift"]) for r in best.collect()}
+    drop_table(rows.sparkSession, path)
+    return found
 
 
 class Model:
@@ -264,12 +266,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
-    rows = saved(training_rows(docs, labels, bound), "toxicity-sample")
+    rows, rows_path = kept_table(training_rows(docs, labels, bound), "toxicity-sample")
     n = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if n[1] in (0, n[0]):
         return Model({}, constant=n[1] / n[0] if n[0] else 0.0)
     lexicon = learn_lexicon(rows)
-    features = saved(feature_table(rows, lexicon, "doc_id", "label"), "toxicity-features")
+    features, features_path = kept_table(feature_table(rows, lexicon, "doc_id", "label"), "toxicity-features")
     data = features.select(
         "label", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0).alias("later"), array_to_vector(F.array(*FEATURES)).alias("features")
     ).coalesce(8)
@@ -292,6 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     if later.select("label").distinct().count() < 2:
         later = trees.transform(data).select("label", p.alias("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(later)
+    for path in (rows_path, features_path):
+        drop_table(docs.sparkSession, path)
     return Model(lexicon, trees, curve)
 
 
