@@ -36,8 +36,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from tallyhouse.llm.common import RecentlyUsed, fresh_name, map_batches, read_input, tokenizer_path
 
 MARK = "▁"  # fixed value: the library's white-space mark
-CACHE_WORDS = 500_000  # with all caches about 0.6 GB a worker
-CACHE_PARTS = 400_000
+CACHE_WORDS = 500_000  # with all caches about 0.6 GB a worker, for as long as the worker lives
+SMALL_CACHE_WORDS = 60_000  # for workers that do other work before and after
 CACHE_PAIRS = 500_000
 GROUP_TEXTS = 256
 _IDS, _DECIMAL = itemgetter(0), itemgetter(1)
@@ -46,7 +46,7 @@ _IDS, _DECIMAL = itemgetter(0), itemgetter(1)
 class PrefixTableEncoder:
     """Encodes normalised text with the vocabulary of one SentencePiece BPE model."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str, cache_words: int = CACHE_WORDS):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -72,8 +72,8 @@ class PrefixTableEncoder:
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
-        self.words = RecentlyUsed(self._word, CACHE_WORDS)
-        self.parts = RecentlyUsed(self._part, CACHE_PARTS)
+        self.words = RecentlyUsed(self._word, cache_words)
+        self.parts = RecentlyUsed(self._part, cache_words * 4 // 5)
         self.neighbours = {two for p in self.ids for two in zip(p, p[1:])}
         self._cut = self._cut_pattern()
 
@@ -180,18 +180,23 @@ class PrefixTableEncoder:
         return self.sp.decode(ids) if ids else ""
 
 
-_ENCODERS: dict[str, PrefixTableEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PrefixTableEncoder] = {}
 
 
-def encoder(model_name: str) -> PrefixTableEncoder:
+def encoder(model_name: str, cache_words: int = CACHE_WORDS) -> PrefixTableEncoder:
     """One encoder a Python worker; its automaton and caches serve all tasks of that worker."""
-    if model_name not in _ENCODERS:
-        _ENCODERS[model_name] = PrefixTableEncoder(tokenizer_path(model_name))
-    return _ENCODERS[model_name]
+    key = (model_name, cache_words)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PrefixTableEncoder(tokenizer_path(model_name), cache_words)
+    return _ENCODERS[key]
 
 
 def encode_documents(
-    df: DataFrame, text_col: str = "text", model_name: str = "piece_bpe_32k.model", digest: bool = False
+    df: DataFrame,
+    text_col: str = "text",
+    model_name: str = "piece_bpe_32k.model",
+    digest: bool = False,
+    cache_words: int = SMALL_CACHE_WORDS,
 ) -> DataFrame:
     """``df`` with ``n_tokens`` (long), ``token_ids`` (array of int) and ``decoded_text`` (string) added.
 
@@ -203,7 +208,7 @@ def encode_documents(
     at = df.columns.index(text_col)
 
     def run(batches):
-        enc = encoder(model_name)
+        enc = encoder(model_name, cache_words)
         for batch in batches:
             for k in range(0, batch.num_rows, GROUP_TEXTS):
                 some = batch.slice(k, GROUP_TEXTS)
