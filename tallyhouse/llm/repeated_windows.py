@@ -8,8 +8,8 @@ bounded size (one table row each, written once).  All passes work on chunks:
    more is not needed).  As a partition sketch fills a small part of its cells it
    travels sparsely, as sorted cell numbers coded by their differences, split
    into ranges of cells.  The number of cells follows the number of windows of the
-   corpus, the number of ranges the number of cells, so a task merges a
-   bounded range at any corpus size.  The merged sketch never leaves its range:
+   corpus, the number of ranges the number of cells (see `sizes`), so a task
+   merges a bounded range.  The merged sketch never leaves its range:
    it answers each chunk with a bit a cell, set if the count is at least 2.
 2. A chunk's window whose cells are all answered with 1 may occur twice.  The
    estimate never falls below the true count, so no repeated window is lost.
@@ -44,11 +44,13 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import drop_table, make_importable, map_batches, read_input, write_table
 
 WIDTH = 13
-CHUNK_BYTES = 4 << 20
-CHUNK_ROWS = 20_000
+CHUNK_BYTES = 2 << 20  # at least
+CHUNK_ROWS = 10_000  # for every 2 MB
 DEPTH = 2
 LOAD = 4  # cells of a hash row for each window of the corpus
-RANGE_ENTRIES = 1 << 21  # entries merged by a task
+RANGE_ENTRIES = 1 << 19  # entries merged by a task, at least
+MESSAGE_ENTRIES = 64  # wanted from each chunk for each range
+WINDOW_BYTES = 6
 NO_ID = (1 << 63) - 1
 CHUNK_SCHEMA = "chunk long, n_windows long, rows binary"
 
@@ -149,8 +151,21 @@ def _rows(blob: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def chunk_table(df: DataFrame, text_at: int, width: int) -> DataFrame:
-    """Rows of ``df`` packed into chunks of at most about ``CHUNK_BYTES`` of text (or one longer row)."""
+def sizes(text_bytes: int) -> tuple[int, int]:
+    """(bytes of a chunk, entries of a range) for a corpus.
+
+    Both grow with its square root once it is large, so that a chunk still has
+    about ``MESSAGE_ENTRIES`` entries for each range and neither the number of
+    messages nor the size of a task's work gets out of hand: 2 MB and half a
+    million up to some 20 GB of text, about 124 MB and 52 million at 100 TB.
+    """
+    windows = math.isqrt(int(MESSAGE_ENTRIES / 2.5 * text_bytes / WINDOW_BYTES))
+    return max(CHUNK_BYTES, WINDOW_BYTES * windows), max(RANGE_ENTRIES, int(2.5 * windows))
+
+
+def chunk_table(df: DataFrame, text_at: int, width: int, chunk_bytes: int) -> DataFrame:
+    """Rows of ``df`` packed into chunks of at most about ``chunk_bytes`` of text (or one longer row)."""
+    chunk_rows = CHUNK_ROWS * max(1, chunk_bytes >> 21)
 
     def run(batches):
         from pyspark import TaskContext
@@ -171,14 +186,14 @@ def chunk_table(df: DataFrame, text_at: int, width: int) -> DataFrame:
             size = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
             a, total = 0, np.cumsum(size)
             while a < batch.num_rows:
-                room = CHUNK_BYTES - held + (total[a - 1] if a else 0)
+                room = chunk_bytes - held + (total[a - 1] if a else 0)
                 b = int(np.searchsorted(total, room, side="right"))
-                b = min(max(b, a + (not waiting)), a + CHUNK_ROWS - rows)
+                b = min(max(b, a + (not waiting)), a + chunk_rows - rows)
                 if b > a:
                     waiting.append(batch.slice(a, b - a))
                     held += int(total[b - 1] - (total[a - 1] if a else 0))
                     rows += b - a
-                if b < batch.num_rows or held >= CHUNK_BYTES or rows >= CHUNK_ROWS:
+                if b < batch.num_rows or held >= chunk_bytes or rows >= chunk_rows:
                     yield chunk()
                     number, waiting, held, rows = number + 1, [], 0, 0
                 a = max(b, a)
@@ -313,10 +328,10 @@ def _cuts(parts: int, bits: int) -> np.ndarray:
 class Plan:
     """Sizes that follow from the number of windows."""
 
-    def __init__(self, windows: int, id_at: int, text_at: int, width: int):
+    def __init__(self, windows: int, id_at: int, text_at: int, width: int, range_entries: int = RANGE_ENTRIES):
         self.id_at, self.text_at, self.width = id_at, text_at, width
         self.bits = max(8, math.ceil(math.log2(max(1, LOAD * windows))))
-        self.ranges = max(1, -(-windows // RANGE_ENTRIES))
+        self.ranges = max(1, -(-windows // range_entries))
 
     def chunk(self, blob: bytes):
         """(rows, texts, window places, window hashes, document of each window)."""
@@ -367,9 +382,11 @@ def remove_repeats(
     spark = df.sparkSession
     make_importable(spark)
     id_at, text_at = df.columns.index(id_col), df.columns.index(text_col)
-    path = write_table(chunk_table(df, text_at, width), "chunks", "none")
+    text_bytes = df.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
+    chunk_bytes, range_entries = sizes(text_bytes)
+    path = write_table(chunk_table(df, text_at, width, chunk_bytes), "chunks", "none")
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
-    plan = Plan(chunks.agg(F.sum("n_windows")).first()[0] or 0, id_at, text_at, width)
+    plan = Plan(chunks.agg(F.sum("n_windows")).first()[0] or 0, id_at, text_at, width, range_entries)
 
     def sketch(batches):
         for batch in batches:
