@@ -186,11 +186,13 @@ def near_duplicates(
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``df`` without the rows that are not their component's representative; equal (id, text) rows become one."""
     chosen = near_duplicates(df, id_col, text_col, **options).where("representative").select("doc_id", "text_hash").distinct()
-    h, right_id, right_h = (fresh_name(df, n) for n in ("text_hash", "chosen_id", "chosen_hash"))
-    left = df.withColumn(h, text_hash(text_col))
-    right = chosen.select(F.col("doc_id").alias(right_id), F.col("text_hash").alias(right_h))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(right_id)) & (F.col(h) == F.col(right_h))
-    return left.join(right, same, "left_semi").dropDuplicates([id_col, h]).select(*[F.col(f"`{c}`") for c in df.columns])
+    # joined and made distinct by the same two hashes, so that texts are exchanged once
+    h, k, right_h, right_k = (fresh_name(df, n) for n in ("text_hash", "row_hash", "chosen_text_hash", "chosen_row_hash"))
+    row_hash = F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(h))
+    left = df.withColumn(h, text_hash(text_col)).withColumn(k, row_hash)
+    right = chosen.select(F.xxhash64("doc_id", "text_hash").alias(right_k), F.col("text_hash").alias(right_h))
+    same = (F.col(k) == F.col(right_k)) & (F.col(h) == F.col(right_h))
+    return left.join(right, same, "left_semi").dropDuplicates([k, h]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op8_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -293,7 +293,9 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     later = trees.transform(data.where("later")).select("label", p.alias("raw"))
     if later.select("label").distinct().count() < 2:
         later = trees.transform(data).select("label", p.alias("raw"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(later)
+    # many rows share a probability: one weighted point for each
+    points = later.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("n"))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="n", predictionCol="calibrated").fit(points)
     for path in (rows_path, features_path):
         drop_table(docs.sparkSession, path)
     return Model(lexicon, trees, curve)
