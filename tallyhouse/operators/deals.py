@@ -5,10 +5,11 @@ unless the dimension is too large for Spark to broadcast):
 
 1. scan the day partition, join the community dimension (Spark picks the join
    from sizes), derive segment, plate, effective price and time slot;
-2. explode every deal into its four object levels and pre-aggregate to a
-   *slot grain* ``(dim, obj_type, city, key, slot)`` with partial (map-side)
-   aggregation -- a hot city or house is combined before the shuffle, so skew
-   never reaches one task as raw rows.  Slots (see
+2. pre-aggregate the deals to communities and slots, then explode those rows
+   into the four object levels and aggregate to a *slot grain* ``(dim,
+   obj_type, city, key, slot)``, both with partial (map-side) aggregation -- a
+   hot city or house is combined before each shuffle, so skew never reaches
+   one task as raw rows, and a deal is hashed once, not once a level.  Slots (see
    :func:`~tallyhouse.functions.periods.time_slot`) are at most about four
    per month plus one per look-back edge, and every statistic window is a
    union of whole slots;
@@ -115,15 +116,20 @@ def slot_grain(enriched: DataFrame, as_of, levels=ALL_LEVELS) -> DataFrame:
     """``(dim, obj_type, city_id, obj_key, slot_first, slot_last)`` -> n, sp, sa, last_day."""
     valid = F.col("price").isNotNull() & F.col("area").isNotNull()
     first, last = time_slot("deal_day", as_of)
-    slotted = enriched.withColumns({"slot_first": first, "slot_last": last})  # once a deal, not once a level
-    rows = explode_levels(slotted, levels).select(
-        *S.OBJECT_KEYS, "deal_day", "price", "area", "slot_first", "slot_last"
+    house = (
+        enriched.withColumns({"slot_first": first, "slot_last": last})
+        .groupBy("dim", "city_id", "district_id", "plate_id", "house_id", "slot_first", "slot_last")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(valid, F.col("price"))).alias("sp"),
+            F.sum(F.when(valid, F.col("area"))).alias("sa"),
+            F.max("deal_day").alias("last_day"),
+        )
     )
-    return rows.groupBy(*S.OBJECT_KEYS, "slot_first", "slot_last").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(valid, F.col("price"))).alias("sp"),
-        F.sum(F.when(valid, F.col("area"))).alias("sa"),
-        F.max("deal_day").alias("last_day"),
+    return (
+        explode_levels(house, levels)
+        .groupBy(*S.OBJECT_KEYS, "slot_first", "slot_last")
+        .agg(F.sum("n").alias("n"), F.sum("sp").alias("sp"), F.sum("sa").alias("sa"), F.max("last_day").alias("last_day"))
     )
 
 

@@ -97,8 +97,8 @@ def test_listing_grain_is_computed_once(spark):
     assert "Window [max(last_end)" not in plan  # no window over a whole community
 
 
-def test_deal_fact_path_has_two_shuffles(spark):
+def test_deal_fact_path_has_three_shuffles(spark):
     plan = _plan_without_aqe(spark, B.deal_metrics)
     hashed = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "REPARTITION" not in ln]
-    # slot grain + per-object window/aggregate, plus the tiny release lookup aggregate
-    assert len(hashed) == 3, hashed
+    # community grain + slot grain + per-object window/aggregate, plus the tiny release lookup aggregate
+    assert len(hashed) == 4, hashed
