@@ -7,6 +7,9 @@ exactly ``bytes.split()``.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -72,9 +75,28 @@ def drop_table(spark: SparkSession, path: str) -> None:
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with this package importable in the workers."""
+    """``mapInArrow`` with this package importable in the workers, which give freed memory back after each task."""
     make_importable(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Return what a task has freed to the system: the next task of this worker may be of another kind."""
+    gc.collect()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def fresh_name(df: DataFrame, base: str) -> str:

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import drop_table, make_importable, map_batches, read_input, write_table
+from tallyhouse.llm.common import drop_table, make_importable, map_batches, read_input, trim_memory, write_table
 
 WIDTH = 13
 CHUNK_BYTES = 2 << 20  # at least
@@ -252,6 +252,7 @@ def _doc_keys(table: pa.Table, id_at: int) -> np.ndarray:
 
 def _merge_range(key, table):
     """One range of one hash row: add the partition sketches up, answer each chunk."""
+    trim_memory()  # what the range before has freed
     chunks, sent, twice = (table.column(c).to_pylist() for c in ("chunk", "cells", "twice"))
     each = [_decode(b) for b in sent]
     n = [len(x) for x in each]
@@ -292,6 +293,7 @@ def _merge_exact(key, table):
 
     Ranges below 0 are not windows but what chunks noted for themselves.
     """
+    trim_memory()
     part, chunks, sent = key[0].as_py(), table.column("chunk").to_pylist(), table.column("windows").to_pylist()
     bits = sent
     if part >= 0:

@@ -42,7 +42,7 @@ THRESHOLD = 0.3
 TREES, DEPTH, STEP = 24, 3, 0.2
 LEAF_PART = 150  # a leaf holds at least this part of the rows, so that a few odd labels make none
 FOLDS = 3
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 # fixed values: second-person words of English, German, French and Spanish
 SECOND_PERSON = frozenset(
     "you your yours yourself yourselves u ur du dich dir dein deine deinen deiner euch euer ihr sie ihnen "
