@@ -33,7 +33,7 @@ from tallyhouse.llm.common import map_batches, read_input
 Q = 10
 EDIT_SHARE = 0.08
 BLOCK_CHARS = 4_000_000
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 400_000
 FILTER_BITS = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import drop_table, make_importable, map_batches, read_input, trim_memory, write_table
+from tallyhouse.llm.common import make_importable, map_batches, read_input, trim_memory, write_table
 
 WIDTH = 13
 CHUNK_BYTES = 2 << 20  # at least
@@ -408,9 +408,7 @@ def remove_repeats(
                         )
 
     sketches = map_batches(chunks.select("chunk", "rows"), sketch, "chunk long, row int, part long, cells binary, twice binary")
-    merged = sketches.groupBy("row", "part").applyInArrow(_merge_range, ANSWER_SCHEMA)
-    first_path = write_table(merged, "sketch-answers")
-    first_answers = spark.read.schema(ANSWER_SCHEMA).parquet(first_path)
+    first_answers = sketches.groupBy("row", "part").applyInArrow(_merge_range, ANSWER_SCHEMA)
 
     def exact(batches):
         for batch in batches:
@@ -433,9 +431,7 @@ def remove_repeats(
     asked = map_batches(
         _with_answers(chunks.select("chunk", "rows"), first_answers), exact, "chunk long, part long, windows binary"
     )
-    second_path = write_table(asked.groupBy("part").applyInArrow(_merge_exact, ANSWER_SCHEMA), "window-answers")
-    drop_table(spark, first_path)
-    second_answers = spark.read.schema(ANSWER_SCHEMA).parquet(second_path)
+    second_answers = asked.groupBy("part").applyInArrow(_merge_exact, ANSWER_SCHEMA)
 
     def settle(batches):
         for batch in batches:
