@@ -53,18 +53,20 @@ li AS (
 deal AS (
   SELECT CAST(s_nationkey AS VARCHAR) AS city_id, CAST(s_suppkey AS VARCHAR) AS house_id,
          strftime(dd, '%Y-%m-%d') AS bargaindate,
-         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS totalprice,
-         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS VARCHAR) AS eval_totalprice,
+         head || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || CASE WHEN more THEN '345' ELSE '' END AS totalprice,
+         head || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS VARCHAR)
+           || CASE WHEN more THEN '5' ELSE '' END AS eval_totalprice,
          CASE l_linenumber % 4 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '行情参考' END AS price_label,
-         CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) AS bargain_area,
+         head || CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) || CASE WHEN more THEN '125' ELSE '' END AS bargain_area,
          CASE WHEN l_linenumber = 7 THEN '2001-11-03' ELSE '2001-11-04' END AS ds
-  FROM li
+  FROM (SELECT *, CASE WHEN l_partkey % 97 = 5 THEN '1234567890' ELSE '' END AS head,
+               l_partkey % 97 = 5 OR l_partkey % 89 = 7 AS more FROM li) x
 ),
 listing AS (
   SELECT CAST(s_nationkey AS VARCHAR) AS city_id, CAST(s_suppkey AS VARCHAR) AS house_id,
          strftime(dd - CAST(10 + l_partkey % 1500 AS INTEGER), '%Y-%m-%d') || suffix AS first_pub_date,
          CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE strftime(dd, '%Y-%m-%d') END AS last_pub_date,
-         CAST(ar AS VARCHAR) AS area,
+         CAST(ar AS VARCHAR) || CASE WHEN l_partkey % 89 = 7 THEN '.12345' ELSE '' END AS area,
          CAST(ar * CASE WHEN l_partkey % 50 = 1 THEN 90000 ELSE uc END AS VARCHAR) AS quoted_price,
          CASE WHEN l_partkey % 37 = 0 THEN NULL
               ELSE CAST(ar * uc * (1 + 12 * CAST(l_discount AS DECIMAL(4,2))) AS VARCHAR) END AS evaluation_high_price,
@@ -109,8 +111,8 @@ enriched AS (
          a.city_id, b.biz_district_id AS district_id, split(b.plate_fk, '@')[2] AS plate_id, a.house_id,
          {_day("a.bargaindate")} AS deal_day,
          TRY_CAST(CASE WHEN CAST(b.is_first AS VARCHAR) = '2' AND a.price_label IN ('2', '行情参考')
-                       THEN a.eval_totalprice ELSE a.totalprice END AS DECIMAL(18,4)) AS price,
-         TRY_CAST(a.bargain_area AS DECIMAL(18,4)) AS area
+                       THEN a.eval_totalprice ELSE a.totalprice END AS DECIMAL(28,8)) AS price,
+         TRY_CAST(a.bargain_area AS DECIMAL(28,8)) AS area
   FROM deal a JOIN dim b ON a.city_id = b.biz_city_id AND a.house_id = b.biz_house_id
   WHERE a.ds = {DS} AND CAST(b.is_first AS VARCHAR) IN ('1', '2')
 )"""
@@ -204,7 +206,7 @@ def deal_enriched_sql() -> str:
 WITH {ADAPTERS},
 {DEAL_ENRICHED}
 SELECT dim, city_id, district_id, plate_id, house_id, deal_day,
-       CAST(price AS DOUBLE) AS price, CAST(area AS DOUBLE) AS area
+       CAST(price AS VARCHAR) AS price, CAST(area AS VARCHAR) AS area
 FROM enriched"""
 
 
@@ -228,9 +230,9 @@ clean0 AS (
          {_first} AS first_day,
          CASE WHEN a.last_pub_date IS NULL THEN {_first}
               WHEN {_last} >= {AS_OF} THEN {AS_OF} - 1 ELSE {_last} END AS end_day,
-         TRY_CAST(a.quoted_price AS DECIMAL(18,4)) * 0.01 AS price_yuan,
-         TRY_CAST(a.area AS DECIMAL(18,4)) AS area,
-         CAST(floor(TRY_CAST(a.quoted_price AS DECIMAL(18,4))) AS BIGINT) AS cents_int,
+         TRY_CAST(a.quoted_price AS DECIMAL(28,8)) * 0.01 AS price_yuan,
+         TRY_CAST(a.area AS DECIMAL(28,8)) AS area,
+         CAST(floor(TRY_CAST(a.quoted_price AS DECIMAL(28,8))) AS BIGINT) AS cents_int,
          CAST(floor(TRY_CAST(a.area AS DOUBLE)) AS BIGINT) AS area_int
   FROM listing a JOIN dim b ON a.city_id = b.biz_city_id AND a.house_id = b.biz_house_id
   WHERE a.ds = {DS} AND a.status IN ('3', '5', '7') AND {{segment}}
@@ -251,7 +253,7 @@ def listing_clean_sql() -> str:
 WITH {ADAPTERS}, {BANDS},
 {LISTING_CLEAN.format(segment="TRUE")}
 SELECT city_id, district_id, plate_id, house_id, first_day, end_day,
-       CAST(price_yuan AS DOUBLE) AS price_yuan, CAST(area AS DOUBLE) AS area, u, band_lo
+       {_r('price_yuan')} AS price_yuan, {_r('area')} AS area, u, band_lo
 FROM clean"""
 
 
@@ -326,12 +328,16 @@ avgm AS (
   SELECT city_id, obj_key, kind, CAST(sum(price_yuan) AS DOUBLE) / NULLIF(CAST(sum(area) AS DOUBLE), 0) AS avg_p
   FROM main GROUP BY ALL
 ),
+avgw AS (
+  SELECT city_id, obj_key, kind, CAST(sum(price_yuan) AS DOUBLE) / NULLIF(CAST(sum(area) AS DOUBLE), 0) AS avg_w
+  FROM hn WHERE n > 3 GROUP BY ALL
+),
 hp AS (
   SELECT a.city_id, a.obj_key, a.kind,
-         CASE WHEN m.ties = 1
-                   AND abs((CAST(m.mode_u AS DOUBLE) - a.avg_p) / NULLIF(CAST(m.mode_u AS DOUBLE), 0)) <= 0.2
-              THEN CAST(m.mode_u AS DOUBLE) ELSE a.avg_p END AS price
-  FROM avgm a JOIN modes m USING (city_id, obj_key, kind)
+         CASE WHEN m.ties <> 1 THEN a.avg_p
+              WHEN abs((CAST(m.mode_u AS DOUBLE) - w.avg_w) / NULLIF(CAST(m.mode_u AS DOUBLE), 0)) <= 0.2
+              THEN CAST(m.mode_u AS DOUBLE) ELSE w.avg_w END AS price
+  FROM avgm a JOIN modes m USING (city_id, obj_key, kind) JOIN avgw w USING (city_id, obj_key, kind)
 ),
 fin AS (
   SELECT agg.*, {_label('agg.obj_type', 'agg.city_id', 'agg.obj_key')} AS obj_value,
@@ -371,6 +377,15 @@ SELECT * REPLACE (CASE obj_type WHEN 'CITY' THEN obj_value || ':"q"\\path' WHEN
 FROM ({metrics_all_sql()}) q"""
 
 
+def text_table_sql() -> str:
+    return f"""
+SELECT * REPLACE (
+         CASE obj_type WHEN 'CITY' THEN obj_value || ':"q"\\path' WHEN 'DISTRICT' THEN '' ELSE obj_value END AS obj_value,
+         CASE obj_type WHEN 'PLATE' THEN '\\' ELSE period_value END AS period_value),
+       {DS} AS ds
+FROM ({deal_metrics_sql()}) q"""
+
+
 def area_band_histogram_sql() -> str:
     return f"""
 WITH {ADAPTERS}, {BANDS},

@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Exact sums: amounts are parsed to this decimal, summed exactly (Spark widens
-# the sum by 10 digits) and only the final ratio is computed in double.
-AMOUNT = "decimal(18,4)"
+# the sum by 10 digits) and only the final ratio is computed in double.  It holds
+# 20 digits before the point and 8 behind it: more digits behind are rounded half
+# up, an amount of 10^20 or more counts as unparsable (null).
+AMOUNT = "decimal(28,8)"
 
 
 def parse_amount(c: Column) -> Column:
@@ -20,12 +22,22 @@ def parse_double(c: Column) -> Column:
 
 
 def parse_day(c: Column) -> Column:
-    """``yyyy-MM-dd``, optionally followed by a blank and a time -> DATE.
+    """``yyyy-MM-dd``, optionally followed by a blank and anything -> DATE; otherwise null.
 
-    The text is cut at its first blank; what stands before must be a date and
-    nothing else, otherwise the result is null.
+    A cast to a date would also take shorter forms, signs and a ``T`` suffix: both
+    hyphens in place, a digit in tenth place and the end or a blank behind it
+    leave only the full form, without the cost of a pattern formatter a row.
     """
-    return F.try_to_date(F.split_part(c.cast("string"), F.lit(" "), F.lit(1)), "yyyy-MM-dd")
+    text = c.cast("string")
+    last = F.substring(text, 10, 1)
+    shape = (
+        (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 8, 1) == "-")
+        & (last >= "0")
+        & (last <= "9")
+        & F.substring(text, 11, 1).isin("", " ")
+    )
+    return F.when(shape, F.substring(text, 1, 10).try_cast("date"))
 
 
 def ratio(num: Column, den: Column) -> Column:

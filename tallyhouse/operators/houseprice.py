@@ -10,8 +10,9 @@ For one community and one window with more than ``segment`` listings:
   (pitch 0: the minimum in bucket 0, everything else in one other bucket);
 * the unique largest bucket gives the mode ``sum(u) div count``; a tie gives
   none;
-* the price is the mode unless there is none or it is more than 20 % away
-  from the main rows' area-weighted average, which is used instead.
+* without a mode the price is the main rows' area-weighted average; with one
+  more than 20 % away from the average of *all* rows it is that average, else
+  the mode.  (With all rows as main rows both averages are the same.)
 
 Input is a *grain* ``(keys..., band_lo, u) -> cnt, sp, sa``, one row per distinct
 band and unit price (bounded by the listing filters, 1,000 .. 500,000), however
@@ -56,19 +57,24 @@ def house_price(
     area_bands: str = "all",
     segment: int = SEGMENT,
 ) -> DataFrame:
-    """``keys -> n_main, mode, avg, price`` for each group of the grain."""
+    """``keys -> n_main, mode, avg (of the main rows), price`` for each group of the grain."""
     if area_bands not in ("all", "dominant"):
         raise ValueError("area_bands must be 'all' or 'dominant'")
     # One row a group and band (21 bands at most): counts and extremes.
     bands = grain.groupBy(*keys, "band_lo").agg(
-        F.sum("cnt").alias("_band_n"), F.min("u").alias("_lo"), F.max("u").alias("_hi")
+        F.sum("cnt").alias("_band_n"),
+        F.min("u").alias("_lo"),
+        F.max("u").alias("_hi"),
+        F.sum("sp").alias("_band_sp"),
+        F.sum("sa").alias("_band_sa"),
     )
     w = Window.partitionBy(*keys)
+    bands = bands.withColumn("_whole", ratio(F.sum("_band_sp").over(w), F.sum("_band_sa").over(w)))
     if area_bands == "dominant":
         ordered = w.orderBy(F.col("_band_n").desc(), F.col("band_lo").asc()).rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum("_band_n").over(ordered), F.lit(0))
         bands = bands.withColumn("_main", before * 2 <= F.sum("_band_n").over(w)).where("_main")
-    limits = bands.select(*keys, "band_lo", F.min("_lo").over(w).alias("_min"), F.max("_hi").over(w).alias("_max"))
+    limits = bands.select(*keys, "band_lo", F.min("_lo").over(w).alias("_min"), F.max("_hi").over(w).alias("_max"), "_whole")
 
     # The grain rows of one group are spread by a salt of the unit price, and
     # each limit is repeated for every salt, so no task holds a hot group.
@@ -87,6 +93,7 @@ def house_price(
         F.sum(F.col("u") * F.col("cnt")).alias("su"),
         F.sum("sp").alias("sp"),
         F.sum("sa").alias("sa"),
+        F.max("_whole").alias("_whole"),
     )
     b = b.withColumn("_top", F.max("nb").over(w))  # a handful of buckets a group
     top = F.col("nb") == F.col("_top")
@@ -96,14 +103,16 @@ def house_price(
         F.max(F.when(top, _div(F.col("su"), F.col("nb")))).alias("_mode"),
         F.sum("sp").alias("_sp"),
         F.sum("sa").alias("_sa"),
+        F.max("_whole").alias("_whole"),
     )
     avg = ratio(F.col("_sp"), F.col("_sa"))
     mode = F.when(F.col("_ties") == 1, F.col("_mode").cast("double"))
-    close = F.abs(F.try_divide(mode - avg, mode)) <= F.lit(MAX_GAP)
+    whole = F.col("_whole")
+    far = F.abs(F.try_divide(mode - whole, mode)) > F.lit(MAX_GAP)
     return r.select(
         *keys,
         "n_main",
         mode.alias("mode"),
         avg.alias("avg"),
-        F.when(mode.isNotNull() & close, mode).otherwise(avg).alias("price"),
+        F.when(mode.isNull(), avg).when(F.coalesce(far, F.lit(True)), whole).otherwise(mode).alias("price"),
     )

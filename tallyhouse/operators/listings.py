@@ -82,53 +82,57 @@ def clean_listings(
     """
     day = as_date(as_of)
     yesterday = day - _dt.timedelta(days=1)
-    facts = listings.where(F.col("ds") == F.lit(ds))
-    first_day = parse_day(F.col("first_pub_date"))
-
-    def num(c: str) -> str:
-        return f"try_cast(CAST(`{c}` AS STRING) AS DOUBLE)"
-
-    statuses = ", ".join(f"'{x}'" for x in ACTIVE_STATUSES)
-    lo, hi = UNIT_PRICE_CENTS
-    # One SQL predicate (one JVM call); numbers compare by their floor, ratios
-    # with a zero or missing divisor drop the row.
-    keep = F.expr(
-        f"CAST(status AS STRING) IN ({statuses})"
-        f" AND floor({num('total_floors')}) < {MAX_FLOORS}"
-        f" AND floor({num('area')}) > 0 AND floor({num('area')}) < {MAX_AREA}"
-        f" AND try_divide({num('quoted_price')}, {num('area')}) BETWEEN {lo} AND {hi}"
-        f" AND try_divide({num('evaluation_high_price')}, {num('quoted_price')}) <= {MAX_VALUATION_RATIO}"
-        f" AND try_to_date(split_part(CAST(first_pub_date AS STRING), ' ', 1), 'yyyy-MM-dd') < DATE'{day.isoformat()}'"
-    )
-    facts = facts.where(keep).select(
+    last_day = parse_day(F.col("last_pub_date"))
+    # Every field is parsed once: the fields come out of a generator, which neither
+    # filters nor later projections are folded into, so no predicate parses again.
+    parsed = F.struct(
         F.col("city_id").cast("string").alias("city_id"),
         F.col("house_id").cast("string").alias("house_id"),
-        first_day.alias("first_day"),
-        F.col("last_pub_date"),
-        "quoted_price",
+        parse_day(F.col("first_pub_date")).alias("first_day"),
+        F.col("last_pub_date").isNull().alias("open_end"),
+        F.when(last_day >= F.lit(day), F.lit(yesterday)).otherwise(last_day).alias("last_day"),
+        parse_amount(F.col("quoted_price")).alias("price"),
+        parse_amount(F.col("area")).alias("area"),
+        parse_double(F.col("quoted_price")).alias("price_number"),
+        parse_double(F.col("area")).alias("area_number"),
+        parse_double(F.col("evaluation_high_price")).alias("evaluation"),
+        parse_double(F.col("total_floors")).alias("floors"),
+    )
+    rows = listings.where((F.col("ds") == F.lit(ds)) & F.col("status").cast("string").isin(*ACTIVE_STATUSES))
+    rows = rows.select(F.inline(F.array(parsed)))
+    lo, hi = UNIT_PRICE_CENTS
+    unit = F.try_divide(F.col("price_number"), F.col("area_number"))
+    # Numbers compare by their floor, ratios with a zero or missing divisor drop the row.
+    facts = rows.where(
+        (F.floor("floors") < MAX_FLOORS)
+        & (F.floor("area_number") > 0)
+        & (F.floor("area_number") < MAX_AREA)
+        & (unit >= lo)
+        & (unit <= hi)
+        & (F.try_divide(F.col("evaluation"), F.col("price_number")) <= MAX_VALUATION_RATIO)
+        & (F.col("first_day") < F.lit(day))
+    ).select(
+        "city_id",
+        "house_id",
+        "first_day",
+        F.when(F.col("open_end"), F.col("first_day")).otherwise(F.col("last_day")).alias("end_day"),
+        "price",
         "area",
+        F.floor("area_number").cast("long").alias("area_int"),
     )
     keys = community_keys(dim, segments).drop("dim")
     j = facts.join(keys, (facts.city_id == keys._dim_city) & (facts.house_id == keys._dim_house))
-    last_day = parse_day(F.col("last_pub_date"))
-    end_day = (
-        F.when(F.col("last_pub_date").isNull(), F.col("first_day"))
-        .when(last_day >= F.lit(day), F.lit(yesterday))
-        .otherwise(last_day)
-    )
-    area_int = F.floor(parse_double(F.col("area"))).cast("long")
-    cents_int = F.floor(parse_amount(F.col("quoted_price"))).cast("long")
     out = j.select(
         "city_id",
         "district_id",
         "plate_id",
         "house_id",
         "first_day",
-        end_day.alias("end_day"),
-        (parse_amount(F.col("quoted_price")) * F.lit(Decimal("0.01"))).alias("price_yuan"),
-        parse_amount(F.col("area")).alias("area"),
-        unit_price(cents_int, area_int).alias("u"),
-        area_int.alias("area_int"),
+        "end_day",
+        (F.col("price") * F.lit(Decimal("0.01"))).alias("price_yuan"),
+        "area",
+        unit_price(F.floor("price").try_cast("long"), F.col("area_int")).alias("u"),
+        "area_int",
     )
     return out.withColumn("band_lo", band_lower("area_int")).drop("area_int")
 

@@ -8,6 +8,8 @@ prices, whose grain is written when the plan is built.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def rounded(df: DataFrame, digits: int = RESULT_DIGITS) -> DataFrame:
 
 def deal_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = D.enrich_deals(td.deal_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.DS)
-    return e.withColumn("price", F.col("price").cast("double")).withColumn("area", F.col("area").cast("double"))
+    return e.withColumn("price", F.col("price").cast("string")).withColumn("area", F.col("area").cast("string"))
 
 
 def deal_metrics(spark: SparkSession, sf_dir: str, *, calendar_months: bool = False, indexes=None) -> DataFrame:
@@ -74,7 +76,7 @@ def listing_clean(spark, sf_dir):
     from tallyhouse.operators import listings as L
 
     c = L.clean_listings(td.listing_fact(spark, sf_dir), td.community_dim(spark, sf_dir), td.DS, td.AS_OF)
-    return c.withColumn("price_yuan", F.col("price_yuan").cast("double")).withColumn("area", F.col("area").cast("double"))
+    return c.withColumns({n: F.round(F.col(n).cast("double"), RESULT_DIGITS) for n in ("price_yuan", "area")})
 
 
 def listing_metrics(spark, sf_dir, *, indexes=None, **opts):
@@ -168,6 +170,14 @@ def typed_csv(spark, sf_dir):
     return read_typed_lines(spark, path, [("name", T.StringType()), ("age", T.IntegerType())], trim=("age",))
 
 
+def _odd_labels():
+    return (
+        F.when(F.col("obj_type") == S.OBJ_CITY, F.concat("obj_value", F.lit(':"q"\\path')))
+        .when(F.col("obj_type") == S.OBJ_DISTRICT, "")
+        .otherwise(F.col("obj_value"))
+    )
+
+
 def tsv_null_roundtrip(spark, sf_dir):
     """Metrics written as tab-delimited text with ``\\N`` nulls and read back;
     some values hold quotes and backslashes or are empty."""
@@ -177,12 +187,7 @@ def tsv_null_roundtrip(spark, sf_dir):
     from tallyhouse.sources.text import read_delimited_table
 
     path = scratch_path(spark, "metrics-tsv")
-    value = (
-        F.when(F.col("obj_type") == S.OBJ_CITY, F.concat("obj_value", F.lit(':"q"\\path')))
-        .when(F.col("obj_type") == S.OBJ_DISTRICT, "")
-        .otherwise(F.col("obj_value"))
-    )
-    write_delimited(metrics_all(spark, sf_dir).withColumn("obj_value", value), path)
+    write_delimited(metrics_all(spark, sf_dir).withColumn("obj_value", _odd_labels()), path)
     return read_delimited_table(spark, path, METRICS_SCHEMA)
 
 
@@ -221,21 +226,38 @@ def empty_day_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select(*METRIC_COLUMNS, F.col("ds").cast("string").alias("ds"))
 
 
+def _through_catalog(spark, name: str, days: dict[str, list[DataFrame]], *, text: bool = False) -> DataFrame:
+    """Create the metrics table in the catalog at a shared location, insert each day's frames
+    in turn, read it whole; the rows read are kept, the table leaves catalog and folder."""
+    from tallyhouse.session import drop_path, materialize, scratch_path
+    from tallyhouse.sinks.writers import create_metrics_table, drop_metrics_table, insert_partition
+    from tallyhouse.sources.tables import read_table
+
+    location = scratch_path(spark, "metrics-catalog")
+    try:
+        create_metrics_table(spark, name, location=location, text=text)
+        for ds, frames in days.items():
+            for rows in frames:
+                insert_partition(rows, name, ds)
+        return materialize(read_table(spark, name), "metrics-read")
+    finally:
+        drop_metrics_table(spark, name)
+        drop_path(spark, location)
+
+
 def catalog_table_roundtrip(spark, sf_dir):
     """The metrics table created in the catalog at a shared location, filled
     through a view (a repeated insert replaces its day, an empty one empties
     it), and read whole."""
-    import uuid
+    rows = deal_metrics(spark, sf_dir)
+    name = f"tallyhouse_metrics_{uuid.uuid4().hex}"
+    return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]})
 
-    from tallyhouse.session import scratch_path
-    from tallyhouse.sinks.writers import create_metrics_table, insert_partition
-    from tallyhouse.sources.tables import read_table
 
-    name = f"tallyhouse_metrics_{uuid.uuid4().hex}"
-    create_metrics_table(spark, name, location=scratch_path(spark, "metrics-catalog"))
-    rows = deal_metrics(spark, sf_dir)
-    insert_partition(rows, name, OLDER_DAY)
-    insert_partition(rows, name, td.DS)
-    insert_partition(rows, name, td.DS)
-    insert_partition(rows.where("false"), name, OLDER_DAY)
-    return read_table(spark, name)
+def text_catalog_table_roundtrip(spark, sf_dir):
+    """The same with a table of tab-delimited text; some values hold quotes and
+    backslashes, are empty or look like the null mark's halves."""
+    rows = deal_metrics(spark, sf_dir).withColumn("obj_value", _odd_labels())
+    rows = rows.withColumn("period_value", F.when(F.col("obj_type") == S.OBJ_PLATE, "\\").otherwise(F.col("period_value")))
+    name = f"tallyhouse_metrics_text_{uuid.uuid4().hex}"
+    return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]}, text=True)

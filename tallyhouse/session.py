@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -56,17 +57,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def application_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext
-        return str(id(spark))
+_SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the checkpoint folder for a written table."""
+    """A fresh sub-path of the checkpoint folder for a written table.
+
+    The path is noted, so that `free_scratch` or a `scratch` block can remove the
+    table once nothing reads it any more.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of files, if it is there, and forget that it was noted."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+
+
+def free_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables this program has written (all but the first ``since``).
+
+    A returned DataFrame may read such a table until its result is written, so the
+    caller says when: after writing the result, or by a `scratch` block around the job.
+    """
+    for path in _SCRATCH[since:]:
+        drop_path(spark, path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside the block are removed at its end, also after an error."""
+    mark = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        free_scratch(spark, mark)
 
 
 def materialize(df, name: str):

@@ -14,8 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tallyhouse.session import application_id
+from pyspark.sql import types as T
 
 AS_OF = "2001-11-05"
 DS = "2001-11-04"
@@ -26,21 +25,23 @@ TABLES = (
 )
 
 
-_READS: dict = {}
+_SCHEMAS: dict[tuple[str, int, int], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table; one DataFrame per session and file is reused, so its
-    schema is inferred once however many plans read it."""
+    """The parquet table.  Its schema is inferred once for each state of the file
+    (path, time of change, length), so that later plans over it start no job."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), application_id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+    key = (path, status.getModificationTime(), status.getLen())
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _day_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("string")
 
 
 def _shifted_day() -> Column:
@@ -73,35 +74,52 @@ def community_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deal_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deals derived from lineitem x supplier."""
+    """Deals derived from lineitem x supplier.
+
+    Some amounts have five decimals, and some of these 15 and more digits.
+    Like the text columns of a staging table, the fields are formatted once a
+    row (they come out of a generator, so no consumer's filter repeats that).
+    """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"
+        "l_suppkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity", "l_shipdate"
     )
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey)
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    line = F.col("l_linenumber")
-    return j.select(
+    line, pk = F.col("l_linenumber"), F.col("l_partkey")
+    long, fine = pk % 97 == 5, pk % 89 == 7
+
+    def amount(value: Column, digits: str) -> Column:
+        text = value.cast("string")
+        return (
+            F.when(long, F.concat(F.lit("1234567890"), text, F.lit(digits)))
+            .when(fine, F.concat(text, F.lit(digits)))
+            .otherwise(text)
+        )
+
+    fields = F.struct(
         F.col("s_nationkey").cast("string").alias("city_id"),
         F.col("s_suppkey").cast("string").alias("house_id"),
         _day_text(_shifted_day()).alias("bargaindate"),
-        price.cast("string").alias("totalprice"),
-        (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("string").alias("eval_totalprice"),
+        amount(price, "345").alias("totalprice"),
+        amount(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), "5").alias("eval_totalprice"),
         F.when(line % 4 == 0, F.lit("1"))
         .when(line % 4 == 1, F.lit("2"))
         .when(line % 4 == 2, F.lit("行情参考"))
         .otherwise(F.lit(None).cast("string"))
         .alias("price_label"),
-        F.col("l_quantity").cast("decimal(12,2)").cast("string").alias("bargain_area"),
+        amount(F.col("l_quantity").cast("decimal(12,2)"), "125").alias("bargain_area"),
         F.when(line == 7, F.lit("2001-11-03")).otherwise(F.lit(DS)).alias("ds"),
     )
+    return j.select(F.inline(F.array(fields)))
 
 
 def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings derived from lineitem x supplier x part.
 
     Some lines give a second listing whose first day is no date: two digits
-    too many, or a word right behind it.
+    too many, or a word right behind it.  Some areas have five decimals.  The
+    fields are formatted once a row, as in `deal_fact`.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_discount", "l_quantity", "l_shipdate"
@@ -111,23 +129,24 @@ def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(part, li.l_partkey == part.p_partkey)
     pk = F.col("l_partkey")
     sk = F.col("s_suppkey")
-    day = _shifted_day()
-    area = F.lit(30) + F.col("l_quantity").cast("bigint")
-    unit = (
-        F.lit(1500000)
-        + (sk % 7) * 100000
-        + ((pk * pk) % 97) * 2000
-        + F.when(sk % 3 == 0, (pk % 9) * (pk % 9) * 60000).otherwise(0)
+    area, unit, day, first = F.col("_area"), F.col("_unit"), F.col("_day"), F.col("_first")
+    numbers = F.struct(
+        (F.lit(30) + F.col("l_quantity").cast("bigint")).alias("_area"),
+        (
+            F.lit(1500000)
+            + (sk % 7) * 100000
+            + ((pk * pk) % 97) * 2000
+            + F.when(sk % 3 == 0, (pk % 9) * (pk % 9) * 60000).otherwise(0)
+        ).alias("_unit"),
+        _day_text(_shifted_day()).alias("_day"),
+        _day_text(F.date_sub(_shifted_day(), (F.lit(10) + pk % 1500).cast("int"))).alias("_first"),
     )
-    first = _day_text(F.date_sub(day, (F.lit(10) + pk % 1500).cast("int")))
-    written = F.when(pk % 5 == 0, F.concat(first, F.lit(" 10:00:00"))).otherwise(first)
-    broken = F.concat(first, F.when(pk % 2 == 0, F.lit("99")).otherwise(F.lit("garbage")))
-    return j.select(
+    j = j.select("*", F.inline(F.array(numbers)))
+    fields = [
         F.col("s_nationkey").cast("string").alias("city_id"),
         sk.cast("string").alias("house_id"),
-        F.explode(F.when(pk % 41 == 0, F.array(written, broken)).otherwise(F.array(written))).alias("first_pub_date"),
-        F.when(pk % 6 == 0, F.lit(None).cast("string")).otherwise(_day_text(day)).alias("last_pub_date"),
-        area.cast("string").alias("area"),
+        F.when(pk % 6 == 0, F.lit(None).cast("string")).otherwise(day).alias("last_pub_date"),
+        F.concat(area.cast("string"), F.when(pk % 89 == 7, F.lit(".12345")).otherwise(F.lit(""))).alias("area"),
         (area * F.when(pk % 50 == 1, F.lit(90000)).otherwise(unit)).cast("string").alias("quoted_price"),
         F.when(pk % 37 == 0, F.lit(None).cast("string"))
         .otherwise((area * unit * (F.lit(1) + F.lit(12) * F.col("l_discount").cast("decimal(4,2)"))).cast("string"))
@@ -135,7 +154,11 @@ def listing_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") * 25).cast("string").alias("total_floors"),
         F.col("l_linenumber").cast("string").alias("status"),
         F.lit(DS).alias("ds"),
-    )
+    ]
+    written = F.when(pk % 5 == 0, F.concat(first, F.lit(" 10:00:00"))).otherwise(first).alias("first_pub_date")
+    broken = F.concat(first, F.when(pk % 2 == 0, F.lit("99")).otherwise(F.lit("garbage"))).alias("first_pub_date")
+    good, bad = F.struct(written, *fields), F.struct(broken, *fields)
+    return j.select(F.inline(F.when(pk % 41 == 0, F.array(good, bad)).otherwise(F.array(good))))
 
 
 def release_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

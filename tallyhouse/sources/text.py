@@ -52,17 +52,28 @@ def read_typed_lines(
     return lines.select(*cols, F.when(~ok, F.col("value")).alias("_corrupt_record"))
 
 
-def read_delimited_table(
-    spark: SparkSession, path: str, schema: T.StructType, *, sep: str = "\t", null_value: str = NULL_TOKEN
-) -> DataFrame:
-    """A delimited text table as Hive reads it: no header, no quotes, no escapes, ``\\N`` for null.
+def delimited_fields_sql(schema: T.StructType, *, line: str = "value", sep: str = "\t", null_value: str = NULL_TOKEN) -> list[str]:
+    """SQL text of the typed columns of a delimited line, by position.
 
-    Fields are taken by position; a missing field or one that does not parse
-    as its type is null, surplus fields are ignored.
+    A missing field, one equal to ``null_value`` and one that does not parse as its
+    type are null; an empty string stays one; surplus fields are ignored.
     """
-    parts = F.split(F.col("value"), f"\\Q{sep}\\E", -1)
-    columns = []
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    pattern = quoted("".join(f"\\{c}" if c in "\\^$.|?*+()[]{}" else c for c in sep))
+    out = []
     for i, f in enumerate(schema.fields):
-        raw = F.nullif(F.get(parts, F.lit(i)), F.lit(null_value))
-        columns.append((raw if isinstance(f.dataType, T.StringType) else raw.try_cast(f.dataType)).alias(f.name))
-    return read_lines(spark, path).select(*columns)
+        raw = f"nullif(get(split({line}, {pattern}, -1), {i}), {quoted(null_value)})"
+        typed = raw if isinstance(f.dataType, T.StringType) else f"try_cast({raw} AS {f.dataType.simpleString()})"
+        out.append(f"{typed} AS `{f.name}`")
+    return out
+
+
+def read_delimited_table(
+    spark: SparkSession, path: str, schema: T.StructType, *, sep: str = "\t", null_value: str = NULL_TOKEN
+) -> DataFrame:
+    """A delimited text table as Hive reads it: no header, no quotes, no escapes, ``\\N`` for null
+    (see `delimited_fields_sql`)."""
+    return read_lines(spark, path).selectExpr(*delimited_fields_sql(schema, sep=sep, null_value=null_value))

@@ -54,3 +54,22 @@ def test_unit_price_is_whole_number_division(spark):
     out = df.select(unit_price(F.col("q"), F.col("a")).alias("u"))
     assert [r.u for r in out.collect()] == [1763, 0, -1, None, None]
     assert "decimal" not in out._jdf.queryExecution().toString()
+
+
+def test_long_and_fine_amounts(spark):
+    rows = [("123456789012345",), ("12345678901234567890.123456789",), ("12.34567",), ("1e3",), ("100000000000000000000",), ("x",), ("",), (None,)]
+    out = spark.createDataFrame(rows, "v string").select(parse_amount(F.col("v")).cast("string").alias("a"))
+    assert [r.a for r in out.collect()] == [
+        "123456789012345.00000000", "12345678901234567890.12345679", "12.34567000", "1000.00000000", None, None, None, None,
+    ]
+    total = spark.createDataFrame([("99999999999999999999",)] * 1000, "v string").agg(F.sum(parse_amount(F.col("v"))).alias("s"))
+    assert int(total.first().s) == 99999999999999999999 * 1000
+
+
+def test_days_take_the_full_form_only(spark):
+    good = ["2001-01-05", "2001-01-05 10:00:00", "2000-02-29 x", "0001-01-01"]
+    bad = ["2001-1-05", "2001-01-5", "2001-01-05T10", "2001-01-0T", "2001-02-30", "2001-01", "+2001-01-05", "20010-01-05",
+           " 2001-01-05", "2001-01-0599", "2001-01-05garbage", "2001/01/05", "", "-001-01-05", "2001-01-0\u0665"]
+    rows = spark.createDataFrame([(v,) for v in good + bad] + [(None,)], "v string")
+    got = [r.d for r in rows.select(parse_day(F.col("v")).alias("d")).collect()]
+    assert [d.isoformat() for d in got[:4]] == [v[:10] for v in good] and got[4:] == [None] * (len(bad) + 1)

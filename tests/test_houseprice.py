@@ -46,3 +46,15 @@ def test_dominant_bands(spark):
     assert dom.n_main == 5 and allb.n_main == 6
     assert dom.avg == pytest.approx(140.0)
     assert dom.mode == 100.0
+    # The mode is more than 20 % away from the average of all six: that average counts.
+    assert dom.price == pytest.approx(1600 / 6) and allb.price == pytest.approx(1600 / 6)
+
+
+def test_dominant_bands_near_the_whole_average(spark):
+    # Main rows (band 60) average 100; the whole average is 110: the mode stays.
+    units = {"k": ([100, 100, 100, 100, 130, 130], None), "tie": ([100, 101, 130, 131, 500], None)}
+    bands = {100: 60, 101: 60, 130: 70, 131: 70, 500: 90}
+    got = {r.k: r for r in house_price(_grain(spark, units, band=lambda u: bands[u]), ["k"], area_bands="dominant").collect()}
+    assert (got["k"].mode, got["k"].avg, got["k"].price) == (100.0, 100.0, 100.0)
+    # No mode among the main rows (a tie): their own average, not the whole one.
+    assert got["tie"].n_main == 4 and got["tie"].mode is None and got["tie"].price == pytest.approx(115.5)

@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schema import METRIC_COLUMNS, METRICS_SCHEMA
-from tallyhouse.sinks.writers import create_metrics_table, insert_partition, write_delimited, write_partition
+from tallyhouse.sinks.writers import (
+    create_metrics_table,
+    drop_metrics_table,
+    insert_partition,
+    lines_table,
+    write_delimited,
+    write_partition,
+)
 from tallyhouse.sources.tables import read_partition
 from tallyhouse.sources.text import read_delimited_table, read_typed_lines
 
@@ -128,15 +135,42 @@ def test_text_word_count_demo(spark, tmp_path):
 
 def test_text_metrics_table(spark, tmp_path):
     name = "tallyhouse_metrics_text_test"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_metrics_table(spark, name)
     loc = tmp_path / "tt"
+    odd = [
+        ("NEW", "I", "CITY", 'say "hi"', "back\\slash", "", 1.0, None, None, None),
+        ("NEW", "I", "CITY", "", "\\", "'", -0.5, 2.0, None, 1e300),
+        ("NEW", "I", "CITY", "tab\there", "line\nbreak", "\\n", 0.0, None, 3.0, None),
+    ]
+    src = _metrics(spark).unionByName(spark.createDataFrame(odd, METRICS_SCHEMA))
+    want = {tuple(r) for r in src.collect()} - {odd[2]} | {(*odd[2][:3], "tab here", "line break", *odd[2][5:])}
     create_metrics_table(spark, name, location=str(loc), text=True)
-    insert_partition(_metrics(spark), name, "2018-09-21")
+    create_metrics_table(spark, name, location=str(loc), text=True)  # IF NOT EXISTS
+    assert spark.table(name).columns == [*METRIC_COLUMNS, "ds"]
+    for _ in range(2):
+        insert_partition(src, name, "2018-09-21")  # overwrite
+    insert_partition(src.limit(1), name, "2018-09-20")
+    insert_partition(src.limit(1), name, "2018-09-20", overwrite=False)
     back = spark.table(name).where(F.col("ds") == "2018-09-21").drop("ds")
-    assert sorted(back.collect()) == sorted(_metrics(spark).collect())
-    text = "".join(open(f).read() for f in glob.glob(str(loc / "ds=2018-09-21" / "*")) if not f.endswith(".crc"))
-    assert "\t" in text and "\\N" in text
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert back.count() == 5 and {tuple(r) for r in back.collect()} == want
+    assert [f.dataType for f in back.schema] == [f.dataType for f in METRICS_SCHEMA]
+    assert spark.table(name).where("ds = '2018-09-20'").count() == 2
+    insert_partition(src.limit(0), name, "2018-09-20")
+    assert spark.table(name).where("ds = '2018-09-20'").count() == 0
+    text = "".join(open(f).read() for f in glob.glob(str(loc / "ds=2018-09-21" / "part*")))
+    assert 'say "hi"\tback\\slash\t\t1.0\t\\N' in text
+    drop_metrics_table(spark, name)
+    assert not spark.catalog.tableExists(name) and not spark.catalog.tableExists(lines_table(name))
+    drop_metrics_table(spark, name)  # nothing there: nothing to do
+
+
+def test_round_trips_leave_the_catalog_as_it_was(spark):
+    from tallyhouse.plans import bench_tables as B
+
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = B.text_catalog_table_roundtrip(spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0 and rows.where("obj_value = ''").count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_jdbc_partitioned_read_needs_bounds(spark):

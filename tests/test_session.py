@@ -44,3 +44,35 @@ def test_local_folder_is_removed_at_the_end():
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     path = out.stdout.strip().splitlines()[-1]
     assert "tallyhouse-ckpt-" in path and not os.path.exists(path)
+
+
+def test_scratch_tables_are_freed(spark):
+    import os
+
+    from tallyhouse.plans import bench_tables as B
+    from tallyhouse.session import ensure_checkpoint_dir, scratch
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def tables():
+        return {n for n in os.listdir(folder) if "-" in n}
+
+    before = tables()
+    with scratch(spark):
+        prices = B.listing_price_house(spark, "/root/testdata/sf0.001")
+        read = B.catalog_table_roundtrip(spark, "/root/testdata/sf0.001")
+        # only what the two returned frames still read: the grain and the rows read back
+        assert sorted(n.rsplit("-", 1)[0] for n in tables() - before) == ["listing-grain", "metrics-read"]
+        assert prices.count() > 0 and read.count() > 0
+    assert tables() == before
+
+
+def test_table_follows_a_rewritten_file(spark, tmp_path):
+    from tallyhouse.sources.testdata import table
+
+    path = str(tmp_path / "nation.parquet")
+    spark.range(3).write.parquet(path)
+    assert table(spark, str(tmp_path), "nation").columns == ["id"]
+    spark.range(5).selectExpr("id AS a", "id AS b").write.mode("overwrite").parquet(path)
+    assert table(spark, str(tmp_path), "nation").columns == ["a", "b"]
+    assert table(spark, str(tmp_path), "nation").count() == 5
