@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.llm.conversation_trie import op13_conversation_trie
+from tallyhouse.llm.cross_tokenizers import op12_cross_tokenizers
 from tallyhouse.llm.histogram_shards import op1_histogram_shards
 from tallyhouse.llm.huffman_tokens import op6_huffman_tokens
+from tallyhouse.llm.language_families import op11_language_families
 from tallyhouse.llm.ordinal_quality import op4_ordinal_quality
 from tallyhouse.llm.qgram_leaks import op3_qgram_leaks
 from tallyhouse.llm.quality_rules import op2_quality_rules
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_blocks": op8_simhash_blocks,
     "op9_toxicity_trees": op9_toxicity_trees,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_language_families": op11_language_families,
+    "op12_cross_tokenizers": op12_cross_tokenizers,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
