@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import kept_table, map_batches, read_input, tokenizer_path
 from tallyhouse.llm.huffman_tokens import StretchEncoder
 
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 CHUNK_TEXTS = 4_000
 CACHE_PIECES = 300_000
 MANY_LINKS = 1 << 14  # a group with more links goes through distinct ids
