@@ -16,6 +16,7 @@ from tallyhouse.llm.qgram_leaks import op3_qgram_leaks
 from tallyhouse.llm.quality_rules import op2_quality_rules
 from tallyhouse.llm.quality_sql import quality_sql
 from tallyhouse.llm.repeated_windows import op5_repeated_windows
+from tallyhouse.llm.repeats_sql import repeats_sql
 from tallyhouse.llm.sentencepiece_prefix import op10_sentencepiece
 from tallyhouse.llm.simhash_blocks import op8_simhash_blocks
 from tallyhouse.llm.token_counts import op7_token_counts
@@ -39,4 +40,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_sql(),
+    "op5_repeated_windows": repeats_sql(),
 }

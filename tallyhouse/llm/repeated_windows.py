@@ -13,9 +13,12 @@ bounded size (one table row each, written once).  All passes work on chunks:
    it answers each chunk with a bit a cell, set if the count is at least 2.
 2. A chunk's window whose cells are all answered with 1 may occur twice.  The
    estimate never falls below the true count, so no repeated window is lost.
-   Only these windows go on, as 128-bit hashes with the least document of the
-   chunk, to be grouped exactly; the answer is a bit a window: a smaller
-   ``doc_id`` holds it elsewhere.
+   Only these windows go on, with the least document of the chunk, to be grouped by
+   their words; the answer is a bit a window: a smaller ``doc_id`` holds it elsewhere.
+   For the words stands the cryptographic digest (BLAKE2b, 16 bytes) of the words joined by
+   single spaces: whole windows on their way would not fit the disk.  The quick
+   polynomial hashes of the first pass can collide on chosen words; that only
+   lets a window through to this pass.
 3. Each chunk removes the words covered by such windows, and by windows whose first
    document is another one of the same chunk.
 
@@ -117,6 +120,19 @@ class Texts:
             a = b
         return _mix(out + size.astype(np.uint64) * np.uint64(_ODD[which]))
 
+    def window_digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of a digest of the words of the windows at some places."""
+        plain = b" ".join(self.raw.tobytes().split())
+        size = self.end - self.start
+        stop = np.cumsum(size + 1) - 1
+        begin, end = (stop - size)[at], stop[at + self.width - 1] if len(at) else stop[:0]
+        found = []
+        for k in range(0, len(at), STEP_BYTES):
+            some = zip(begin[k : k + STEP_BYTES].tolist(), end[k : k + STEP_BYTES].tolist())
+            found.append(b"".join([hashlib.blake2b(plain[x:y], digest_size=16).digest() for x, y in some]))
+        halves = np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
+        return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+
     def windows(self, which: int, at: np.ndarray | None = None) -> np.ndarray:
         """A hash of every window (also of those that leave their text), or of those at some places."""
         h, base = self.word_hashes(which), np.uint64(_ODD[1 - which])
@@ -356,10 +372,11 @@ class Plan:
             out[by] &= held[run]
         return out
 
-    def candidates(self, texts: Texts, places, h, ids):
-        """Windows that may repeat, by their places: distinct (h, g) in order, least id in the chunk,
-        and which of them each place has."""
-        g, own = texts.windows(1, places), ids[texts.doc[places]]
+    def candidates(self, texts: Texts, places, ids):
+        """Windows that may repeat, by their places: distinct digests (both halves, in order), least id
+        in the chunk, and which of them each place has."""
+        h, g = texts.window_digests(places)
+        own = ids[texts.doc[places]]
         by, first, run = _exact_groups(h, g)
         which = np.empty(len(h), np.int64)
         which[by] = run
@@ -417,7 +434,7 @@ def remove_repeats(
                     continue
                 table, texts, at, windows, _ = plan.chunk(blob.as_py())
                 maybe = plan.maybe(windows, answers)
-                h, g, least, _ = plan.candidates(texts, at[maybe], windows[maybe], _doc_keys(table, id_at))
+                h, g, least, _ = plan.candidates(texts, at[maybe], _doc_keys(table, id_at))
                 rows = np.empty(len(h), [("h", "<u8"), ("g", "<u8"), ("id", "<i8")])
                 rows["h"], rows["g"], rows["id"] = h, g, least
                 sent = [(chunk, part, rows[a:b].tobytes()) for part, a, b in _split(h, _cuts(plan.ranges, 64))]
@@ -443,7 +460,7 @@ def remove_repeats(
                     mine = {a["part"]: np.frombuffer(a["bits"], np.uint8) for a in answers}
                     maybe = np.unpackbits(mine[-1], count=len(at)).astype(bool)
                     places = at[maybe]
-                    h, _, least, which = plan.candidates(texts, places, windows[maybe], ids)
+                    h, _, least, which = plan.candidates(texts, places, ids)
                     elsewhere = np.zeros(len(h), bool)
                     for part, a, b in _split(h, _cuts(plan.ranges, 64)):
                         elsewhere[a:b] = np.unpackbits(mine[part], count=b - a)

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -159,6 +160,45 @@ def test_windows_in_small_chunks_and_ranges(spark, monkeypatch):
     assert {(r["doc_id"], hashlib.sha256(" ".join(r["text"].split()).encode()).hexdigest()) for r in out.collect()} == want
 
 
+def complemented(k):
+    """A word of 2 ** k letters, each half the complement of the one before: the pair agrees in polynomial hashes."""
+    word = "a"
+    for _ in range(k):
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+def test_words_that_agree_in_polynomial_hashes_stay(spark):
+    x, y = complemented(10)
+    tail = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{x} {tail}"), (2, f"{y} {tail}"), (3, f"{y}  {tail}\nmore")]
+    got = R.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), digest=True)
+    assert as_rows(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute_windows(rows), key=repr)
+    assert {r.doc_id: r.n_removed for r in got.collect()} == {1: 0, 2: 0, 3: 13}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([w for k in (0, 1, 5, 10, 11) for w in complemented(k)]), min_size=3, max_size=40))
+def test_window_digests_tell_words_apart(words):
+    texts = R.Texts(pa.array(["  ".join(words)]), 3)
+    at = texts.window_starts()
+    h, g = texts.window_digests(at)
+    shown = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    assert len(set(zip(h.tolist(), g.tolist()))) == len(set(shown))
+    assert all((h[i] == h[j]) == (shown[i] == shown[j]) for i in range(len(shown)) for j in range(i))
+
+
+def test_op5_sql_equals_brute_force():
+    import duckdb
+
+    from tallyhouse.llm.repeats_sql import repeats_sql
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    rows = con.sql(repeats_sql()).project("doc_id, n_words, n_removed, kept_sha256").fetchall()
+    assert sorted(rows, key=repr) == sorted(brute_windows(documents()), key=repr)
+
+
 def test_windows_odd_rows(spark):
     df = odd_documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
