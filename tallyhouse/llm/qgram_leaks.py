@@ -21,6 +21,7 @@ columns, whatever their names.
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +36,7 @@ EDIT_SHARE = 0.08
 BLOCK_CHARS = 4_000_000
 GROUP_CHARS = 400_000
 FILTER_BITS = 22
+PAIRS = 1 << 19  # hits paired with places in items at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,6 +104,9 @@ class Items:
         self.codes = [_codes(t) for t in self.texts]
         self.edits = np.array([budget(len(c), self.q, self.share) for c in self.codes], np.int64)
         size = np.array([len(c) for c in self.codes], np.int64)
+        self.size = size
+        # no region that is within its item's edits, and no stretch that is aligned for it, is longer
+        self.reach = int((size + 4 * self.edits + 4).max()) if len(size) else 1
         self.need = np.maximum(1, size - self.q + 1 - self.q * self.edits)
         self.short = [i for i, n in enumerate(size.tolist()) if 0 < n < self.q]
         grams = [gram_hashes(c, self.q) for c in self.codes]
@@ -115,13 +120,25 @@ class Items:
         self.filter[(self.grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
     def matches(self, texts: list[str]) -> list[tuple]:
-        """(row, item, start, end, edits) of the verified regions, the best of each (row, item) first."""
+        """(row, item, start, end, edits) of the verified regions, the best of each (row, item) first.
+
+        Long runs of one character are searched in a shortened form (see `short_runs`), and q-gram
+        hits are paired with the items a bounded number of pairs at a time.
+        """
+        short, moved = zip(*(short_runs(t, self.reach) for t in texts)) if texts else ((), ())
+        out = []
+        for row, item, start, end, edits in self._matches(list(short)):
+            last = moved[row](end)
+            out.append((row, item, last - (end - start), last, edits))
+        return sorted(out)
+
+    def _matches(self, texts: list[str]) -> list[tuple]:
         codes = [_codes(t) for t in texts]
         size = np.array([len(c) for c in codes], np.int64)
         first = np.cumsum(size) - size
         joined = np.concatenate([*codes, np.zeros(0, np.uint32)])
         h = gram_hashes(joined, self.q)
-        out = []
+        best: dict[tuple[int, int], tuple] = {}
         hit = np.flatnonzero(self.filter[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]) if len(self.grams) else []
         if len(hit):
             g = np.searchsorted(self.grams, h[hit])
@@ -130,24 +147,53 @@ class Items:
             hit, g = hit[true], g[true]
             row = np.searchsorted(first, hit, side="right") - 1
             fits = hit - first[row] + self.q <= size[row]  # a q-gram of one text
-            hit, g, row = hit[fits], g[fits], row[fits]
-            n = self.count[g]
-            at = np.repeat(self.first[g] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            item, row = self.item[at], np.repeat(row, n)
-            diagonal = np.repeat(hit, n) - first[row] - self.place[at]
-            half = self.edits[item] + 1
-            band = diagonal // half
-            keys = np.stack([np.repeat(row, 2), np.repeat(item, 2), np.stack([band, band - 1], 1).ravel()])
-            found, count = _count_columns(keys)
-            enough = count >= self.need[found[1]]
-            out = self._verified(texts, codes, found[:, enough])
+            self._count(texts, codes, hit[fits] - first[row[fits]], g[fits], row[fits], best)
+        out = [(r, i, *v) for (r, i), v in best.items()]
         for i in self.short:
             out += [(r, i, a, a + len(self.texts[i]), 0) for r, t in enumerate(texts) if (a := t.find(self.texts[i])) >= 0]
-        return sorted(out)
-
-    def _verified(self, texts, codes, found) -> list[tuple]:
-        best: dict[tuple[int, int], tuple] = {}
-        for row, item, band in found.T.tolist():
+        return out
+
+    def _count(self, texts, codes, hit, g, row, best) -> None:
+        """Count hits by (row, item, band) and verify the bands with enough, ``PAIRS`` pairs at a time.
+
+        Hits come in text order, so a band is complete once the hits are an item's length past it;
+        only bands that may still grow are carried along.  Items found verbatim in a row need no more of its hits.
+        """
+        at, open_keys, open_count = 0, np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
+        found = np.zeros(0, np.int64)  # row * items + item of verbatim matches
+        pairs = np.cumsum(self.count[g])
+        while at < len(hit):
+            done = int(pairs[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(pairs, done + PAIRS, side="right")))
+            n = self.count[g[at:to]]
+            # a hit may meet every place of a frequent q-gram: those of items already found verbatim are left out first
+            place = np.repeat(self.first[g[at:to]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            r, item = np.repeat(row[at:to], n), self.item[place]
+            if len(found):
+                new = ~np.isin(r * len(self.ids) + item, found)
+                place, r, item = place[new], r[new], item[new]
+                where = np.repeat(hit[at:to], n)[new]
+            else:
+                where = np.repeat(hit[at:to], n)
+            band = (where - self.place[place]) // (self.edits[item] + 1)
+            keys = np.stack([np.repeat(r, 2), np.repeat(item, 2), np.stack([band, band - 1], 1).ravel()])
+            keys, count = _count_columns(np.hstack([open_keys, keys]), np.concatenate([open_count, np.ones(keys.shape[1], np.int64)]))
+            at = to
+            if at < len(hit):
+                low = keys[2] * (self.edits[keys[1]] + 1)
+                closed = (keys[0] < row[at]) | (low + 2 * (self.edits[keys[1]] + 1) + self.size[keys[1]] < hit[at])
+            else:
+                closed = np.ones(keys.shape[1], bool)
+            self._verify(texts, codes, keys[:, closed & (count >= self.need[keys[1]])], best)
+            found = np.array([k[0] * len(self.ids) + k[1] for k, v in best.items() if v[2] == 0 and at < len(hit) and k[0] >= row[at]], np.int64)
+            open_keys, open_count = keys[:, ~closed], count[~closed]
+            if len(found) and open_keys.shape[1]:
+                left = ~np.isin(open_keys[0] * len(self.ids) + open_keys[1], found)
+                open_keys, open_count = open_keys[:, left], open_count[left]
+
+    def _verify(self, texts, codes, bands, best) -> None:
+        seen: dict[tuple[int, str], tuple[int, int]] = {}  # the same stretch against the same item: aligned once
+        for row, item, band in bands.T.tolist():
             edits, size = int(self.edits[item]), len(self.codes[item])
             known = best.get((row, item))
             if known and known[2] == 0:
@@ -158,19 +204,49 @@ class Items:
             if same >= 0:
                 best[row, item] = (same, same + size, 0)
                 continue
-            least, end = banded_edits(self.codes[item], codes[row], low - edits, width + 2 * edits, edits)
+            if low - edits >= 0 and b <= len(texts[row]):
+                key = (item, texts[row][a:b])
+                if key not in seen:
+                    least, end = banded_edits(self.codes[item], codes[row][a:b], 0, width + 2 * edits, edits)
+                    seen[key] = least, end
+                least, end = seen[key]
+                end = end + a if least <= edits else end
+            else:
+                least, end = banded_edits(self.codes[item], codes[row], low - edits, width + 2 * edits, edits)
             if least <= edits and (known is None or least < known[2]):
                 best[row, item] = (max(0, end - size), end, least)
-        return [(r, i, *v) for (r, i), v in best.items()]
 
 
-def _count_columns(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns and how often each occurs."""
+def short_runs(text: str, reach: int):
+    """The text with every run of one character cut to ``2 * reach`` characters, and a function that
+    takes places back.
+
+    No region that can match an item is longer than ``reach``, so each stretch of that length of
+    the text, and its first place, is still there: one inside a long run like all others inside it.
+    """
+    codes = _codes(text)
+    some = codes[::reach]  # a run that is too long holds two neighbours of these
+    if len(text) <= 2 * reach or not (some[1:] == some[:-1]).any():
+        return text, int
+    edges = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+    parts, cuts, gone, last = [], [], [0], 0
+    for k in np.flatnonzero(np.diff(edges) > 2 * reach).tolist():
+        a, b = int(edges[k]), int(edges[k + 1])
+        parts.append(text[last : a + reach])
+        cuts.append(a + reach - gone[-1])
+        gone.append(gone[-1] + b - a - 2 * reach)
+        last = b - reach
+    parts.append(text[last:])
+    return "".join(parts), lambda place: place + gone[bisect.bisect_left(cuts, place)]
+
+
+def _count_columns(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns, in order, and the sum of their weights."""
     by = np.lexsort(keys[::-1])
     k = keys[:, by]
     new = np.concatenate([[True], (k[:, 1:] != k[:, :-1]).any(axis=0)]) if k.shape[1] else np.zeros(0, bool)
     first = np.flatnonzero(new)
-    return k[:, first], np.diff(np.append(first, k.shape[1]))
+    return k[:, first], np.add.reduceat(weights[by], first) if len(first) else weights
 
 
 def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS):
