@@ -7,8 +7,8 @@ of other documents.  Then the features of a document over its whole text: densit
 of strong and weak lexicon words, how many stand near a second-person word, rates
 of second-person words, capitals, all-capital words, punctuation, exclamation
 marks, signs, digits, obfuscated and stretched words, and the length.  Two thirds of
-the sample fit the trees, the rest the isotonic curve from tree probability to
-observed rate.  The score is the curve's value with a hundredth of the tree
+the sample give the lexicon and fit the trees, the rest the isotonic curve from tree
+probability to observed rate.  The score is the curve's value with a hundredth of the tree
 probability mixed in, which keeps the order within its steps.
 
 Only the lexicon (``LEXICON`` entries at most) and the model reach the driver.
@@ -141,7 +141,7 @@ def features_of(text: str | None, flags: WordFlags) -> list[float]:
     return [
         len(strong) / n,
         rate(WEAK_BIT),
-        float(min(len(strong), 50)),
+        float(len(strong)),
         near / n,
         len(you) / n,
         rate(CAPS_BIT),
@@ -154,7 +154,7 @@ def features_of(text: str | None, flags: WordFlags) -> list[float]:
         rate(LONG_BIT),
         math.log1p(n),
         (size - len(text)) / size,
-        len({words[i] for i in strong[:1000]}) / max(1, len(strong)),
+        len({words[i] for i in strong.tolist()}) / max(1, len(strong)),
     ]
 
 
@@ -270,15 +270,17 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
     n = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if n[1] in (0, n[0]):
         return Model({}, constant=n[1] / n[0] if n[0] else 0.0)
-    lexicon = learn_lexicon(rows)
+    # the calibrating fold's labels shape neither lexicon nor trees
+    later_fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0
+    early = rows.where(~later_fold)
+    both = early.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    split = both[1] not in (0, both[0])
+    lexicon = learn_lexicon(early if split else rows)
     features, features_path = kept_table(feature_table(rows, lexicon, "doc_id", "label"), "toxicity-features")
     data = features.select(
-        "label", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0).alias("later"), array_to_vector(F.array(*FEATURES)).alias("features")
+        "label", later_fold.alias("later"), array_to_vector(F.array(*FEATURES)).alias("features")
     ).coalesce(8)
-    first = data.where("NOT later")
-    both = first.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-    if both[1] in (0, both[0]):
-        first = data
+    first = data.where("NOT later") if split else data
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="label",

@@ -138,6 +138,49 @@ def test_matches_are_exactly_the_items_within_the_budget():
     assert got == want
 
 
+def test_ruled_lines_and_small_slices_equal_brute_force(monkeypatch):
+    items = ["_" * 30, "Name: " + "_" * 28, "a-" * 20, "-" * 14 + " end of the form", "no such thing in any text", "____"]
+    texts = ["_" * n for n in (3, 12, 31, 200)]
+    texts += ["fill in " + "_" * 400 + " Name: " + "_" * 26 + "x", "a-" * 300, "-" * 500 + " end of the fern", "Name: " + "_" * 500]
+    want = {}
+    for r, t in enumerate(texts):
+        for i, item in enumerate(items):
+            e = least_edits(item, t)
+            if e <= L.budget(len(item)) and (len(item) >= L.Q or item in t):
+                want[r, i] = e
+    for pairs in (1, 50, 1 << 19):
+        monkeypatch.setattr(L, "PAIRS", pairs)
+        got = L.Items(list(range(len(items))), items).matches(texts)
+        assert {(r, i): e for r, i, _, _, e in got} == want
+        for r, i, start, end, e in got:  # the place named does hold the item
+            assert 0 <= start <= end <= len(texts[r])
+            near = texts[r][max(0, start - 4) : end + 4]
+            assert least_edits(items[i], near) == e and (e or texts[r][start:end] == items[i])
+
+
+def test_places_in_shortened_runs():
+    text = "ab" + "x" * 1000 + "cd" + "y" * 60 + "x" * 500
+    short, back = L.short_runs(text, 40)
+    assert short == "ab" + "x" * 80 + "cd" + "y" * 60 + "x" * 80
+    assert (back(0), back(2), short[back(2) :][:1], back(42), text[back(82) :][:4]) == (0, 2, "x", 42, "cdyy")
+    assert back(len(short)) == len(text)
+    assert L.short_runs("x" * 80, 40)[0] == "x" * 80 and L.short_runs("", 40)[0] == ""
+
+
+def test_long_ruled_line_is_bounded():
+    import time
+    import tracemalloc
+
+    items = L.Items(list(range(201)), ["_" * 28 + f" item {i} " for i in range(100)] + ["_" * (150 + i) for i in range(100)] + ["_" * 200])
+    tracemalloc.start()
+    begun = time.time()
+    got = items.matches(["_" * 400_000])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert {(r, i, e) for r, i, _, _, e in got} == {(0, i, 0) for i in range(100, 201)}
+    assert peak < 500 << 20 and time.time() - begun < 60  # traced; about a third of that without
+
+
 def test_banded_alignment_equals_the_whole_table():
     rng = random.Random(3)
     for _ in range(60):
