@@ -281,36 +281,47 @@ def _groups(batch, column: int):
 
 
 def encode_table(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """``doc_id, tie, ids``: the ids of each text and the end id as little-endian numbers."""
+    """``doc_id, tie, ids, counts``: the ids of each text and the end id as little-endian numbers.
+
+    The last row of each task has no ids but ``counts``: how often each id occurred in it.
+    """
 
     def run(batches):
         enc = stretch_encoder(vocabulary)
         end = np.array([end_id], enc.kind).tobytes()
+        total = np.zeros(enc.size, np.int64)
+        names = ["doc_id", "tie", "ids", "counts"]
         for batch in batches:
             for k, texts in _groups(batch, 1):
-                ids = pa.array([x + end for x in enc.encode(texts)], pa.binary())
+                ids = [x + end for x in enc.encode(texts)]
+                total += np.bincount(np.frombuffer(b"".join(ids), enc.kind), minlength=enc.size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(k, len(texts)), batch.column(2).slice(k, len(texts)), ids],
-                    names=["doc_id", "tie", "ids"],
+                    [batch.column(0).slice(k, len(texts)), batch.column(2).slice(k, len(texts)), pa.array(ids, pa.binary()), pa.nulls(len(texts), pa.binary())],
+                    names=names,
                 )
+        if total.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())],
+                names=names,
+            )
 
-    return map_batches(docs.withColumn("tie", F.xxhash64("text")), run, "doc_id long, tie long, ids binary")
+    return map_batches(docs.withColumn("tie", F.xxhash64("text")), run, "doc_id long, tie long, ids binary, counts binary")
 
 
-def id_counts(encoded: DataFrame, size: int, kind: np.dtype) -> DataFrame:
-    """``token, n``: how often each id occurs in the corpus, end ids included."""
+def id_counts(counts: DataFrame) -> DataFrame:
+    """``token, n``: how often each id occurs in the corpus, end ids included, from the tasks' counts."""
 
     def run(batches):
-        total = np.zeros(size, np.int64)
+        total = None
         for batch in batches:
-            for k in range(0, batch.num_rows, GROUP_TEXTS):
-                ids = np.frombuffer(b"".join(batch.column(0).slice(k, GROUP_TEXTS).to_pylist()), kind)
-                total += np.bincount(ids, minlength=size)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["token", "n"])
+            for raw in batch.column(0).to_pylist():
+                own = np.frombuffer(raw, "<i8")
+                total = own.copy() if total is None else total + own
+        if total is not None:
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["token", "n"])
 
-    part = map_batches(encoded.select("ids"), run, "token long, n long")
-    return part.groupBy("token").agg(F.sum("n").alias("n"))
+    return map_batches(counts, run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 # ------------------------------------------------------------------ writing
@@ -328,11 +339,12 @@ def write_token_file(
     """Write the ids of all documents in ascending ``doc_id`` order (see the module)."""
     spark = df.sparkSession
     table = write_table(encode_table(_texts(df, id_col, text_col), vocabulary, end_id), "ids", "snappy")
-    encoded = spark.read.schema("doc_id long, tie long, ids binary").parquet(table)
+    encoded = spark.read.schema("doc_id long, tie long, ids binary").parquet(table).where("ids IS NOT NULL")
     enc = stretch_encoder(vocabulary)
     size, kind = enc.size, enc.kind
     counts = np.zeros(size, np.int64)
-    counted = id_counts(encoded, size, kind).collect()  # at most one row an id of the vocabulary
+    noted = spark.read.schema("counts binary").parquet(table).where("counts IS NOT NULL")
+    counted = id_counts(noted).collect()  # at most one row an id of the vocabulary
     for r in counted:
         counts[r["token"]] = r["n"]
     max_bits = max(max_bits, int(np.count_nonzero(counts) - 1).bit_length())
