@@ -3,8 +3,9 @@
 1. Turns become 16 bytes each (SHA-256 of role and text, cut) with the code points of
    their text; texts go no further.  A conversation is its turns in order, rebuilt with
    the head of the conversation of its hundred.
-2. Equal sequences become one row: number, least id, and the digest of the ids, taken
-   over a sorted stream, so a sequence shared by a third of all conversations is never held.
+2. Equal sequences become one row: number, least id, and the digest of the ids, which are
+   sorted over ranges and digested as a stream of runs, so the ids of a sequence that a third
+   of all conversations share are never held together.
 3. Distinct sequences are sorted as bytes and cut into parts of about ``PART_BYTES`` (range
    partitions, written once).  A part learns the last sequence before it and the
    first behind it.
@@ -39,6 +40,7 @@ HUNDRED = 100
 HEADS = 6  # a rebuilt conversation begins with fewer turns than this of its hundred's first
 WIDTH = 16
 PART_BYTES = 1 << 24
+ID_RUN = 4_096
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -80,11 +82,37 @@ def rebuilt(turns: DataFrame) -> DataFrame:
 
 
 def distinct_sequences(paths: DataFrame) -> DataFrame:
-    """``path, points, n, least, ends``: each sequence once, its conversations, and the digest of their ids."""
+    """``path, points, n, least, ends``: each sequence once, its conversations, and the digest of their ids.
 
-    def run(batches):
-        now, sha, n, least = None, None, 0, 0
-        done = []
+    Ids are sorted over ranges of (sequence, id), so those of one sequence spread over tasks, which
+    write them as text, ``ID_RUN`` in a row.  Only these rows of text meet by sequence, to be digested
+    one behind the other: a digest over an order cannot be split.
+    """
+
+    most = ID_RUN
+
+    def write(batches):
+        now, run = None, []
+
+        def row():
+            text = b",".join(b"%d" % c for c in run)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now], pa.binary()), pa.array([run[0]], pa.int64()), pa.array([len(run)], pa.int64()), pa.array([text], pa.binary())],
+                names=["key", "least", "n", "ids"],
+            )
+
+        for batch in batches:
+            for key, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if run and (key != now or len(run) == most):
+                    yield row()
+                    run = []
+                now = key
+                run.append(conv)
+        if run:
+            yield row()
+
+    def digest(batches):
+        now, sha, n, least, done = None, None, 0, 0, []
 
         def rows():
             out = pa.RecordBatch.from_arrays(
@@ -95,14 +123,14 @@ def distinct_sequences(paths: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            for key, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, first, count, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if key == now:
-                    sha.update(b",%d" % conv)
-                    n += 1
+                    sha.update(b"," + ids)
+                    n += count
                     continue
                 if now is not None:
                     done.append((least, n, sha.hexdigest()))
-                now, sha, n, least = key, hashlib.sha256(b"%d" % conv), 1, conv
+                now, sha, n, least = key, hashlib.sha256(ids), count, first
             if len(done) > 10_000:
                 yield rows()
         if now is not None:
@@ -110,8 +138,10 @@ def distinct_sequences(paths: DataFrame) -> DataFrame:
         yield rows()
 
     key = F.unhex(F.sha2(F.col("path"), 256))
-    ids = paths.select(key.alias("key"), "conv_id").repartition("key").sortWithinPartitions("key", "conv_id")
-    ends = map_batches(ids, run, "conv_id long, n long, ends string")
+    ids = paths.select(key.alias("key"), "conv_id").repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
+    runs = map_batches(ids, write, "key binary, least long, n long, ids binary")
+    runs = runs.repartition("key").sortWithinPartitions("key", "least")
+    ends = map_batches(runs, digest, "conv_id long, n long, ends string")
     return ends.join(paths, "conv_id").select("path", "points", "n", F.col("conv_id").alias("least"), "ends")
 
 
