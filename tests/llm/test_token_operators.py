@@ -175,3 +175,32 @@ def test_odd_texts_stretches():
     enc = H.stretch_encoder("byte_bpe_50k.json")
     texts = [t or "" for t in ODD_TEXTS]
     assert enc.encode(texts) == [enc._whole(t) for t in texts]
+
+
+def test_op7_splices_the_long_documents_of_a_table(spark):
+    sf = SF.replace("sf0.001", "sf0.1")
+    tok = C.tokenizer("word_bpe_49k.json")
+    texts = dict(documents(sf=sf))
+    rows = C.op7_token_counts(spark, sf).collect()
+    long = [r for r in rows if len(texts[r["doc_id"]] or "") > C.CHUNK_CHARS]
+    assert len(rows) == len(texts) and len(long) > 400
+    assert {r["n_chunks"] for r in rows if r not in long} == {1}
+    assert all(r["n_chunks"] > 1 for r in long)
+    whole = tok.encode_batch_fast([texts[r["doc_id"]] for r in long], add_special_tokens=False)
+    assert [r["n_tokens"] for r in long] == [len(e) for e in whole]
+
+
+def test_op7_very_long_texts_of_all_kinds(spark):
+    tok = C.tokenizer("word_bpe_49k.json")
+    texts = ["ab" * 100_000, ("x" * 9_000 + " ") * 9, " " * 300_000 + "b", "a b\n" * 100_000, "<|endoftext|>" * 5_000, "e\u0301 " * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(((i, len(tok.encode(t, add_special_tokens=False))) for i, t in enumerate(texts)), key=repr)
+    assert as_rows(C.count_tokens(df), "doc_id", "n_tokens") == want
+
+
+def test_failed_alignment_widens_the_overlap_and_then_the_chunk():
+    tok = C.tokenizer("word_bpe_49k.json")
+    text = "a b " + "c" * 60 + " d e f g " + "h" * 200 + " i j"
+    parts = list(C.stretches(tok, text, 40, 4))
+    assert max(c.end - c.begin for c, _, _ in parts) > 40
+    assert sum(end - first for _, first, end in parts) == len(tok.encode(text, add_special_tokens=False))
