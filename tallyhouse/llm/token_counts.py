@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.llm.common import map_batches, read_input, tokenizer_path
 
 CHUNK_CHARS = 8_192
-OVERLAP_CHARS = 256
+OVERLAP_CHARS = 128
 BATCH_TEXTS = 64
 TOKEN_LIMIT = 2048
 BEHIND_WHITE = re.compile(r"(?<=[ \n\t\r])\S")  # white space for which the boundary is proven
