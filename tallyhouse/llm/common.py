@@ -11,14 +11,13 @@ import contextlib
 import ctypes
 import gc
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.session import ensure_checkpoint_dir
+from tallyhouse.session import drop_path, scratch_path
 
 
 def make_importable(spark: SparkSession) -> None:
@@ -48,9 +47,11 @@ def write_table(df: DataFrame, name: str, compression: str = "zstd") -> str:
     """Write ``df`` as a parquet table under the shared checkpoint folder; returns its path.
 
     The write runs at once.  It cuts the lineage: whatever reads the table
-    later does not go back to the source when an executor is lost.
+    later does not go back to the source when an executor is lost.  The table is
+    noted: `session.free_scratch`, or a `session.scratch` block around the job,
+    removes it when the result has been written.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", compression).parquet(path)
     return path
 
@@ -68,8 +69,7 @@ def saved(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 def drop_table(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that nothing reads any more."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    drop_path(spark, path)
 
 
 def map_batches(

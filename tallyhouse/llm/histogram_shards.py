@@ -4,15 +4,18 @@ Rows are ordered by (hash of the text, id).  A narrow table of keys and sizes is
 written once.  Every round counts, across all partitions, the exact bytes and
 rows between candidate boundaries, and puts new probes into the cells that are
 too coarse: cells that hold an ideal splitter farther than ``tolerance`` from
-both edges, and cells larger than a task should sort.  A cell that holds a single
-hash (one group of equal texts, however large) is probed by id.  The counts that
-reach the driver are one row a cell, bounded by the number of probes.
+both edges, and cells larger than a 128th of a shard (twice that at most).  A cell that
+holds a single hash (one group of equal texts, however large) is probed by id.  The
+counts that reach the driver, and the plan that reaches the tasks, are one row a
+cell: their number follows the shards, never the data.
 
 Splitters are the cell edges nearest the ideal byte positions, edges between
 groups of equal texts being preferred within the tolerance; so equal texts share a
-shard unless a splitter has to cut their group.  Since the rows below every edge
-are known exactly, a row's slot is the count below its cell plus its place in
-the cell: the one exchange is by cell (many a shard, all of bounded size).
+shard unless a splitter has to cut their group.  What is too much for one task in a
+cell is cut into parts of evenly wide key ranges, whose rows are counted and summed
+up by Spark in a table of its own.  Since the rows below every part are known
+exactly, a row's slot is their count plus its place in the part: the documents'
+one exchange is by cell and part.
 
 Size is the UTF-8 bytes of the text plus 1 (null text: 1).  A null id sorts before
 all others.  Rows that agree in text and id lie in one cell.  An empty table
@@ -29,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import crc32_of, drop_table, fresh_name, map_batches, read_input, utf8_bytes, write_table
+from tallyhouse.llm.common import crc32_of, drop_table, fresh_name, map_batches, read_input, saved, utf8_bytes, write_table
 
 SHARDS = 16
 TOLERANCE = 0.005  # of an ideal shard
 CELLS_PER_SHARD = 128
-CELL_BYTES = 128 << 20
+PART_BYTES = 128 << 20
+ROW_BYTES = 64  # counted for a row beside its text when parts are made
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 STATS = "cell int, bytes long, n long, h0 long, h1 long, k0 long, k1 long"
 
@@ -97,9 +101,24 @@ class Plan:
     shard: np.ndarray  # of each cell
     base: np.ndarray  # rows of the cell's shard below the cell
     rounds: int
+    by_id: np.ndarray  # whether the cell holds a single hash, so that its parts are ranges of ids
+    low: np.ndarray  # least hash (id) of the cell
+    width: np.ndarray  # of its parts
 
+    def place(self, h: np.ndarray, k: np.ndarray) -> dict[str, np.ndarray]:
+        at = self.cells.index(h, k)
+        above = (np.where(self.by_id[at], k, h) - self.low[at]).view(np.uint64)
+        part = (above // self.width[at]).astype(np.int32)
+        return {"cell": at.astype(np.int32), "part": part, "shard": self.shard[at], "base": self.base[at]}
 
-def plan_shards(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, cells_per_shard: int = CELLS_PER_SHARD) -> Plan:
+
+def plan_shards(
+    keys: DataFrame,
+    shards: int,
+    tolerance: float = TOLERANCE,
+    cells_per_shard: int = CELLS_PER_SHARD,
+    part_bytes: int = PART_BYTES,
+) -> Plan:
     """Probe until every splitter fits and every cell is small (or holds a single key)."""
     cells, rounds = Cells(np.array([LEAST]), np.array([LEAST])), 0
     while True:
@@ -107,8 +126,7 @@ def plan_shards(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, cell
         rounds += 1
         total, rows = int(found[:, 1].sum()), int(found[:, 2].sum())
         ideal = total / shards
-        per_shard = max(cells_per_shard, int(ideal // CELL_BYTES))
-        most_bytes, most_rows = 2 * ideal / per_shard, 2 * rows / shards / per_shard
+        most_bytes, most_rows = 2 * ideal / cells_per_shard, 2 * rows / shards / cells_per_shard
         end = np.cumsum(found[:, 1])
         start = end - found[:, 1]
         probes = []
@@ -146,7 +164,14 @@ def plan_shards(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, cell
     first = np.searchsorted(shard_used, shard_used, side="left")
     base = np.zeros(len(cells.h), np.int64)
     shard_of[used], base[used] = shard_used, before - before[first] if len(found) else before
-    return Plan(cells, shard_of, base, rounds)
+    by_id, low = np.zeros(len(cells.h), bool), np.zeros(len(cells.h), np.int64)
+    width = np.ones(len(cells.h), np.uint64)
+    for c, size, n, h0, h1, k0, k1 in found.tolist():
+        by_id[c] = h0 == h1
+        low[c], high = (k0, k1) if h0 == h1 else (h0, h1)
+        parts = (size + ROW_BYTES * n) // part_bytes + 1
+        width[c] = min((high - int(low[c])) // parts + 1, 2**64 - 1)
+    return Plan(cells, shard_of, base, rounds, by_id, low, width)
 
 
 def shard_rows(
@@ -156,33 +181,46 @@ def shard_rows(
     shards: int = SHARDS,
     tolerance: float = TOLERANCE,
     cells_per_shard: int = CELLS_PER_SHARD,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``df`` with ``shard`` (0..shards-1, near-equal bytes) and ``slot`` (0.. in the order of the shard)."""
     spark = df.sparkSession
     shard_col, slot_col = fresh_name(df, "shard"), fresh_name(df, "slot")
-    h, k, cell = fresh_name(df, "sort_hash"), fresh_name(df, "sort_id"), fresh_name(df, "sort_cell")
+    h, k, at = fresh_name(df, "sort_hash"), fresh_name(df, "sort_id"), fresh_name(df, "sort_place")
+    cell, part, below = fresh_name(df, "sort_cell"), fresh_name(df, "sort_part"), fresh_name(df, "sort_below")
     keyed = df.withColumn(h, F.xxhash64(F.col(f"`{text_col}`"))).withColumn(
         k, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST))
     )
     size = (utf8_bytes(F.col(f"`{text_col}`")) + 1).alias("size")
     path = write_table(keyed.select(F.col(h).alias("h"), F.col(k).alias("k"), size), "shard-keys")
     keys = spark.read.schema("h long, k long, size long").parquet(path)
-    plan = plan_shards(keys, shards, tolerance, cells_per_shard)
-    drop_table(spark, path)
+    plan = plan_shards(keys, shards, tolerance, cells_per_shard, part_bytes)
 
-    @F.pandas_udf("cell int, shard int, base long")
+    @F.pandas_udf("cell int, part int, shard int, base long")
     def place(hs, ks):
         import pandas as pd
 
-        at = plan.cells.index(hs.to_numpy(), ks.to_numpy())
-        return pd.DataFrame({"cell": at.astype(np.int32), "shard": plan.shard[at], "base": plan.base[at]})
+        return pd.DataFrame(plan.place(hs.to_numpy(), ks.to_numpy()))
+
+    parts = keys.select(place("h", "k").alias("at")).groupBy("at.cell", "at.part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = saved(
+        parts.select(
+            F.col("cell").alias(cell),
+            F.col("part").alias(part),
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(below),
+        ),
+        "shard-parts",
+    )
+    drop_table(spark, path)
 
-    out = keyed.withColumn(cell, place(F.col(h), F.col(k)))
-    within = F.row_number().over(Window.partitionBy(F.col(cell)["cell"]).orderBy(h, k))
+    out = keyed.withColumn(at, place(F.col(h), F.col(k)))
+    out = out.withColumn(cell, F.col(at)["cell"]).withColumn(part, F.col(at)["part"]).join(parts, [cell, part])
+    within = F.row_number().over(Window.partitionBy(cell, part).orderBy(h, k))
     return out.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        F.col(cell)["shard"].alias(shard_col),
-        (F.col(cell)["base"] + within - 1).alias(slot_col),
+        F.col(at)["shard"].alias(shard_col),
+        (F.col(at)["base"] + F.col(below) + within - 1).alias(slot_col),
     )
 
 

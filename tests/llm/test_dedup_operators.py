@@ -1,6 +1,7 @@
 """Sharding and dedup operators against brute force on small inputs."""
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -11,6 +12,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallyhouse import session
 from tallyhouse.llm import components as K
 from tallyhouse.llm import histogram_shards as G
 from tallyhouse.llm import repeated_windows as R
@@ -262,3 +264,29 @@ def test_shards_odd_rows(spark):
     rows = G.shard_rows(df, shards=3).collect()
     assert len(rows) == df.count()
     assert G.shard_rows(df.limit(0)).count() == 0
+
+
+def test_shards_order_and_parts_of_cells(spark):
+    rows = [(i, f"text {i % 90}") for i in range(600)] + [(i * i * 10**9, "hot") for i in range(600, 1000)] + [(-5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    few = G.shard_rows(df, shards=4, cells_per_shard=2)
+    cut = G.shard_rows(df, shards=4, cells_per_shard=2, part_bytes=200)
+    columns = ("doc_id", "text", "shard", "slot")
+    assert as_rows(few, *columns) == as_rows(cut, *columns)
+    keyed = cut.selectExpr("xxhash64(text) AS h", "doc_id", "shard", "slot").collect()
+    want = sorted(keyed, key=lambda r: (r["h"], r["doc_id"]))
+    assert sorted(keyed, key=lambda r: (r["shard"], r["slot"])) == want
+    for shard in range(4):
+        slots = sorted(r["slot"] for r in keyed if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_intermediate_tables_go_with_their_scratch_block(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with session.scratch(spark):
+        sharded = G.op1_histogram_shards(spark, SF)
+        linked = B.op8_simhash_blocks(spark, SF)
+        assert sharded.count() == linked.count() == len(documents())
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
