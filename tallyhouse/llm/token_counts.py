@@ -1,7 +1,9 @@
 """Token counts by overlap resynchronisation.
 
-A text is encoded in chunks of ``chunk`` characters that overlap; one that fits
-a single chunk has no border and goes to the library in batches.  Neighbouring
+A text is encoded in chunks of ``chunk`` characters that overlap.  One that fits a
+single chunk has no border; it is counted by the words between its white space
+(the boundaries proven below), each distinct word going to the library once for as
+long as the worker's bounded table of words holds it.  Neighbouring
 chunks are spliced at a boundary that both encodings show and that is proven
 stable: a token of either chunk starts there, right behind an ASCII white-space
 character, and the tokens of both chunks from there to the last white space of the
@@ -27,11 +29,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm.common import map_batches, read_input, tokenizer_path
+from tallyhouse.llm.common import RecentlyUsed, map_batches, read_input, tokenizer_path
 
 CHUNK_CHARS = 8_192
 OVERLAP_CHARS = 128
-BATCH_TEXTS = 64
+WORDS_KEPT = 400_000  # counts a worker keeps, twice at most, of words of up to WORD_CHARS characters
+WORD_CHARS = 64
 TOKEN_LIMIT = 2048
 BEHIND_WHITE = re.compile(r"(?<=[ \n\t\r])\S")  # white space for which the boundary is proven
 WHITE_END = re.compile(r".*[ \n\t\r]", re.DOTALL)
@@ -133,6 +136,20 @@ def count_spliced(tok, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERL
     return sum(parts), len(parts)
 
 
+class WordCounts(RecentlyUsed):
+    """Tokens of a word without white space, as the library gives them; long words are not kept."""
+
+    def __init__(self, tok):
+        super().__init__(lambda word: len(tok.encode_batch_fast([word], add_special_tokens=False)[0]), WORDS_KEPT)
+
+    def __missing__(self, word):
+        return super().__missing__(word) if len(word) <= WORD_CHARS else self.make(word)
+
+    def of(self, text: str) -> int:
+        blanks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        return sum(map(self.__getitem__, blanks.split(" ")))
+
+
 def count_tokens(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -151,14 +168,13 @@ def count_tokens(
 
     def run(batches):
         tok = tokenizer(vocabulary)
+        words = WordCounts(tok)
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             counts = []
-            for k in range(0, len(texts), BATCH_TEXTS):
-                some = texts.slice(k, BATCH_TEXTS).to_pylist()
-                small = [t for t in some if len(t) <= whole]
-                found = iter([(len(e), 1) for e in tok.encode_batch_fast(small, add_special_tokens=False)])
-                counts += [next(found) if len(t) <= whole else count_spliced(tok, t, chunk, overlap) for t in some]
+            for value in texts:
+                t = value.as_py()
+                counts.append((words.of(t), 1) if len(t) <= whole else count_spliced(tok, t, chunk, overlap))
             n, chunks = pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.cast(pc.binary_length(texts), pa.int64()), n, pc.greater(n, limit), chunks],
