@@ -2,10 +2,10 @@
 
 Writing: the ids of all documents go to an intermediate table, whose ids are
 counted (a vocabulary-sized table); the counts give code lengths of at most
-``max_bits`` (package-merge), lengths give canonical codes.  Each document is
-then coded, byte-aligned, with the bit offset of every ``CHECKPOINT``-th id;
-documents are exchanged once into shards of ascending ``doc_id`` ranges and
-packed, in that order, into blocks.
+``max_bits`` (package-merge), lengths give canonical codes.  Documents are
+exchanged once into shards, ranges of ascending (``doc_id``, hash of the text)
+whose number follows the tokens; each is then coded, byte-aligned, with the bit
+offset of every ``CHECKPOINT``-th id and packed, in that order, into blocks.
 The file format is a folder of two parquet tables:
 
 ``codes``   one row: ``lengths`` (a byte an id, 0: unused), ``max_bits``
@@ -38,6 +38,7 @@ from operator import not_
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +47,7 @@ from tallyhouse.session import scratch_path
 
 CHECKPOINT = 512
 BLOCK_TOKENS = 65_536
-SHARD_TOKENS = 2_000_000
-MAX_SHARDS = 65_536
+SHARD_TOKENS = 128_000_000  # a quarter of a gigabyte of ids; fewer where the session asks for more partitions
 CACHE_STRETCHES = 1_500_000  # about 0.35 GB a worker
 GROUP_TEXTS = 512
 PACK_TEXTS = 64  # few enough for the processor's cache
@@ -355,38 +355,7 @@ def write_token_file(
         1
     ).write.parquet(f"{path}/codes")
 
-    shards = int(min(MAX_SHARDS, max(1, counts.sum() // SHARD_TOKENS)))
-    cuts = np.zeros(0, np.int64)
-    if shards > 1:
-        points = [i / shards for i in range(1, shards)]
-        found = encoded.agg(F.percentile_approx("doc_id", points, max(10_000, 20 * shards)).alias("p")).first()["p"]
-        cuts = np.unique(np.array(found or [], np.int64))
-
-    def code(batches):
-        codes = canonical_codes(lengths)
-        for batch in batches:
-            for k in range(0, batch.num_rows, PACK_TEXTS):
-                some = batch.slice(k, PACK_TEXTS)
-                ids, raw = some.column(0), some.column(2).to_pylist()
-                n = np.array([len(x) // kind.itemsize for x in raw], np.int64)
-                payload, sizes, offsets, marks = pack(np.frombuffer(b"".join(raw), kind), n, codes, lengths)
-                ends, mark_ends = np.cumsum(sizes), np.cumsum(marks)
-                rank = np.array([-(2**63) if i is None else i for i in ids.to_pylist()], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.searchsorted(cuts, rank, side="left").astype(np.int32)),
-                        ids,
-                        some.column(1),
-                        pa.array(n.astype(np.int32)),
-                        pa.array([offsets[b - m : b].tobytes() for b, m in zip(mark_ends, marks)], pa.binary()),
-                        pa.array([payload[e - s : e] for e, s in zip(ends, sizes)], pa.binary()),
-                    ],
-                    names=["shard", "doc_id", "tie", "n", "offsets", "payload"],
-                )
-
-    coded = map_batches(
-        encoded, code, "shard int, doc_id long, tie long, n int, offsets binary, payload binary"
-    )
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum() // SHARD_TOKENS))
 
     schema = pa.schema(
         [
@@ -408,20 +377,26 @@ def write_token_file(
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(one, schema)], schema=schema)
 
     def blocks(batches):
-        rows, tokens, shard, number, start = [], 0, None, 0, 0
+        codes, shard = canonical_codes(lengths), TaskContext.get().partitionId()
+        rows, tokens, number, start = [], 0, 0, 0
         for batch in batches:
-            for s, i, _, n, o, p in zip(*(c.to_pylist() for c in batch.columns)):
-                if rows and (s != shard or tokens >= BLOCK_TOKENS):
-                    yield block(shard, number, start, rows)
-                    rows, tokens, number, start = [], 0, number + 1, start + tokens
-                if s != shard:
-                    shard, number, start = s, 0, 0
-                rows.append((i, n, o, p))
-                tokens += n
+            for k in range(0, batch.num_rows, PACK_TEXTS):
+                some = batch.slice(k, PACK_TEXTS)
+                raw = some.column(2).to_pylist()
+                counts = np.array([len(x) // kind.itemsize for x in raw], np.int64)
+                payload, sizes, offsets, marks = pack(np.frombuffer(b"".join(raw), kind), counts, codes, lengths)
+                at = mark = 0
+                for i, n, size, m in zip(some.column(0).to_pylist(), counts.tolist(), sizes.tolist(), marks.tolist()):
+                    if tokens >= BLOCK_TOKENS:
+                        yield block(shard, number, start, rows)
+                        rows, tokens, number, start = [], 0, number + 1, start + tokens
+                    rows.append((i, n, offsets[mark : mark + m].tobytes(), payload[at : at + size]))
+                    at, mark, tokens = at + size, mark + m, tokens + n
         if rows:
             yield block(shard, number, start, rows)
 
-    ordered = coded.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
+    ordered = encoded.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     map_batches(ordered, blocks, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
     drop_table(spark, table)
 
@@ -435,7 +410,7 @@ def _codes(spark: SparkSession, path: str) -> tuple[np.ndarray, int]:
 
 
 def _shard_starts(blocks: DataFrame) -> dict[int, int]:
-    """Ids in front of each shard; at most ``MAX_SHARDS`` rows reach the driver."""
+    """Ids in front of each shard; one row a shard, that is a task of the write, reaches the driver."""
     starts, total = {}, 0
     for r in blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect():
         starts[r["shard"]] = total

@@ -140,6 +140,18 @@ def test_token_file_null_ids_repeated_rows_and_no_rows(spark, tmp_path):
     assert H.read_token_file(spark, f"{tmp_path}/b").count() == 0
 
 
+def test_rows_without_an_id_are_spread_over_shards(spark, tmp_path):
+    rows = [(None if i % 3 else i, f"text {i} of many") for i in range(600)]
+    H.write_token_file(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/n")
+    blocks = spark.read.parquet(f"{tmp_path}/n/blocks").collect()
+    assert sum(None in b["doc_ids"] for b in blocks) > 2 and len({(b["shard"], b["block"]) for b in blocks}) == len(blocks)
+    got = sorted(H.read_token_file(spark, f"{tmp_path}/n").collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 400 + list(range(0, 600, 3))
+    texts = dict(zip(range(0, 600, 3), rows[::3]))
+    assert [r["ids"] for r in got[400:]] == [ids for *_, ids in expected_ids(texts.values())]
+    assert [r["start"] for r in got] == list(np.cumsum([0, *[r["n_tokens"] for r in got[:-1]]]))
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = random.Random(3)
     for bits in (4, 6, 16):
