@@ -2,10 +2,11 @@
 
 Writing: the ids of all documents go to an intermediate table, whose ids are
 counted (a vocabulary-sized table); the counts give code lengths of at most
-``max_bits`` (package-merge), lengths give canonical codes.  Documents are
-exchanged once into shards, ranges of ascending (``doc_id``, hash of the text)
-whose number follows the tokens; each is then coded, byte-aligned, with the bit
-offset of every ``CHECKPOINT``-th id and packed, in that order, into blocks.
+``max_bits`` (package-merge), lengths give canonical codes.  Each document is
+then coded, byte-aligned, with the bit offset of every ``CHECKPOINT``-th id;
+documents are exchanged once into shards, ranges of ascending (``doc_id``, hash
+of the text) cut at a sample and a task each, and packed, in that order, into
+blocks.
 The file format is a folder of two parquet tables:
 
 ``codes``   one row: ``lengths`` (a byte an id, 0: unused), ``max_bits``
@@ -33,12 +34,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_left
 from itertools import compress
 from operator import not_
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,9 @@ from tallyhouse.session import scratch_path
 
 CHECKPOINT = 512
 BLOCK_TOKENS = 65_536
-SHARD_TOKENS = 128_000_000  # a quarter of a gigabyte of ids; fewer where the session asks for more partitions
+SHARD_TOKENS = 128_000_000  # about 0.2 GB of codes
+LEAST_TOKENS = 2_000_000  # smaller shards are not made just to fill the session's partitions
+SAMPLE_KEYS = 1_000_000  # at most about so many keys are sampled to cut shards
 CACHE_STRETCHES = 1_500_000  # about 0.35 GB a worker
 GROUP_TEXTS = 512
 PACK_TEXTS = 64  # few enough for the processor's cache
@@ -259,6 +262,7 @@ class StretchEncoder:
 
 
 _ENCODERS: dict[str, StretchEncoder] = {}
+_FIRST = -(2**63) - 1  # in front of every id: the place of rows without one
 
 
 def stretch_encoder(name: str) -> StretchEncoder:
@@ -327,6 +331,17 @@ def id_counts(counts: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ writing
 
 
+def shard_cuts(encoded: DataFrame, shards: int, rows: int) -> list[tuple[int, int]]:
+    """At most ``shards - 1`` keys (``doc_id``, tie) that cut the rows into shards of about equal rows.
+
+    The keys are sampled, about 100 a shard and ``SAMPLE_KEYS`` in all; they decide places only.
+    """
+    share = min(1.0, min(100 * shards, SAMPLE_KEYS) / max(rows, 1))
+    keys = encoded.select("doc_id", "tie").sample(share, seed=7).collect()
+    keys = sorted((_FIRST if r["doc_id"] is None else r["doc_id"], r["tie"]) for r in keys)
+    return sorted({keys[len(keys) * i // shards] for i in range(1, shards)}) if keys else []
+
+
 def write_token_file(
     df: DataFrame,
     path: str,
@@ -355,7 +370,35 @@ def write_token_file(
         1
     ).write.parquet(f"{path}/codes")
 
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum() // SHARD_TOKENS))
+    tokens, partitions = int(counts.sum()), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, tokens // SHARD_TOKENS, min(partitions, tokens // LEAST_TOKENS))
+    cuts = shard_cuts(encoded, shards, int(counts[end_id]))
+
+    def code(batches):
+        codes = canonical_codes(lengths)
+        for batch in batches:
+            for k in range(0, batch.num_rows, PACK_TEXTS):
+                some = batch.slice(k, PACK_TEXTS)
+                ids, raw = some.column(0), some.column(2).to_pylist()
+                n = np.array([len(x) // kind.itemsize for x in raw], np.int64)
+                payload, sizes, offsets, marks = pack(np.frombuffer(b"".join(raw), kind), n, codes, lengths)
+                ends, mark_ends = np.cumsum(sizes), np.cumsum(marks)
+                shard = [bisect_left(cuts, (_FIRST if i is None else i, t)) for i, t in zip(ids.to_pylist(), some.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shard, pa.int32()),
+                        ids,
+                        some.column(1),
+                        pa.array(n.astype(np.int32)),
+                        pa.array([offsets[b - m : b].tobytes() for b, m in zip(mark_ends, marks)], pa.binary()),
+                        pa.array([payload[e - s : e] for e, s in zip(ends, sizes)], pa.binary()),
+                    ],
+                    names=["shard", "doc_id", "tie", "n", "offsets", "payload"],
+                )
+
+    coded = map_batches(
+        encoded, code, "shard int, doc_id long, tie long, n int, offsets binary, payload binary"
+    )
 
     schema = pa.schema(
         [
@@ -377,26 +420,21 @@ def write_token_file(
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(one, schema)], schema=schema)
 
     def blocks(batches):
-        codes, shard = canonical_codes(lengths), TaskContext.get().partitionId()
-        rows, tokens, number, start = [], 0, 0, 0
+        rows, tokens, shard, number, start = [], 0, None, 0, 0
         for batch in batches:
-            for k in range(0, batch.num_rows, PACK_TEXTS):
-                some = batch.slice(k, PACK_TEXTS)
-                raw = some.column(2).to_pylist()
-                counts = np.array([len(x) // kind.itemsize for x in raw], np.int64)
-                payload, sizes, offsets, marks = pack(np.frombuffer(b"".join(raw), kind), counts, codes, lengths)
-                at = mark = 0
-                for i, n, size, m in zip(some.column(0).to_pylist(), counts.tolist(), sizes.tolist(), marks.tolist()):
-                    if tokens >= BLOCK_TOKENS:
-                        yield block(shard, number, start, rows)
-                        rows, tokens, number, start = [], 0, number + 1, start + tokens
-                    rows.append((i, n, offsets[mark : mark + m].tobytes(), payload[at : at + size]))
-                    at, mark, tokens = at + size, mark + m, tokens + n
+            for s, i, _, n, o, p in zip(*(c.to_pylist() for c in batch.columns)):
+                if rows and (s != shard or tokens >= BLOCK_TOKENS):
+                    yield block(shard, number, start, rows)
+                    rows, tokens, number, start = [], 0, number + 1, start + tokens
+                if s != shard:
+                    shard, number, start = s, 0, 0
+                rows.append((i, n, o, p))
+                tokens += n
         if rows:
             yield block(shard, number, start, rows)
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
-    ordered = encoded.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    placed = coded.repartitionById(shards, F.col("shard"))
+    ordered = placed.sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie")
     map_batches(ordered, blocks, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
     drop_table(spark, table)
 

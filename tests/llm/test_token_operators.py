@@ -121,7 +121,7 @@ def test_op6_round_trip_equals_the_library(spark):
 
 
 def test_token_file_of_odd_rows_in_small_blocks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(H, "SHARD_TOKENS", 700)
+    monkeypatch.setattr(H, "LEAST_TOKENS", 700)
     df = odd_documents(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     rows = sorted(((r["doc_id"], r["text"]) for r in df.collect()))
     H.write_token_file(df, f"{tmp_path}/f")
@@ -140,7 +140,8 @@ def test_token_file_null_ids_repeated_rows_and_no_rows(spark, tmp_path):
     assert H.read_token_file(spark, f"{tmp_path}/b").count() == 0
 
 
-def test_rows_without_an_id_are_spread_over_shards(spark, tmp_path):
+def test_rows_without_an_id_are_spread_over_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(H, "LEAST_TOKENS", 100)
     rows = [(None if i % 3 else i, f"text {i} of many") for i in range(600)]
     H.write_token_file(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/n")
     blocks = spark.read.parquet(f"{tmp_path}/n/blocks").collect()
