@@ -103,9 +103,11 @@ def listing_price_house(spark, sf_dir, **opts):
     )
 
 
-def metrics_all(spark, sf_dir):
-    """Both jobs' rows for the day: the content of one ``ds`` partition."""
-    return deal_metrics(spark, sf_dir).unionByName(listing_metrics(spark, sf_dir))
+def metrics_all(spark, sf_dir, *, deals: DataFrame | None = None):
+    """Both jobs' rows for the day: the content of one ``ds`` partition.  A caller
+    that has the deal job's rows already passes them as ``deals``."""
+    deals = deal_metrics(spark, sf_dir) if deals is None else deals
+    return deals.unionByName(listing_metrics(spark, sf_dir))
 
 
 def area_band_histogram(spark, sf_dir):
@@ -196,15 +198,16 @@ def partition_write_roundtrip(spark, sf_dir):
     next to an older partition holding the deal rows only, then read back
     through partition pruning."""
     from tallyhouse.schema import METRIC_COLUMNS
-    from tallyhouse.session import scratch_path
+    from tallyhouse.session import computed_once, scratch_path
     from tallyhouse.sinks.writers import write_partition
     from tallyhouse.sources.tables import read_partition
 
     path = scratch_path(spark, "metrics-table")
-    rows = metrics_all(spark, sf_dir)
-    write_partition(deal_metrics(spark, sf_dir), path, "2001-11-03")
-    write_partition(rows, path, td.DS)
-    write_partition(rows, path, td.DS)
+    with computed_once(deal_metrics(spark, sf_dir), "metrics-deals") as deals:
+        write_partition(deals, path, "2001-11-03")
+        with computed_once(metrics_all(spark, sf_dir, deals=deals), "metrics-rows") as rows:
+            write_partition(rows, path, td.DS)
+            write_partition(rows, path, td.DS)
     return read_partition(spark, path, td.DS, fmt="parquet").select(*METRIC_COLUMNS)
 
 
@@ -215,14 +218,14 @@ def empty_day_roundtrip(spark, sf_dir):
     """Two days written as partitions of a path, then the older day again with
     no rows: it must end up empty, the other as it was."""
     from tallyhouse.schema import METRIC_COLUMNS
-    from tallyhouse.session import scratch_path
+    from tallyhouse.session import computed_once, scratch_path
     from tallyhouse.sinks.writers import write_partition
 
     path = scratch_path(spark, "metrics-empty-day")
-    rows = deal_metrics(spark, sf_dir)
-    write_partition(rows, path, OLDER_DAY)
-    write_partition(rows, path, td.DS)
-    write_partition(rows.where("false"), path, OLDER_DAY)
+    with computed_once(deal_metrics(spark, sf_dir), "metrics-rows") as rows:
+        write_partition(rows, path, OLDER_DAY)
+        write_partition(rows, path, td.DS)
+        write_partition(rows.where("false"), path, OLDER_DAY)
     return spark.read.parquet(path).select(*METRIC_COLUMNS, F.col("ds").cast("string").alias("ds"))
 
 

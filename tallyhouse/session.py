@@ -106,7 +106,20 @@ def materialize(df, name: str):
     The write runs at once, when this is called.  Used where one intermediate feeds several consumers: it is computed once,
     its lineage is cut (a lost executor does not send recomputation back to
     the fact scan), and the planner sees its real size."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df, path: str):
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def computed_once(df, name: str):
+    """``df`` materialized for a block that writes it several times, and removed at the block's
+    end, also after an error; what leaves the block must not read it lazily."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        yield _written(df, path)
+    finally:
+        drop_path(df.sparkSession, path)

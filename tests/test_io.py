@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse import schema as S
 from tallyhouse.schema import METRIC_COLUMNS, METRICS_SCHEMA
 from tallyhouse.sinks.writers import (
     create_metrics_table,
@@ -178,3 +179,29 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
 
     with pytest.raises(ValueError):
         read_jdbc_table(spark, "jdbc:none://x", "t", partition_column="id", lower_bound=1)
+
+
+@pytest.mark.parametrize("query", ["partition_write", "empty_day"])
+def test_round_trips_compute_the_metrics_once(spark, monkeypatch, query):
+    from tallyhouse.plans import bench_tables as B
+    from tallyhouse.sources import testdata as td
+
+    read = spark.sparkContext.accumulator(0)
+
+    def job(obj_type, n):
+        row = (S.DIM_NEW, S.INDEX_DEAL_VOLUME, obj_type, "x", S.PERIOD_TYPE_PERIOD, "SixtyDays", 1.0, None, None, None)
+
+        def counted(_):
+            read.add(1)
+            return row
+
+        return lambda *_, **__: spark.createDataFrame(spark.sparkContext.range(n).map(counted), METRICS_SCHEMA)
+
+    monkeypatch.setattr(B, "deal_metrics", job(S.OBJ_HOUSE, 5))
+    monkeypatch.setattr(B, "listing_metrics", job(S.OBJ_CITY, 3))
+    got = getattr(B, f"{query}_roundtrip")(spark, "unused").collect()
+    if query == "partition_write":
+        assert len(got) == 8
+    else:
+        assert len(got) == 5 and {r["ds"] for r in got} == {td.DS}
+    assert read.value == len(got)
