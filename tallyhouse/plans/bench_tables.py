@@ -252,9 +252,11 @@ def catalog_table_roundtrip(spark, sf_dir):
     """The metrics table created in the catalog at a shared location, filled
     through a view (a repeated insert replaces its day, an empty one empties
     it), and read whole."""
-    rows = deal_metrics(spark, sf_dir)
+    from tallyhouse.session import computed_once
+
     name = f"tallyhouse_metrics_{uuid.uuid4().hex}"
-    return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]})
+    with computed_once(deal_metrics(spark, sf_dir), "metrics-rows") as rows:
+        return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]})
 
 
 def text_catalog_table_roundtrip(spark, sf_dir):
