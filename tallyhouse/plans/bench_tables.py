@@ -262,7 +262,10 @@ def catalog_table_roundtrip(spark, sf_dir):
 def text_catalog_table_roundtrip(spark, sf_dir):
     """The same with a table of tab-delimited text; some values hold quotes and
     backslashes, are empty or look like the null mark's halves."""
-    rows = deal_metrics(spark, sf_dir).withColumn("obj_value", _odd_labels())
-    rows = rows.withColumn("period_value", F.when(F.col("obj_type") == S.OBJ_PLATE, "\\").otherwise(F.col("period_value")))
+    from tallyhouse.session import computed_once
+
+    odd = deal_metrics(spark, sf_dir).withColumn("obj_value", _odd_labels())
+    odd = odd.withColumn("period_value", F.when(F.col("obj_type") == S.OBJ_PLATE, "\\").otherwise(F.col("period_value")))
     name = f"tallyhouse_metrics_text_{uuid.uuid4().hex}"
-    return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]}, text=True)
+    with computed_once(odd, "metrics-rows") as rows:
+        return _through_catalog(spark, name, {OLDER_DAY: [rows, rows.where("false")], td.DS: [rows, rows]}, text=True)

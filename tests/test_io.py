@@ -181,7 +181,7 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
         read_jdbc_table(spark, "jdbc:none://x", "t", partition_column="id", lower_bound=1)
 
 
-@pytest.mark.parametrize("query", ["partition_write", "empty_day", "catalog_table"])
+@pytest.mark.parametrize("query", ["partition_write", "empty_day", "catalog_table", "text_catalog_table"])
 def test_round_trips_compute_the_metrics_once(spark, monkeypatch, query):
     from tallyhouse.plans import bench_tables as B
     from tallyhouse.sources import testdata as td
