@@ -68,7 +68,7 @@ class ByteTokens:
     def __init__(self, name: str):
         self.stretches = StretchEncoder(name)
         self.stretches.tok.encode_special_tokens = True
-        self.stretches.special = re.compile("(?!)")
+        self.stretches.specials = []
         self.size = self.stretches.size
         letters = byte_level_letters()
         self.lengths = np.zeros(self.size, np.int64)

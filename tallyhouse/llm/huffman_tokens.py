@@ -21,8 +21,8 @@ all checkpoints of a batch of blocks are decoded side by side.
 
 Encoding is the tokenizers library's.  Its byte-level pattern starts a piece at
 every single space between two characters that are not white space, so text is
-cut there and each distinct stretch is encoded once per worker and cached.  Texts
-that hold the string of a special token are encoded whole.
+cut there and each distinct stretch is encoded once per worker and cached, without
+the signs behind it.  Texts that hold the string of a special token are encoded whole.
 
 Null and empty texts have the end id alone.  Null ``doc_id``s come first; rows of
 equal ``doc_id`` follow the hash of their text.  Empty tables give empty
@@ -35,11 +35,13 @@ import os
 import re
 import zlib
 from bisect import bisect_left
-from itertools import compress
+from itertools import chain, compress
 from operator import not_
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +54,11 @@ SHARD_TOKENS = 128_000_000  # about 0.2 GB of codes
 LEAST_TOKENS = 2_000_000  # smaller shards are not made just to fill the session's partitions
 SAMPLE_KEYS = 1_000_000  # at most about so many keys are sampled to cut shards
 CACHE_STRETCHES = 1_500_000  # about 0.35 GB a worker
-GROUP_TEXTS = 512
+CACHE_SIGNS = 100_000
+GROUP_BYTES = 6 << 20  # of texts encoded together
 PACK_TEXTS = 64  # few enough for the processor's cache
+DIGITS = frozenset("0123456789")
+DOUBLE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"  # as \s\s in Python
 SPACE = "\u0120"  # fixed value: how byte-level vocabularies write the space
 BLOCK_SCHEMA = (
     "shard int, block int, start long, n_tokens long, doc_ids array<long>, counts array<int>, "
@@ -170,9 +175,11 @@ def unpack(payload: bytes, sizes: np.ndarray, counts: np.ndarray, offsets: np.nd
 class StretchEncoder:
     """Ids of texts as bytes of little-endian numbers, through a cache of stretches.
 
-    A newline between other characters is a piece of its own.  A stretch that
-    starts its text or line is filed with two spaces in front (no other stretch
-    starts with white space), all others as they follow their space.
+    Texts are split by Arrow, some megabytes at a time; only the distinct stretches
+    of such a group are looked up.  A newline between other characters is a piece of
+    its own.  A stretch is filed with a tab in front if it starts its text, with the
+    newline in front if it starts another line, and as it follows its space otherwise
+    (such a stretch never starts with white space).
     """
 
     def __init__(self, name: str):
@@ -184,81 +191,107 @@ class StretchEncoder:
         self.tok.no_truncation()
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.spaced = np.zeros(self.size, bool)
+        self.spaced, self.lined = np.zeros((2, self.size), bool)
         self.spaced[[i for t, i in self.tok.get_vocab().items() if t[0] == SPACE]] = True
-        specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
+        self.lined[self.tok.encode("\n", add_special_tokens=False).ids[:1]] = True
+        self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
-        self.newline = self._whole("\n")
-        self.signs = {c: self._whole(c) for c in ",."}
+        self.signs: dict[str, bytes] = {}
         self.lone = re.compile(r"(?<=\S) (?=\S)")
-        self.double = re.compile(r"\s\s")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        """Encode new stretches together.  A comma or stop behind a letter begins a piece of its own."""
-        known = self.known
-        if len(known) > CACHE_STRETCHES:
-            known.clear()
-        known["\n"] = self.newline
-        stems = {w: w[:-1] for w in new if w.endswith((",", ".")) and w[-2:-1].isalpha()}
-        plain = [w for w in new if w not in stems]
-        plain += {w for w in stems.values() if w not in known and w not in new}
-        one = [w for w in plain if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
-        known.update(zip(one, self._together(one)))
+    def _learn(self, new: list[str]) -> None:
+        """Encode new stretches together.  Signs between a letter or digit and the end are a piece of their own."""
+        known, signs = self.known, self.signs
+        stems, plain = {}, set()
+        for w in new:
+            stem = w.rstrip(punctuation)
+            if len(stem) < len(w) and (stem[-1:].isalpha() or stem[-1:] in DIGITS):
+                stems[w] = stem
+                if stem not in known:
+                    plain.add(stem)
+            else:
+                plain.add(w)
+        spaced, lined = [], []
         for w in plain:
-            if w not in known:
-                known[w] = self._whole(w[2:] if w[:2] == "  " else " " + w)
-        signs = self.signs
+            if w.isalpha():
+                spaced.append(w)
+            elif not w or w[0] == "\t" or w == "\n" or " " in w or w[-1].isspace():
+                known[w] = self._whole(w[1:] if w[:1] == "\t" else w if w[:1] == "\n" else " " + w)
+            else:
+                (lined if w[0] == "\n" else spaced).append(w)
+        known.update(zip(lined, self._together(lined, self.lined)))
+        known.update(zip(spaced, self._together([" " + w for w in spaced], self.spaced)))
         for w, stem in stems.items():
-            ids = known.get(stem)
-            if ids is None:  # the cache was emptied, or the stem is itself a stem and a sign
-                ids = self._whole(stem[2:] if stem[:2] == "  " else " " + stem)
-            known[w] = ids + signs[w[-1]]
-
-    def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space in front: some at a time, cut at the ids that begin with the space."""
+            sign = w[len(stem) :]
+            if sign not in signs:
+                if len(signs) > CACHE_SIGNS:
+                    signs.clear()
+                signs[sign] = self._whole(sign)
+            known[w] = known[stem] + signs[sign]
+
+    def _together(self, words: list[str], begins: np.ndarray) -> list[bytes]:
+        """Ids of words that start with a space or newline: some at a time, cut at the ids that begin with it."""
         if not words:
             return []
-        some = [" " + " ".join(words[k : k + 64]) for k in range(0, len(words), 64)]
+        some = ["".join(words[k : k + 64]) for k in range(0, len(words), 64)]
         found = self.tok.encode_batch_fast(some, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, self.kind) for e in found])
-        starts = np.flatnonzero(self.spaced[ids])
+        starts = np.flatnonzero(begins[ids])
         if len(starts) != len(words):  # never with a byte-level vocabulary
-            return [self._whole(" " + w) for w in words]
+            return [self._whole(w) for w in words]
         raw, ends = ids.tobytes(), [*(starts[1:] * ids.itemsize).tolist(), ids.nbytes]
         return [raw[a:b] for a, b in zip((starts * ids.itemsize).tolist(), ends)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words, ends, whole = [], [], {}
-        for row, t in enumerate(texts):
-            if t:
-                if self.special.search(t):
-                    whole[row] = self._whole(t)
-                else:
-                    double = self.double.search(t)
-                    for n, line in enumerate([t] if double else t.split("\n")):
-                        if n:
-                            words.append("\n")
-                        if line:
-                            parts = self.lone.split(line) if double else line.split(" ")
-                            parts[0] = "  " + parts[0]
-                            words += parts
-            ends.append(len(words))
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct stretches; a full cache keeps those of this call."""
         found = list(map(self.known.get, words))
         lacking = list(compress(range(len(words)), map(not_, found)))
         if lacking:
-            self._learn({words[i] for i in lacking})
-            known = self.known
-            for i in lacking:
-                found[i] = known[words[i]]
-        out, a = [], 0
-        for row, b in enumerate(ends):
-            out.append(whole[row] if row in whole else b"".join(found[a:b]))
-            a = b
-        return out
+            new = [words[i] for i in lacking]
+            self._learn(new)
+            for i, w in zip(lacking, new):
+                found[i] = self.known[w]
+            if len(self.known) > CACHE_STRETCHES:
+                self.known = dict(zip(words, found))
+        return found
+
+    def _joined(self, words: pa.Array, ends: np.ndarray, end: bytes) -> pa.Array:
+        """Ids of each text, whose stretches stop in front of ``ends``, and ``end`` behind them."""
+        filed = words.dictionary_encode()
+        ids = pa.array([*self._look_up(filed.dictionary.to_numpy(zero_copy_only=False).tolist()), end], pa.binary())
+        at = np.insert(filed.indices.to_numpy(), ends, len(ids) - 1)
+        laid = ids.take(pa.array(at))
+        offsets = np.frombuffer(laid.buffers()[1], np.int32)[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), laid.buffers()[2]])
+
+    def encode_array(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Ids of each text of a string array without nulls, and ``end`` behind them."""
+        whole, double = np.zeros(len(texts), bool), pc.match_substring_regex(texts, DOUBLE).to_numpy(zero_copy_only=False)
+        for s in self.specials:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        kinds = np.where(whole, 2, np.where(double, 1, 0))
+        rows = [np.flatnonzero(kinds == k) for k in range(3)]
+        plain, spaced, special = (texts if len(r) == len(texts) else texts.take(pa.array(r)) for r in rows)
+        out = []
+        if len(plain):
+            lines = pc.replace_substring(plain, "\n", " \n")
+            parts = pc.split_pattern(pc.binary_join_element_wise("\t", lines, ""), " ")
+            out.append(self._joined(parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy()), end))
+        if len(spaced):
+            parts = [self.lone.split("\t" + t) for t in spaced.to_pylist()]
+            words = pa.array(chain.from_iterable(parts), pa.string())
+            out.append(self._joined(words, np.cumsum([len(x) for x in parts]), end))
+        if len(special):
+            out.append(pa.array([self._whole(t) + end for t in special.to_pylist()], pa.binary()))
+        if len(out) == 1:
+            return out[0]
+        return pa.concat_arrays([pa.array([], pa.binary()), *out]).take(pa.array(np.argsort(np.concatenate(rows))))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
 
 
 _ENCODERS: dict[str, StretchEncoder] = {}
@@ -278,10 +311,20 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _groups(batch, column: int):
-    """(offset, texts) of a batch, a few hundred at a time."""
-    for k in range(0, batch.num_rows, GROUP_TEXTS):
-        yield k, batch.column(column).slice(k, GROUP_TEXTS).to_pylist()
+def _groups(texts: pa.Array):
+    """(first row, rows) of the groups of a string array: about ``GROUP_BYTES`` each, a text at least."""
+    ends, first = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + GROUP_BYTES, side="right")))
+        yield first, last - first
+        first = last
+
+
+def _numbers(laid: pa.Array, kind: np.dtype) -> np.ndarray:
+    """The numbers of all rows of a binary array without nulls, end to end."""
+    offsets = np.frombuffer(laid.buffers()[1], np.int32)[laid.offset : laid.offset + len(laid) + 1]
+    return np.frombuffer(laid.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
 
 
 def encode_table(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
@@ -296,11 +339,11 @@ def encode_table(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         total = np.zeros(enc.size, np.int64)
         names = ["doc_id", "tie", "ids", "counts"]
         for batch in batches:
-            for k, texts in _groups(batch, 1):
-                ids = [x + end for x in enc.encode(texts)]
-                total += np.bincount(np.frombuffer(b"".join(ids), enc.kind), minlength=enc.size)
+            for k, n in _groups(batch.column(1)):
+                ids = enc.encode_array(batch.column(1).slice(k, n), end)
+                total += np.bincount(_numbers(ids, enc.kind), minlength=enc.size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(k, len(texts)), batch.column(2).slice(k, len(texts)), pa.array(ids, pa.binary()), pa.nulls(len(texts), pa.binary())],
+                    [batch.column(0).slice(k, n), batch.column(2).slice(k, n), ids, pa.nulls(n, pa.binary())],
                     names=names,
                 )
         if total.any():

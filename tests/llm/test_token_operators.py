@@ -190,6 +190,33 @@ def test_odd_texts_stretches():
     assert enc.encode(texts) == [enc._whole(t) for t in texts]
 
 
+def test_signs_and_beginnings_of_lines_cost_no_call_each(monkeypatch):
+    enc, calls, together = H.StretchEncoder("byte_bpe_50k.json"), [], []
+    whole, some = enc._whole, enc._together
+    monkeypatch.setattr(enc, "_whole", lambda t: calls.append(t) or whole(t))
+    monkeypatch.setattr(enc, "_together", lambda words, *a: together.extend(words) or some(words, *a))
+    stems = [f"{a}{b}tion" for a in "abcdefghij" for b in "aeiouäé日本語"]
+    texts = ["\n".join(f"{w} {w}&&& {w}, {w}.\" {w}20%" for w in stems), "\n" + "\n".join(stems)]
+    assert enc.encode(texts) == [whole(t) for t in texts]
+    assert len(calls) < 12  # the first word of each text and the kinds of signs
+    assert len(together) == len(set(together)) <= 3 * len(stems) + 1
+
+
+def test_stretches_of_odd_lines_and_a_small_cache(monkeypatch):
+    monkeypatch.setattr(H, "CACHE_STRETCHES", 3)
+    enc = H.StretchEncoder("byte_bpe_50k.json")
+    texts = ["", "\n", "\na", "a\n", "\ta\tb c", "a\tb\nc", "\x1c", "a\x85b ,", "x\u3000\u3000y z", "it's dogs' (so)\n's", "12.\n34,5%", "a\n b  c\nd", "\x00\n\x00 \x00", "<|endoftext|>"]
+    for some in ([], [""], ["\n"], texts, texts[::-1], texts * 3):
+        assert enc.encode(some) == [enc._whole(t) for t in some]
+
+
+def test_groups_of_texts_follow_their_bytes(monkeypatch):
+    monkeypatch.setattr(H, "GROUP_BYTES", 10)
+    texts = H.pa.array(["", "é" * 5, "a", "b" * 30, "c" * 4, "d" * 6, "", "e"])
+    assert list(H._groups(texts)) == [(0, 2), (2, 1), (3, 1), (4, 3), (7, 1)]
+    assert list(H._groups(texts.slice(3, 2))) == [(0, 1), (1, 1)] and not list(H._groups(texts[:0]))
+
+
 def test_op7_splices_the_long_documents_of_a_table(spark):
     sf = SF.replace("sf0.001", "sf0.1")
     tok = C.tokenizer("word_bpe_49k.json")
