@@ -121,19 +121,22 @@ def decode_table(lengths: np.ndarray, max_bits: int) -> np.ndarray:
 
 def pack(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths: np.ndarray):
     """Code documents laid end to end: (payload, bytes a document, checkpoint offsets, checkpoints a document)."""
-    n = lengths[ids].astype(np.int64)
-    ends = np.cumsum(n)
+    n = lengths[ids]
+    ends = np.cumsum(n, dtype=np.int64)
     first = np.cumsum(counts) - counts
     begin = ends[first] - n[first]
     sizes = (ends[first + counts - 1] - begin + 7) >> 3
     start = (np.cumsum(sizes) - sizes) * 8
-    place = ends - n + np.repeat(start - begin, counts)
+    place = ends - n
+    place += np.repeat(start - begin, counts)
     words = np.zeros(int(sizes.sum()) // 4 + 3, np.uint64)
     at = place >> 5
-    value = codes[ids] << (64 - (place & 31) - n).astype(np.uint64)
+    highest = codes << (np.uint64(64) - lengths)  # each code in the first of 64 bits
+    value = highest[ids] >> (place & 31).view(np.uint64)
     runs = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    words[at[runs]] |= np.bitwise_or.reduceat(value >> np.uint64(32), runs)
-    words[at[runs] + 1] |= np.bitwise_or.reduceat(value & np.uint64(0xFFFFFFFF), runs)
+    value, at = np.bitwise_or.reduceat(value, runs), at[runs]  # codes that begin in the same word
+    words[at] |= value >> np.uint64(32)
+    words[at + 1] |= value & np.uint64(0xFFFFFFFF)
     marks = -(-counts // CHECKPOINT)
     k = np.arange(int(marks.sum())) - np.repeat(np.cumsum(marks) - marks, marks)
     offsets = place[np.repeat(first, marks) + CHECKPOINT * k] - np.repeat(start, marks)
